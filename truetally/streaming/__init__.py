@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The modelled product reads gate events from an ordinary table and joins them
+in batch; it has no watermark, window or stateful stream. Gate reads are
+handled by :mod:`truetally.plans.conform` as a batch join. Nothing is built
+here on purpose.
+"""
