@@ -45,6 +45,19 @@ def _norm(v):
     return v
 
 
+def spark_type_name(t) -> str:
+    from pyspark.sql import types as T
+    m = {T.StringType: "VARCHAR", T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.DoubleType: "DOUBLE",
+         T.BooleanType: "BOOLEAN", T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP", T.FloatType: "FLOAT",
+         T.TimestampType: "TIMESTAMP WITH TIME ZONE"}
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    for k, v in m.items():
+        if isinstance(t, k):
+            return v
+    return t.simpleString().upper()
+
+
 def compare(spark_df, con, sql: str, show: int = 5) -> dict:
     sp_cols = spark_df.columns
     srows = [tuple(r) for r in spark_df.collect()]
@@ -52,6 +65,11 @@ def compare(spark_df, con, sql: str, show: int = 5) -> dict:
     dcols = [c[0] for c in res.description]
     drows = res.fetchall()
     out = {"spark_rows": len(srows), "oracle_rows": len(drows)}
+    stypes = {f.name: spark_type_name(f.dataType) for f in spark_df.schema.fields}
+    dtypes = {c[0]: str(c[1]) for c in res.description}
+    mism = {c: (stypes[c], dtypes.get(c)) for c in stypes if c in dtypes and stypes[c] != dtypes[c]}
+    if mism:
+        out["type_mismatch"] = mism
     if sorted(sp_cols) != sorted(dcols):
         out["columns"] = (sp_cols, dcols)
         out["ok"] = False
