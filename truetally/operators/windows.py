@@ -11,29 +11,26 @@ from pyspark.sql import functions as F
 def trailing_window_sum(anchors: DataFrame, events: DataFrame, keys: Sequence[str], anchor_date: str,
                         event_date: str, value: str, days: int, out: str) -> DataFrame:
     """For each anchor row: SUM(value) of events with the same keys and
-    ``anchor - days < event_date <= anchor`` (0 when none). Prefix-sum form.
-
-    1. events are pre-aggregated per (keys, day) -- map-side combine;
-    2. each anchor contributes two probe rows (anchor, anchor - days);
-    3. one running RANGE sum per key over days (probes carry 0) gives
-       cum(anchor) - cum(anchor - days).
-    One shuffle on ``keys``; each key's window holds at most (#days + 2 x
-    #anchors) rows, bounded by the calendar even for a hot key. Anchors keep
-    all their columns; the result equals :func:`trailing_window_sum_join`.
+    ``anchor - days < event_date <= anchor`` (0 when none).
+
+    Events are pre-aggregated per (keys, day) -- map-side combine, so a hot key
+    shrinks to one row per day -- then unioned with the anchor rows (which
+    keep all their columns) and one sliding RANGE frame of ``days`` days over
+    the day number gives the window sum at every anchor. One shuffle of the
+    daily rows and anchors on ``keys``; no join back, no probe pairs; each
+    key's window holds at most #days + #anchors rows. Equals
+    :func:`trailing_window_sum_join`.
     """
+    if days < 1:
+        raise ValueError("days must be >= 1")
     keys = list(keys)
-    daily = (events.groupBy(*keys, F.col(event_date).alias("_d")).agg(F.sum(value).alias("_v")))
-    a = anchors.select(*keys, F.col(anchor_date).alias("_a")).distinct()
-    probes = (a.select(*keys, F.col("_a").alias("_d"), F.col("_a"), F.lit(1).alias("_role"))
-              .unionByName(a.select(*keys, F.date_sub("_a", days).alias("_d"), F.col("_a"), F.lit(-1).alias("_role"))))
-    rows = (daily.select(*keys, "_d", F.lit(None).cast("date").alias("_a"), F.lit(0).alias("_role"), "_v")
-            .unionByName(probes.withColumn("_v", F.lit(None).cast(daily.schema["_v"].dataType))))
-    w = (Window.partitionBy(*keys).orderBy(F.unix_date("_d"))
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = rows.withColumn("_cum", F.coalesce(F.sum("_v").over(w), F.lit(0))).filter(F.col("_role") != 0)
-    per_anchor = cum.groupBy(*keys, "_a").agg(F.sum(F.col("_cum") * F.col("_role")).alias(out))
-    return (anchors.join(per_anchor.withColumnRenamed("_a", anchor_date), keys + [anchor_date], "left")
-            .withColumn(out, F.coalesce(F.col(out), F.lit(0))))
+    daily = events.groupBy(*keys, F.col(event_date).alias("_d")).agg(F.sum(value).alias("_v"))
+    anc = anchors.withColumns({"_d": F.col(anchor_date), "_v": F.lit(None).cast(daily.schema["_v"].dataType),
+                               "_anchor": F.lit(True)})
+    rows = anc.unionByName(daily.withColumn("_anchor", F.lit(False)), allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy(F.unix_date("_d")).rangeBetween(-(days - 1), 0)
+    return (rows.withColumn(out, F.coalesce(F.sum("_v").over(w), F.lit(0).cast(daily.schema["_v"].dataType)))
+            .filter(F.col("_anchor")).drop("_d", "_v", "_anchor"))
 
 
 def trailing_window_sum_join(anchors: DataFrame, events: DataFrame, keys: Sequence[str], anchor_date: str,

@@ -119,12 +119,13 @@ def build_shipments(raw: RawSources, parts: DataFrame, plants: DataFrame) -> Dat
 
 
 # --------------------------------------------------------------- order lines
-def order_line_fill(so_item: DataFrame, shipments: DataFrame) -> DataFrame:
+def order_line_fill(so_item: DataFrame, shipments: DataFrame, carry: list[str] = ()) -> DataFrame:
     """Per sales line: shipped, shipped by commit, delivered by commit (EA) and
     the carrier of the earliest leg (tie-break ship time, shipment id). One
     left join + one aggregation on the same key (partial aggregation; AQE
-    splits a hot line in the join)."""
-    so = so_item.select(order_line_id("vbeln", "posnr").alias("order_line_id"), "edatu")
+    splits a hot line in the join). ``carry`` columns of the sales line (one
+    value per line) ride along, so the fact needs no second join."""
+    so = so_item.select(order_line_id("vbeln", "posnr").alias("order_line_id"), "edatu", *carry)
     f = shipments.select("order_line_id", "shipped_qty_ea", "ship_date", "delivery_date", "carrier_id",
                          "ship_ts_local", "shipment_id")
     zero = F.lit(0).cast(D3)
@@ -135,12 +136,13 @@ def order_line_fill(so_item: DataFrame, shipments: DataFrame) -> DataFrame:
                    zero).cast(D3).alias("shipped_by_commit_qty_ea"),
         F.coalesce(F.sum(F.when(F.col("delivery_date") <= F.col("edatu"), F.col("shipped_qty_ea")).otherwise(zero)),
                    zero).cast(D3).alias("delivered_by_commit_qty_ea"),
-        F.min_by("carrier_id", F.struct("ship_ts_local", "shipment_id")).alias("primary_carrier_id"))
+        F.min_by("carrier_id", F.struct("ship_ts_local", "shipment_id")).alias("primary_carrier_id"),
+        *([F.first("edatu").alias("edatu")] if carry else []), *[F.first(c).alias(c) for c in carry])
 
 
 def build_order_lines(raw: RawSources, shipments: DataFrame, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
-    so = raw.so_item.withColumn("order_line_id", order_line_id("vbeln", "posnr"))
-    base = so.join(order_line_fill(raw.so_item, shipments), "order_line_id")
+    carry = ["vbeln", "kunnr", "matnr", "werks", "audat", "kwmeng", "netpr_usd"]
+    base = order_line_fill(raw.so_item, shipments, carry)
     rules = order_line_rules("edatu", "kwmeng", "shipped_qty_ea", "shipped_by_commit_qty_ea",
                              "delivered_by_commit_qty_ea", as_of)
     return base.select(
@@ -228,6 +230,21 @@ def po_freight(raw: RawSources, as_of: dt.date) -> DataFrame:
             .groupBy("po_ref").agg(F.sum(F.col("freight_amount") * F.col("usd_per_unit")).alias("po_freight_usd")))
 
 
+def po_totals(po: DataFrame, freight: DataFrame) -> DataFrame:
+    """Per PO: total line weight and freight (USD) -- the allocation base."""
+    w = po.groupBy("ebeln").agg(F.sum(F.col("menge") * F.col("unit_weight_kg")).alias("po_weight_kg"))
+    return w.join(freight.select(F.col("po_ref").alias("ebeln"), "po_freight_usd"), "ebeln", "left")
+
+
+def allocated_freight(received_qty, line_weight, po_weight, po_freight) -> F.Column:
+    """round(freight * line weight / PO weight, 2); 0 for lines with no
+    receipt (their share is not redistributed). Share computed as double
+    (a*b/c) then DECIMAL(18,8) -- the oracle uses the same order."""
+    share = (F.coalesce(po_freight, F.lit(0)).cast("double") * line_weight.cast("double")
+             / F.when(po_weight == 0, None).otherwise(po_weight).cast("double")).cast("decimal(18,8)")
+    return F.round(F.when(received_qty > 0, F.coalesce(share, F.lit(0))).otherwise(F.lit(0)), 2).cast(D2)
+
+
 def freight_allocation(po: DataFrame, freight: DataFrame, rcv: DataFrame) -> DataFrame:
     """Per PO line: freight share by weight, zero when the line has no receipt."""
     lines = (po.select("ebeln", "ebelp", (F.col("menge") * F.col("unit_weight_kg")).alias("line_weight_kg"))
@@ -242,14 +259,18 @@ def freight_allocation(po: DataFrame, freight: DataFrame, rcv: DataFrame) -> Dat
 def build_po_lines(raw: RawSources, xref: DataFrame, suppliers: DataFrame, plants: DataFrame, parts: DataFrame,
                    params: Params, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     po = po_base(raw, xref, suppliers, plants, parts)
+    return po_lines_from_base(raw, po, params, as_of)
+
+
+def po_lines_from_base(raw: RawSources, po: DataFrame, params: Params, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     conf = latest_confirmation(raw.po_confirmation)
     rcv = receipt_rollup(arrival_resolution(raw.goods_receipt, raw.gate_event, po), po)
-    alloc = freight_allocation(po, po_freight(raw, as_of), rcv)
+    totals = po_totals(po, po_freight(raw, as_of))
     b = po.join(conf, (F.col("ebeln") == F.col("po_ref")) & (F.col("ebelp") == F.col("line_ref")), "left")
     b = resolve_first(b, [("confirmed_delivery_date", "SUPPLIER_PORTAL"), ("eindt", "REQUESTED_DATE_FALLBACK")],
                       "confirmed_date", "confirmed_date_source")
     b = fx_convert(b, raw.fx_rate, "waers", "bedat")
-    b = b.join(rcv, ["ebeln", "ebelp"], "left").join(alloc, ["ebeln", "ebelp"], "left")
+    b = b.join(rcv, ["ebeln", "ebelp"], "left").join(totals, "ebeln", "left")
     duty = raw.duty_rate.select(F.col("origin_country").alias("supplier_country"),
                                 F.col("dest_country").alias("plant_country"), "commodity", "duty_pct")
     b = b.join(duty, ["supplier_country", "plant_country", "commodity"], "left")
@@ -258,7 +279,8 @@ def build_po_lines(raw: RawSources, xref: DataFrame, suppliers: DataFrame, plant
         "price_usd": F.round(F.col("netpr") * F.col("usd_per_unit"), 4).cast(D4),
         "received_qty": rq.cast(D3),
         "duty_pct": F.coalesce(F.col("duty_pct"), F.lit(0).cast("decimal(6,2)")),
-        "freight_usd": F.coalesce(F.col("freight_usd"), F.lit(0).cast(D2)),
+        "freight_usd": allocated_freight(rq, F.col("menge") * F.col("unit_weight_kg"), F.col("po_weight_kg"),
+                                         F.col("po_freight_usd")),
     })
     b = b.withColumns({
         "goods_value_usd": F.round(F.col("received_qty") * F.col("price_usd"), 2).cast(D2),
@@ -308,12 +330,12 @@ def build_inventory(raw: RawSources, parts: DataFrame, shipments: DataFrame, par
     inv = raw.inventory_snapshot.select("snapshot_date", F.col("site_code").alias("plant_id"),
                                         F.col("sku").alias("part_id"), "on_hand_qty", "in_transit_qty")
     inv = inv.join(parts.select("part_id", "std_cost_usd"), "part_id")
+    inv = mark_latest(inv, "snapshot_date", "is_latest_snapshot")
     inv = trailing_cogs(inv, shipments, params.doi_window)
     return finish_inventory(inv, params)
 
 
 def finish_inventory(inv: DataFrame, params: Params) -> DataFrame:
-    inv = mark_latest(inv, "snapshot_date", "is_latest_snapshot")
     return inv.select(
         F.concat_ws("|", F.col("snapshot_date").cast("string"), "plant_id", "part_id").alias("inventory_position_id"),
         "snapshot_date", F.trunc("snapshot_date", "month").alias("snapshot_month"), "plant_id", "part_id",
@@ -356,6 +378,35 @@ class Conformed:
         return Conformed(**out)
 
 
+def build_materialized(spark: SparkSession, raw: RawSources, path: str, params: Params | None = None,
+                       as_of: dt.date = DEFAULT_AS_OF) -> Conformed:
+    """Build and write the conformed layer in dependency order: each table is
+    computed from already-written parents (crosswalk before suppliers and PO
+    lines, shipments before order lines and inventory), so nothing upstream is
+    recomputed and every written table cuts the lineage."""
+    params = params or Params()
+
+    def save(name, df, part=False):
+        w = df.write.mode("overwrite")
+        (w.partitionBy("plant_id") if part else w).parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}").select(*df.columns)
+
+    xref = save("xref_supplier", build_crosswalk(raw.vendor, raw.portal_vendor))
+    sup = save("dim_supplier", build_dim_supplier(raw.vendor, xref))
+    parts = save("dim_part", dim_part(raw))
+    plants = save("dim_plant", dim_plant(raw))
+    customers = save("dim_customer", dim_customer(raw))
+    carriers = save("dim_carrier", dim_carrier(raw))
+    shp = save("fct_shipment", build_shipments(raw, parts, plants), True)
+    return Conformed(
+        xref_supplier=xref, dim_supplier=sup, dim_part=parts, dim_plant=plants, dim_customer=customers,
+        dim_carrier=carriers, fct_shipment=shp,
+        fct_order_line=save("fct_order_line", build_order_lines(raw, shp, as_of), True),
+        fct_po_line=save("fct_po_line", po_lines_from_base(
+            raw, save("stage_po_base", po_base(raw, xref, sup, plants, parts)), params, as_of), True),
+        fct_inventory=save("fct_inventory", build_inventory(raw, parts, shp, params), True))
+
+
 def build(raw: RawSources, params: Params | None = None, as_of: dt.date = DEFAULT_AS_OF) -> Conformed:
     params = params or Params()
     xref = build_crosswalk(raw.vendor, raw.portal_vendor)

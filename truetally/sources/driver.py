@@ -51,6 +51,15 @@ class RawSources:
     def items(self):
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
 
+    def materialize(self, spark: SparkSession, path: str) -> "RawSources":
+        """Write each RAW table once (parquet) and read it back: later plans
+        start from files instead of re-deriving the adapter, and lineage is cut."""
+        out = {}
+        for name, df in self.items():
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            out[name] = spark.read.parquet(f"{path}/{name}").select(*df.columns)
+        return RawSources(**out)
+
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """Read one driver table, projecting only ``cols`` (column pruning at the scan)."""
@@ -88,7 +97,12 @@ def fx_rates(spark: SparkSession) -> DataFrame:
     return months.crossJoin(cur).select("month_start", "currency", rate.cast("decimal(18,6)").alias("usd_per_unit"))
 
 
-def raw_sources(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF) -> RawSources:
+def raw_sources(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF,
+                stage_dir: str | None = None) -> RawSources:
+    """Lazy RAW tables. With ``stage_dir`` (a shared folder, e.g. under
+    spark.checkpoint.dir) the per-row and per-line derivations of lineitem are
+    written there once and read back, so the 16 RAW tables do not each
+    re-run the lineitem window when they are materialised."""
     asof = F.lit(as_of)
     plant = ref.plants_df(spark)
     carrier = ref.carriers_df(spark)
@@ -159,6 +173,9 @@ def raw_sources(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF
         "ebeln": F.concat(F.lit("45"), _pad(F.col("ok"))), "ebelp": (F.col("ln") * 10).cast("int"),
         "vbeln": F.concat(F.lit("10"), _pad(F.col("ok"))), "posnr": (F.col("ln") * 10).cast("int"),
     })
+    if stage_dir:
+        li.write.mode("overwrite").parquet(f"{stage_dir}/line_rows")
+        li = spark.read.parquet(f"{stage_dir}/line_rows")
 
     lines = li.groupBy("ok", "ln").agg(
         F.first("pk1").alias("pk1"), F.first("sk1").alias("sk1"), F.min("fs").alias("fs"),
@@ -176,6 +193,9 @@ def raw_sources(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF
         "matnr": F.concat(F.lit("M"), _pad(F.col("pk1"))),
     })
     lines = lines.join(plant_b, lines.p == plant_b.plant_idx).join(part_cost, "pk1")
+    if stage_dir:
+        lines.write.mode("overwrite").parquet(f"{stage_dir}/lines")
+        lines = spark.read.parquet(f"{stage_dir}/lines")
 
     po_item = lines.select(
         "ebeln", "ebelp",
