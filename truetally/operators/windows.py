@@ -46,7 +46,7 @@ def trailing_window_sum_join(anchors: DataFrame, events: DataFrame, keys: Sequen
     per_anchor = (a.join(daily.alias("e"), cond, "left")
                   .groupBy(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{anchor_date}").alias(anchor_date))
                   .agg(F.coalesce(F.sum("e._v"), F.lit(0)).alias(out)))
-    return anchors.join(per_anchor, keys + [anchor_date], "left")
+    return anchors.join(per_anchor, keys + [anchor_date], "left").select(*anchors.columns, out)
 
 
 def mark_latest(df: DataFrame, date_col: str, out: str) -> DataFrame:

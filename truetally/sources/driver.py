@@ -142,13 +142,15 @@ def raw_sources(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF
                            F.col("c_mktsegment").alias("kdgrp"))
 
     # Duty grid: 8 origins x 5 plant countries x distinct commodity (bounded vocabulary).
-    origins = spark.createDataFrame(list(enumerate(ref.SUPPLIER_COUNTRIES)), "oi int, origin_country string")
-    dests = plant.select(F.col("plant_idx").alias("di"), F.col("country_code").alias("dest_country"))
+    # origin x destination lane grid: 8 x 5 fixed values, built as one VALUES relation
+    lanes = spark.createDataFrame([(oi, o, di, p[3]) for oi, o in enumerate(ref.SUPPLIER_COUNTRIES)
+                                   for di, p in enumerate(ref.PLANTS)],
+                                  "oi int, origin_country string, di int, dest_country string")
     commodities = part.select(F.col("p_type").alias("commodity")).distinct()
     duty = F.when(F.col("origin_country") == F.col("dest_country"), F.lit(0)).otherwise(
         (F.pmod(7 * F.col("oi") + 11 * F.col("di") + 3 * F.length("commodity"), F.lit(96)) + 25)
         .cast("decimal(6,0)") * F.lit(0.1).cast("decimal(2,1)"))
-    duty_rate = (commodities.crossJoin(F.broadcast(origins.crossJoin(dests)))
+    duty_rate = (commodities.crossJoin(F.broadcast(lanes))
                  .select("origin_country", "dest_country", "commodity", duty.cast("decimal(6,2)").alias("duty_pct")))
 
     # ---- line items: one shuffle on (ok, ln) gives seq, first ship date, line part/supplier
