@@ -456,6 +456,24 @@ def audit_recent(x: Ctx):
             .orderBy(F.col("logged_at").desc(), F.col("test_id").desc()).limit(50))
 
 
+@q
+def glossary_terms(x: Ctx):
+    from truetally.plans import glossary
+    terms = glossary.glossary_terms_df(x.spark, x.model)
+    return glossary.match_terms(_log(x), ["test_id"], "question", terms, GLOSSARY_MAX_N)
+
+
+@q
+def clarification_needed(x: Ctx):
+    from truetally.plans import glossary
+    terms = glossary.glossary_terms_df(x.spark, x.model)
+    m = glossary.match_terms(_log(x), ["test_id"], "question", terms, GLOSSARY_MAX_N)
+    return glossary.clarification_flags(m, ["test_id"])
+
+
+GLOSSARY_MAX_N = 4
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
