@@ -393,7 +393,7 @@ def build_materialized(spark: SparkSession, raw: RawSources, path: str, params:
 
     def save(name, df, part=False):
         if part:  # plant directories; rows sorted by the fact's time anchor -> tight row-group stats
-            df = df.repartitionByRange("plant_id", SORT_ANCHOR[name]).sortWithinPartitions("plant_id", SORT_ANCHOR[name])
+            df = df.sortWithinPartitions("plant_id", SORT_ANCHOR[name])
             df.write.mode("overwrite").partitionBy("plant_id").parquet(f"{path}/{name}")
         else:
             df.write.mode("overwrite").parquet(f"{path}/{name}")
