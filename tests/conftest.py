@@ -19,6 +19,4 @@ def spark():
 def x(spark):
     """Lazy RAW + conformed frames over the sf0.001 driver tables."""
     from truetally.plans.keys import ctx
-    c = ctx(spark, SF001)
-    c.sf_dir = SF001
-    return c
+    return ctx(spark, SF001, materialize=False)

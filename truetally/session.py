@@ -47,11 +47,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read ``spark.checkpoint.dir`` from the session; only when it is unset (local
     tests) a fresh scratch folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
-    if not d:
+    if not d:  # local tests only: the setting is static, so register the folder with the context
         d = tempfile.mkdtemp(prefix="truetally-ckpt-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
     return d
