@@ -99,3 +99,12 @@ def version_bump(version: str) -> str:
     """``major.(minor+1)``: 1.9 -> 1.10 (numeric, not lexical)."""
     major, minor = version.split(".")[:2]
     return f"{major}.{int(minor) + 1}"
+
+
+def params_wide(param_df):
+    """One row, one column per parameter: MAX(IFF(name = ..., value, NULL))
+    (the conditional-max pivot the rule re-apply reads)."""
+    from pyspark.sql import functions as F
+    cols = {"early_tol": EARLY, "late_tol": LATE, "doi_window": DOI_WINDOW, "insurance_pct": INSURANCE}
+    return param_df.agg(*[F.max(F.when(F.col("param_name") == n, F.col("param_value"))).alias(a)
+                          for a, n in cols.items()])
