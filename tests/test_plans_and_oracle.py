@@ -81,3 +81,19 @@ def test_every_key_has_oracle_or_is_declared():
     q, sql = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(sql) <= set(q)
     assert set(q) == set(sql)
+
+
+def test_metric_query_aggregates_before_dimension_join(x):
+    """The fact side reaches the dimension join already aggregated by FK."""
+    m = SemanticModel()
+    df = m.query(x.c, ["days_of_inventory", "total_inventory_value_usd"], ["commodity"])
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    join_at = next(i for i, ln in enumerate(lines) if "Join" in ln and "LeftOuter" in ln)
+    depth = len(lines[join_at]) - len(lines[join_at].lstrip(" :+-"))
+    below = []
+    for ln in lines[join_at + 1:]:
+        if len(ln) - len(ln.lstrip(" :+-")) <= depth:
+            break
+        below.append(ln)
+    text = "\n".join(below)
+    assert "HashAggregate" in text and text.index("HashAggregate") < text.index("FileScan")

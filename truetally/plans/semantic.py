@@ -72,6 +72,11 @@ class Metric:
             return [(f"{self.name}__n", F.sum(self.num)), (f"{self.name}__d", F.count(self.num))]
         raise ValueError(self.kind)
 
+    def merge(self) -> list[Column]:
+        """Re-aggregate partials (sums of sums, sums of counts)."""
+        names = [f"{self.name}__n"] + ([] if self.kind == "sum" else [f"{self.name}__d"])
+        return [F.sum(n).alias(n) for n in names]
+
     def final(self) -> Column:
         n, d = F.col(f"{self.name}__n"), F.col(f"{self.name}__d")
         if self.kind == "sum":
@@ -264,31 +269,54 @@ class SemanticModel:
         raise SemanticError(f"{dst} is not reachable N:1 from {src} (no declared relationship)")
 
     # ------------------------------------------------------------------ query
-    def _fact_frame(self, conformed, fact: str, dims: Sequence[Dimension], role, scope) -> DataFrame:
-        """Home fact (row-scoped, masked) left-joined to the dimension entities
-        it needs; every dimension ends up as a column named after it."""
+    def _fact_frame(self, conformed, fact: str, filters, role, scope) -> DataFrame:
+        """Home fact, row-scoped and masked, with every filter applied: filters
+        on the fact's own columns directly, filters on another entity as a
+        semi join with that entity's filtered keys (all operators reject NULL,
+        so this equals filtering after a left join)."""
         df = getattr(conformed, self.entity(fact).table)
         if scope is not None:
             df = apply_row_scope(df, scope, role)
         df = apply_mask(df, role)
-        by_entity: dict[str, list[Dimension]] = {}
+        for name, op, value in filters:
+            d = self.dimension(name)
+            if d.entity == fact:
+                df = df.filter(_predicate(d.column, op, value))
+                continue
+            rel, ent = self.edge(fact, d.entity), self.entity(d.entity)
+            keys = (getattr(conformed, ent.table).filter(_predicate(d.column, op, value))
+                    .select(F.col(ent.pk).alias("__k")))
+            if ent.bounded:
+                keys = F.broadcast(keys)
+            df = df.join(keys, df[rel.fk] == keys["__k"], "left_semi")
+        return df
+
+    def _aggregate(self, conformed, fact: str, df: DataFrame, dims: Sequence[Dimension],
+                   metrics: Sequence[Metric]) -> DataFrame:
+        """Aggregate below the dimension joins: partials are first summed per
+        (fact-own dimensions, foreign keys) -- map-side combined, so a hot key
+        becomes one row -- then the few pre-aggregated rows are left-joined to
+        the dimension entities and re-summed per dimension value."""
+        own = [d for d in dims if d.entity == fact]
+        other: dict[str, list[Dimension]] = {}
         for d in dims:
-            by_entity.setdefault(d.entity, []).append(d)
-        renames = {}
-        for d in by_entity.pop(fact, []):
-            renames[d.name] = F.col(d.column)
-        for ent_name, ds in by_entity.items():
-            rel, ent = self.edge(fact, ent_name), self.entity(ent_name)
-            key = f"__{ent_name}_pk"
-            right = getattr(conformed, ent.table).select(
-                F.col(ent.pk).alias(key), *[F.col(d.column).alias(f"__d_{d.name}") for d in ds])
+            if d.entity != fact:
+                other.setdefault(d.entity, []).append(d)
+        fks = {ent: self.edge(fact, ent).fk for ent in other}
+        group = [F.col(d.column).alias(d.name) for d in own] + [F.col(fk).alias(f"__fk_{ent}")
+                                                                 for ent, fk in fks.items()]
+        partials = [e.alias(n) for m in metrics for n, e in m.partials()]
+        pre = df.groupBy(*group).agg(*partials) if group else df.agg(*partials)
+        if not other:
+            return pre
+        for ent_name, ds in other.items():
+            ent = self.entity(ent_name)
+            right = getattr(conformed, ent.table).select(F.col(ent.pk).alias(f"__pk_{ent_name}"),
+                                                         *[F.col(d.column).alias(d.name) for d in ds])
             if ent.bounded:
                 right = F.broadcast(right)
-            df = df.join(right, df[rel.fk] == right[key], "left").drop(key)
-            for d in ds:
-                renames[d.name] = F.col(f"__d_{d.name}")
-        df = df.withColumns(renames)
-        return df.drop(*[c for c in df.columns if c.startswith("__d_")])
+            pre = pre.join(right, pre[f"__fk_{ent_name}"] == right[f"__pk_{ent_name}"], "left")
+        return pre.groupBy(*[d.name for d in dims]).agg(*[c for m in metrics for c in m.merge()])
 
     def query(self, conformed, metrics: Sequence[str], dimensions: Sequence[str] = (),
               where: Sequence[Filter] = (), period: str | None = None, as_of: dt.date = DEFAULT_AS_OF,
@@ -320,17 +348,15 @@ class SemanticModel:
                     d.name in ("snapshot_date", "snapshot_month", "is_latest_snapshot") for d in dims + fdims):
                 filters.append(("is_latest_snapshot", "==", True))
                 fdims.append(self.dimension("is_latest_snapshot"))
-            own = [f for f in filters if self.dimension(f[0]).entity in (fact,) or
-                   any(r.src == fact and r.dst == self.dimension(f[0]).entity for r in self.relationships)]
-            if len(own) != len(filters):
-                bad = [f[0] for f in filters if f not in own]
-                raise SemanticError(f"filter dimension(s) {bad} not reachable from {fact}")
-            needed = list({d.name: d for d in dims + fdims}.values())
-            df = self._fact_frame(conformed, fact, needed, role, scope)
-            for f in filters:
-                df = df.filter(_predicate(self.dimension(f[0]).name, f[1], f[2]))
-            aggs = [e.alias(n) for m in fm for n, e in m.partials()]
-            g = df.groupBy(*[d.name for d in dims]).agg(*aggs) if dims else df.agg(*aggs)
+            for f in filters:  # every filter dimension must be reachable from this fact
+                fd = self.dimension(f[0])
+                if fd.entity != fact:
+                    self.edge(fact, fd.entity)
+            for d in dims:
+                if d.entity != fact:
+                    self.edge(fact, d.entity)
+            df = self._fact_frame(conformed, fact, filters, role, scope)
+            g = self._aggregate(conformed, fact, df, dims, fm)
             parts.append(g.select(*[d.name for d in dims], *[m.final().alias(m.name) for m in fm]))
         out = parts[0]
         for p in parts[1:]:
