@@ -11,10 +11,12 @@ import hashlib
 import json
 import os
 import uuid
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -74,6 +76,22 @@ def _load_manifest(spark: SparkSession, manifest: str):
     return raw, conformed
 
 
+def _materialized(spark: SparkSession, sf_dir: str):
+    root = checkpoint_dir(spark).rstrip("/")
+    manifest = f"{root}/truetally-manifest-{_fingerprint(sf_dir)}"
+    loaded = _load_manifest(spark, manifest)
+    if loaded is not None:
+        return loaded
+    base = f"{root}/truetally-{uuid.uuid4().hex}"
+    raw = raw_sources(spark, sf_dir, AS_OF, stage_dir=f"{base}/stage").materialize(spark, f"{base}/raw")
+    conformed = conform.build_materialized(spark, raw, f"{base}/conformed", Params(), AS_OF)
+    cols = {"raw": {n: d.columns for n, d in raw.items()},
+            "conformed": {n: d.columns for n, d in conformed.items()}}
+    spark.createDataFrame([(base, json.dumps(cols))], "base string, columns string") \
+        .write.mode("overwrite").parquet(manifest)
+    return raw, conformed
+
+
 def ctx(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Ctx:
     """RAW + conformed frames for ``sf_dir``, built once.
 
@@ -89,20 +107,14 @@ def ctx(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Ctx:
     key = (id(spark), sf_dir, materialize)
     if key not in _CTX:
         ensure_session(spark)
+        loaded = None
         if materialize:
-            root = checkpoint_dir(spark).rstrip("/")
-            manifest = f"{root}/truetally-manifest-{_fingerprint(sf_dir)}"
-            loaded = _load_manifest(spark, manifest)
-            if loaded is None:
-                base = f"{root}/truetally-{uuid.uuid4().hex}"
-                raw = raw_sources(spark, sf_dir, AS_OF, stage_dir=f"{base}/stage").materialize(spark, f"{base}/raw")
-                conformed = conform.build_materialized(spark, raw, f"{base}/conformed", Params(), AS_OF)
-                cols = {"raw": {n: d.columns for n, d in raw.items()},
-                        "conformed": {n: d.columns for n, d in conformed.items()}}
-                spark.createDataFrame([(base, json.dumps(cols))], "base string, columns string") \
-                    .write.mode("overwrite").parquet(manifest)
-            else:
-                raw, conformed = loaded
+            try:
+                loaded = _materialized(spark, sf_dir)
+            except (OSError, Py4JJavaError, AnalysisException) as exc:  # unwritable shared folder: stay lazy
+                warnings.warn(f"materialising the build failed ({exc}); using lazy plans")
+        if loaded is not None:
+            raw, conformed = loaded
         else:
             raw = raw_sources(spark, sf_dir, AS_OF)
             conformed = conform.build(raw, Params(), AS_OF)
