@@ -9,6 +9,7 @@ trailing COGS) is applied here once. All functions return lazy DataFrames;
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -384,11 +385,12 @@ SORT_ANCHOR = {"fct_shipment": "ship_date", "fct_order_line": "commit_date", "fc
 
 
 def build_materialized(spark: SparkSession, raw: RawSources, path: str, params: Params | None = None,
-                       as_of: dt.date = DEFAULT_AS_OF) -> Conformed:
+                       as_of: dt.date = DEFAULT_AS_OF, parallel: int = 4) -> Conformed:
     """Build and write the conformed layer in dependency order: each table is
     computed from already-written parents (crosswalk before suppliers and PO
     lines, shipments before order lines and inventory), so nothing upstream is
-    recomputed and every written table cuts the lineage."""
+    recomputed and every written table cuts the lineage. Independent tables
+    of one level are written by concurrent jobs from ``parallel`` threads."""
     params = params or Params()
 
     def save(name, df, part=False):
@@ -399,20 +401,30 @@ def build_materialized(spark: SparkSession, raw: RawSources, path: str, params:
             df.write.mode("overwrite").parquet(f"{path}/{name}")
         return spark.read.parquet(f"{path}/{name}").select(*df.columns)
 
+    def level(jobs):
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+            return {name: f.result() for name, f in futures.items()}
+
     xref = save("xref_supplier", build_crosswalk(raw.vendor, raw.portal_vendor))
-    sup = save("dim_supplier", build_dim_supplier(raw.vendor, xref))
-    parts = save("dim_part", dim_part(raw))
-    plants = save("dim_plant", dim_plant(raw))
-    customers = save("dim_customer", dim_customer(raw))
-    carriers = save("dim_carrier", dim_carrier(raw))
-    shp = save("fct_shipment", build_shipments(raw, parts, plants), True)
-    return Conformed(
-        xref_supplier=xref, dim_supplier=sup, dim_part=parts, dim_plant=plants, dim_customer=customers,
-        dim_carrier=carriers, fct_shipment=shp,
-        fct_order_line=save("fct_order_line", build_order_lines(raw, shp, as_of), True),
-        fct_po_line=save("fct_po_line", po_lines_from_base(
-            raw, save("stage_po_base", po_base(raw, xref, sup, plants, parts)), params, as_of), True),
-        fct_inventory=save("fct_inventory", build_inventory(raw, parts, shp, params), True))
+    d = level({"dim_supplier": lambda: save("dim_supplier", build_dim_supplier(raw.vendor, xref)),
+               "dim_part": lambda: save("dim_part", dim_part(raw)),
+               "dim_plant": lambda: save("dim_plant", dim_plant(raw)),
+               "dim_customer": lambda: save("dim_customer", dim_customer(raw)),
+               "dim_carrier": lambda: save("dim_carrier", dim_carrier(raw))})
+    shp = save("fct_shipment", build_shipments(raw, d["dim_part"], d["dim_plant"]), True)
+
+    def po_lines():
+        po = save("stage_po_base", po_base(raw, xref, d["dim_supplier"], d["dim_plant"], d["dim_part"]))
+        return save("fct_po_line", po_lines_from_base(raw, po, params, as_of), True)
+
+    f = level({"fct_order_line": lambda: save("fct_order_line", build_order_lines(raw, shp, as_of), True),
+               "fct_po_line": po_lines,
+               "fct_inventory": lambda: save("fct_inventory", build_inventory(raw, d["dim_part"], shp, params), True)})
+    return Conformed(xref_supplier=xref, dim_supplier=d["dim_supplier"], dim_part=d["dim_part"],
+                     dim_plant=d["dim_plant"], dim_customer=d["dim_customer"], dim_carrier=d["dim_carrier"],
+                     fct_shipment=shp, fct_order_line=f["fct_order_line"], fct_po_line=f["fct_po_line"],
+                     fct_inventory=f["fct_inventory"])
 
 
 def build(raw: RawSources, params: Params | None = None, as_of: dt.date = DEFAULT_AS_OF) -> Conformed:

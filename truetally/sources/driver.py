@@ -13,6 +13,7 @@ line, p = ok % 5 = plant index) follows FIXTURES.md section 6.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -51,14 +52,18 @@ class RawSources:
     def items(self):
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
 
-    def materialize(self, spark: SparkSession, path: str) -> "RawSources":
+    def materialize(self, spark: SparkSession, path: str, parallel: int = 4) -> "RawSources":
         """Write each RAW table once (parquet) and read it back: later plans
-        start from files instead of re-deriving the adapter, and lineage is cut."""
-        out = {}
-        for name, df in self.items():
+        start from files instead of re-deriving the adapter, and lineage is cut.
+        The tables are independent, so their jobs are submitted concurrently
+        from ``parallel`` driver threads (Spark runs concurrent jobs of one
+        application side by side)."""
+        def save(item):
+            name, df = item
             df.write.mode("overwrite").parquet(f"{path}/{name}")
-            out[name] = spark.read.parquet(f"{path}/{name}").select(*df.columns)
-        return RawSources(**out)
+            return name, spark.read.parquet(f"{path}/{name}").select(*df.columns)
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            return RawSources(**dict(pool.map(save, self.items())))
 
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
