@@ -17,8 +17,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from truetally.operators.windows import trailing_window_sum, trailing_window_sum_join  # noqa: E402
 from truetally.params import Params  # noqa: E402
 from truetally.plans import conform  # noqa: E402
@@ -78,7 +76,6 @@ def main() -> None:
     print(json.dumps({"metric": "total_sec_build_plus_headline_queries", "value": total, "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                       "cpus": cpus}))
-    _ = F
 
 
 if __name__ == "__main__":
