@@ -28,10 +28,13 @@ def utc_to_local(ts_utc, zone) -> Column:
 
 
 def hours_between(a, b) -> Column:
-    """Hour boundaries crossed from ``a`` to ``b`` (02:45 -> 05:00 is 3)."""
-    ta = F.date_trunc("hour", _col(a)).cast("timestamp_ntz")
-    tb = F.date_trunc("hour", _col(b)).cast("timestamp_ntz")
-    return ((F.unix_seconds(tb.cast("timestamp")) - F.unix_seconds(ta.cast("timestamp"))) / 3600).cast("bigint")
+    """Hour boundaries crossed from ``a`` to ``b`` (02:45 -> 05:00 is 3).
+
+    Pure wall-clock arithmetic on TIMESTAMP_NTZ fields (days x 24 + hour
+    difference), so the result never depends on the session time zone."""
+    ca, cb = _col(a), _col(b)
+    return (F.datediff(F.to_date(cb), F.to_date(ca)).cast("bigint") * 24
+            + F.hour(cb).cast("bigint") - F.hour(ca).cast("bigint"))
 
 
 def hours_to_days_2dp(hours) -> Column:
