@@ -12,8 +12,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -47,7 +47,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
                           app="truetally-bench")
-    scratch = tempfile.mkdtemp(prefix="bench-", dir=checkpoint_dir(spark).replace("file:", ""))
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex}"  # fresh folder in the shared dir
     times: dict[str, float] = {}
 
     t = time.time()

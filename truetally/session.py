@@ -50,7 +50,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
-    if not d:  # local tests only: the setting is static, so register the folder with the context
+    if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3) for cluster runs")
+        # local tests only: the setting is static, so register a scratch folder with the context
         d = tempfile.mkdtemp(prefix="truetally-ckpt-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(d)
     return d
