@@ -347,7 +347,6 @@ class SemanticModel:
             if fact == "inventory" and latest_snapshot_default and not any(
                     d.name in ("snapshot_date", "snapshot_month", "is_latest_snapshot") for d in dims + fdims):
                 filters.append(("is_latest_snapshot", "==", True))
-                fdims.append(self.dimension("is_latest_snapshot"))
             for f in filters:  # every filter dimension must be reachable from this fact
                 fd = self.dimension(f[0])
                 if fd.entity != fact:

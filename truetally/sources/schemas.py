@@ -1,6 +1,6 @@
 """Declared schemas of governed tables (StructType = the DDL)."""
 
-from pyspark.sql.types import (BooleanType, DateType, DecimalType, DoubleType, IntegerType,
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, DoubleType, IntegerType, MapType,
                                StringType, StructField, StructType, TimestampNTZType)
 
 S, B, I, DT, TS, F = StringType(), BooleanType(), IntegerType(), DateType(), TimestampNTZType(), DoubleType()
@@ -35,8 +35,7 @@ CHANGE_LOG_SCHEMA = StructType([
     StructField("param_name", S), StructField("metric_id", S), StructField("old_value", D(18, 4)),
     StructField("new_value", D(18, 4)), StructField("old_version", S), StructField("new_version", S),
     StructField("reason", S),
-    StructField("scorecard_before", __import__("pyspark.sql.types", fromlist=["MapType"]).MapType(S, F)),
-    StructField("scorecard_after", __import__("pyspark.sql.types", fromlist=["MapType"]).MapType(S, F)),
+    StructField("scorecard_before", MapType(S, F)), StructField("scorecard_after", MapType(S, F)),
 ])
 
 ENTITLEMENT_RESULT_SCHEMA = schema(("run_ts", TS), ("test_id", S), ("persona_role", S), ("test_name", S),
