@@ -97,3 +97,14 @@ def test_metric_query_aggregates_before_dimension_join(x):
         below.append(ln)
     text = "\n".join(below)
     assert "HashAggregate" in text and text.index("HashAggregate") < text.index("FileScan")
+
+
+def test_no_row_caps_except_top_k_features(spark):
+    """Only the top-k reports may limit rows; every other key runs over whole tables."""
+    q = entry_mod.queries()
+    limited = set()
+    for name, fn in q.items():
+        plan = fn(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        if "GlobalLimit" in plan or "LocalLimit" in plan or "Sample" in plan:
+            limited.add(name)
+    assert limited == {"bottom_suppliers_otd", "audit_recent"}
