@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +22,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def on_workers(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the Python workers (once per Spark context)."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_truetally_shipped", False):
+        root = Path(__file__).resolve().parent.parent
+        target = os.path.join(tempfile.mkdtemp(prefix="truetally-"), "truetally-package.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f"{root.name}/{f.relative_to(root)}")
+        sc.addPyFile(target)
+        sc._truetally_shipped = True
+    return spark
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

@@ -24,6 +24,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every word of a 35-word sequence that stands anywhere else too."""
+    from truetally.llm.repeats import repeat_digests
+    return repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one of control strings; digests are read back from the output."""
     from truetally.llm.chat import conversation_digests
@@ -40,6 +46,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(_table(spark, sf_dir, "pages"))
 
 
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents at a similarity of 0.75."""
+    from truetally.llm.near_dup import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove cross-site boilerplate lines; counts and a digest of each kept text."""
     from truetally.llm.line_dedup import remove_boilerplate
@@ -49,7 +61,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op7_chat, op8_warc, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
 
 
 OP8_SQL = """

@@ -33,7 +33,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truetally.llm.common import scratch
+from truetally.llm.common import on_workers, scratch
 
 REVISIT_BYTES = 1000
 BLOCK_CAPTURES = 256
@@ -113,7 +113,7 @@ def _parse(record: bytes) -> dict:
 
 def write_archive(rows: DataFrame, folder: str, block_captures: int = BLOCK_CAPTURES) -> DataFrame:
     """Write archives and index blocks of :func:`captures` rows; returns the directory, itself written as Parquet."""
-    spark = rows.sparkSession
+    spark = on_workers(rows.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive = index = None
@@ -187,7 +187,7 @@ def read_archive(directory: DataFrame, folder: str) -> DataFrame:
                                                                  pa.int64()], strict=True)],
                     names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    spark = directory.sparkSession
+    spark = on_workers(directory.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return directory.select("archive", "block", "offset", "length").repartition(parts).mapInArrow(read, RECORDS)
 
