@@ -120,8 +120,13 @@ def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingle set of each document, as sorted 64-bit hashes."""
+    """The shingle set of each document, as sorted 64-bit hashes; of neighbouring rows of one class, the first."""
+    last = None
     for batch in batches:
+        cls = arrow_column(batch, "class").to_numpy()
+        fresh = np.r_[cls[:1] != last, cls[1:] != cls[:-1]]
+        last = cls[-1] if len(cls) else last
+        batch = batch.filter(pa.array(fresh))
         buf, off = string_buffers(arrow_column(batch, "_text"))
         sets: list[bytes] = []
         for i, j in doc_chunks(off):
@@ -238,10 +243,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .where("hub <> top").drop("top"), "regions")
     forest = written(every.join(shared, "shallow"), "forest")
     members = forest.select("class").distinct().join(classes.select("class", "key"), "class")
-    sets = written(keyed.select("_key", "_text").join(members.withColumnRenamed("key", "_key"), "_key")
+    sets = written(keyed.select("_key", "_text").join(members.withColumnRenamed("key", "_key").hint("merge"), "_key")
                    .select("class", "_text").mapInArrow(set_batches, "class long, shingles binary"), "sets")
-    # rows that repeat id and text share a key: one set is enough
-    sets = sets.dropDuplicates(["class"])
+
     votes = forest.where("class <> hub").groupBy("class", "hub").agg(F.count(F.lit(1)).alias("votes"))
     first = votes.groupBy("class").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub"))
     links = confirm(first.select(F.col("hub").alias("a"), F.col("class").alias("b")), sets)

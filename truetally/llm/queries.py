@@ -30,6 +30,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every byte of a 200-byte string that starts anywhere else too."""
+    from truetally.llm.suffix_levels import repeat_digests
+    return repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one of control strings; digests are read back from the output."""
     from truetally.llm.chat import conversation_digests
@@ -61,7 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op5_suffix_dedup, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
 
 
 OP8_SQL = """

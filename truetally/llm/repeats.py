@@ -140,7 +140,7 @@ def context_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[
 _FOUND = "key long, s int, e int"
 
 
-def extend_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def extend_batches(batches: Iterator[pa.RecordBatch], window: int, grams_of) -> Iterator[pa.RecordBatch]:
     """Extend the contexts of each seed against each other; rows come sorted by seed.
 
     Holds one Arrow batch and the contexts of one seed, of which there are at
@@ -149,11 +149,10 @@ def extend_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[p
 
     def solve(t: pa.Table) -> pa.RecordBatch:
         seed, n, key, at = (t[x].to_numpy() for x in ("seed", "n", "key", "at"))
-        buf, off = string_buffers(t["grams"].combine_chunks() if t["grams"].num_chunks != 1 else t["grams"].chunk(0))
-        h = np.frombuffer(buf.tobytes(), np.uint64)
-        size = np.diff(off) // 8
+        h, off = grams_of(t["grams"].combine_chunks() if t["grams"].num_chunks != 1 else t["grams"].chunk(0))
+        size = np.diff(off)
         row = np.repeat(np.arange(len(seed)), size)
-        place = np.arange(len(h)) - np.repeat(off[:-1] // 8, size)
+        place = np.arange(len(h)) - np.repeat(off[:-1], size)
         inverse, _ = K.group_min_max(h ^ K.mix(seed.view(np.uint64)[row]))
         total = np.bincount(inverse, weights=n[row])
         hit = (total[inverse] > 1) & (n[row] == 1)
@@ -180,19 +179,20 @@ def extend_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[p
         yield solve(held)
 
 
-def covered_words(docs: DataFrame, window: int, seed: int, hot_seed: int) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents, spans of covered words by document key)."""
-    spark = docs.sparkSession
-    keyed = docs
-    found = written(keyed.select("_key", "_text").mapInArrow(lambda b: anchor_batches(b, window, seed), _ANCHORS),
-                    "anchors")
-    open_ = found.where(F.col("spans").isNull()).drop("spans")
-    shared = written(open_.groupBy("seed").agg(F.sum("n").alias("total"), F.min("ctx").alias("c0"),
-                                               F.max("ctx").alias("c1"))
+def settle(keyed: DataFrame, seeded: DataFrame, contexts_of, grams_of, window: int, hot_seed: int) -> DataFrame:
+    """Spans (key, s, e) of repeats seen through anchors that share their seed with others.
+
+    ``seeded``: (seed, ctx, n, key, at, lo, hi) of those anchors. ``contexts_of``
+    turns Arrow batches of documents with the contexts to extend into rows of
+    ``_CONTEXTS``; ``grams_of`` gives the window hashes of such rows.
+    """
+    spark = keyed.sparkSession
+    shared = written(seeded.groupBy("seed").agg(F.sum("n").alias("total"), F.min("ctx").alias("c0"),
+                                                F.max("ctx").alias("c1"))
                      .where("total > 1")
                      .select("seed", (F.col("c0") != F.col("c1")).alias("mixed"),
                              (F.col("total") > hot_seed).alias("hot")), "shared-seeds")
-    joined = written(open_.join(shared, "seed"), "seeded")
+    joined = written(seeded.join(shared, "seed"), "seeded")
     end = F.col("at") + F.col("lo") + F.col("hi") + window
     whole = joined.where("not mixed").select("key", F.col("at").alias("s"), end.alias("e"))
     by_context = Window.partitionBy("seed", "ctx")
@@ -204,32 +204,50 @@ def covered_words(docs: DataFrame, window: int, seed: int, hot_seed: int) -> tup
             .groupBy(F.col("key").alias("_key"))
             .agg(F.collect_list(F.struct("seed", "ctx", F.least("total", F.lit(2)).cast("int").alias("n"), "at", "lo",
                                          "hi", "hot")).alias("_reps")))
-    contexts = written(keyed.join(reps, "_key").mapInArrow(lambda b: context_batches(b, window), _CONTEXTS), "windows")
+    contexts = keyed.join(reps, "_key").mapInArrow(contexts_of, _CONTEXTS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cool = (contexts.where("not hot").repartition(parts, "seed").sortWithinPartitions("seed")
-            .mapInArrow(lambda b: extend_batches(b, window), _FOUND))
-    warm = hot_windows(contexts.where("hot"), window)
-    spans = (whole.unionByName(equal).unionByName(cool).unionByName(warm)
-             .groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("_pairs")))
-    local = (found.where(F.col("spans").isNotNull()).groupBy("key")
-             .agg(F.collect_list("spans").alias("_spans")))
-    return keyed, spans.join(local, "key", "full").withColumnRenamed("key", "_key")
+            .mapInArrow(lambda b: extend_batches(b, window, grams_of), _FOUND))
+    warm = hot_windows(contexts.where("hot"), window, grams_of)
+    return whole.unionByName(equal).unionByName(cool).unionByName(warm)
+
+
+def covered_words(docs: DataFrame, window: int, seed: int, hot_seed: int) -> tuple[DataFrame, DataFrame]:
+    """(keyed documents, spans of covered words by document key)."""
+    found = written(docs.select("_key", "_text").mapInArrow(lambda b: anchor_batches(b, window, seed), _ANCHORS),
+                    "anchors")
+    spans = settle(docs, found.where(F.col("spans").isNull()).drop("spans"),
+                   lambda b: context_batches(b, window), word_grams, window, hot_seed)
+    return docs, by_document(spans, found.where(F.col("spans").isNotNull()))
+
+
+def by_document(spans: DataFrame, local: DataFrame) -> DataFrame:
+    """(_key, _pairs, _spans): all spans of a document in one row."""
+    pairs = spans.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("_pairs"))
+    blobs = local.groupBy("key").agg(F.collect_list("spans").alias("_spans"))
+    return pairs.join(blobs, "key", "full").withColumnRenamed("key", "_key")
+
+
+def word_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(window hashes, offsets of the rows in them) of a column of packed hashes."""
+    buf, off = string_buffers(column)
+    return np.frombuffer(buf.tobytes(), np.uint64), off // 8
 
 
-def hot_windows(contexts: DataFrame, window: int) -> DataFrame:
+def hot_windows(contexts: DataFrame, window: int, grams_of) -> DataFrame:
     """The extension of contexts whose seed is very common, with their windows spread by hash."""
     unpack = "seed long, ctx long, n int, key long, at int, gram long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, off = string_buffers(arrow_column(batch, "grams"))
-            size = np.diff(off) // 8
+            h, off = grams_of(arrow_column(batch, "grams"))
+            size = np.diff(off)
             row = np.repeat(np.arange(len(size)), size)
-            place = np.arange(len(row)) - np.repeat(off[:-1] // 8, size)
+            place = np.arange(len(row)) - np.repeat(off[:-1], size)
             pick = lambda x: arrow_column(batch, x).to_numpy(zero_copy_only=False)[row]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pick("seed")), pa.array(pick("ctx")), pa.array(pick("n")), pa.array(pick("key")),
-                 pa.array((pick("at") + place).astype(np.int32)), pa.array(np.frombuffer(buf.tobytes(), np.int64))],
+                 pa.array((pick("at") + place).astype(np.int32)), pa.array(h.view(np.int64))],
                 names=["seed", "ctx", "n", "key", "at", "gram"])
 
     each = written(contexts.drop("hot").mapInArrow(run, unpack), "hot-windows")
