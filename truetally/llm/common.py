@@ -48,6 +48,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` (a written table) hinted for broadcast if its counted rows fit the bound, else as it is.
+
+    Beyond the bound the join is an ordinary shuffled one.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def text_key(id_col: str, text_col: str) -> Column:
     """64-bit key of a document row: its id and its whole text (null: empty).
 

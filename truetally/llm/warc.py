@@ -33,10 +33,12 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truetally.llm.common import on_workers, scratch
+from truetally.llm.common import on_workers, scratch, small_side, written
 
 REVISIT_BYTES = 1000
 BLOCK_CAPTURES = 256
+#: Repeated payloads up to which their table (about 100 bytes a row) is broadcast, so that pages move only once.
+KEPT_ROWS = 300_000
 #: Packed records that one block covers at most (plus one record): a reader holds that much.
 BLOCK_BYTES = 4 << 20
 LEVEL = 4
@@ -66,6 +68,8 @@ def captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", ht
     # one row per payload met more than once; unique payloads never meet the join
     kept = (base.where(F.octet_length("payload") >= REVISIT_BYTES).groupBy("digest")
             .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    kept = small_side(written(kept.withColumn("digest", F.unhex("digest")), "kept-payloads"), KEPT_ROWS) \
+        .withColumn("digest", F.lower(F.hex("digest")))
     return (base.join(kept, "digest", "left")
             .withColumn("refers_to", F.when((F.octet_length("payload") >= REVISIT_BYTES)
                                             & ~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper")))
