@@ -30,6 +30,13 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every document and the verdict of the robust outlier rule."""
+    from truetally.llm.quality import judge
+    return judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove every byte of a 200-byte string that starts anywhere else too."""
     from truetally.llm.suffix_levels import repeat_digests
@@ -67,7 +74,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op5_suffix_dedup, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_quality, op5_suffix_dedup, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
 
 
 OP8_SQL = """
