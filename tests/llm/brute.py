@@ -78,3 +78,24 @@ def near_groups(docs):
         r = root(k)
         least[r] = min(least.get(r, i), i)
     return [(i, len(s), least[root(k)], i == least[root(k)]) for k, (i, s) in enumerate(sets)]
+
+
+def tokens(text):
+    return [t for t in re.split(r"[\W_]+", (text or "").lower()) if t]
+
+
+def leaks(docs, items, min_score=10):
+    """{(doc_id, item_id, score)} over all diagonals."""
+    out = {}
+    for doc_id, text in docs:
+        h = tokens(text)
+        for item_id, item in items:
+            g = tokens(item)
+            for d in range(-len(g), len(h)):
+                run = best = 0
+                for j in range(max(0, -d), min(len(g), len(h) - d)):
+                    run = max(0, run + (1 if g[j] == h[j + d] else -1))
+                    best = max(best, run)
+                if best >= min_score:
+                    out[doc_id, item_id] = max(best, out.get((doc_id, item_id), 0))
+    return out

@@ -37,6 +37,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a document and a benchmark item that overlap, substitutions tolerated."""
+    from truetally.llm.decontaminate import leaks
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "score", "item_tokens")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove every byte of a 200-byte string that starts anywhere else too."""
     from truetally.llm.suffix_levels import repeat_digests
@@ -74,7 +81,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_quality, op5_suffix_dedup, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_quality, op4_decontaminate, op5_suffix_dedup, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
 
 
 OP8_SQL = """
