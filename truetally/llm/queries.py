@@ -50,6 +50,17 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(_table(spark, sf_dir, "documents"))
 
 
+#: Key of the registered query; a real run passes its own.
+DEMO_KEY = "demonstration key"
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data under format-preserving pseudonyms."""
+    from truetally.llm.pii import pseudonymise
+    return pseudonymise(_table(spark, sf_dir, "documents"), DEMO_KEY).select(
+        "doc_id", F.col("_n_replaced").alias("n_replaced"), "text")
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one of control strings; digests are read back from the output."""
     from truetally.llm.chat import conversation_digests
@@ -81,7 +92,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_quality, op4_decontaminate, op5_suffix_dedup, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_quality, op4_decontaminate, op5_suffix_dedup, op6_pii, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
 
 
 OP8_SQL = """
