@@ -10,14 +10,17 @@ groups are the connected components of the links.
   each. A region is a run of classes with a common prefix in one tree; two
   classes with similarity 0.75 miss a common prefix of length 2 in all trees
   with a probability of 2e-6.
-* First, each class is compared with the least class that it shares most
-  regions with. Confirmed links give preliminary components, which absorb
-  almost all regions.
-* Then every region that still holds classes of different components is
-  compared inside: all pairs across components by their signatures, at the
-  shallow depth. Regions with more than ``REGION`` classes are dense; there the
-  depth adapts to the full ``DEPTH`` values, and what is dense even so is split
-  into blocks, whose pairs go to different tasks.
+* First the forest's depth adapts to each region: in regions of more than
+  ``REGION`` classes the full ``DEPTH`` values count, elsewhere the shallow
+  prefix. Each class is compared with the least class of the regions that it
+  shares most often. Confirmed links give components, which absorb almost all
+  regions.
+* Then the regions that still hold several components are compared inside, at
+  the shallow depth, on long signatures: in rounds, each class with its best
+  match in another component, until a round confirms nothing more; and at last
+  every remaining pair across components that can reach 0.75. Regions with
+  more than ``REGION`` classes are split into blocks, whose pairs go to
+  different tasks. A pair that shares several regions is reported in one.
 * Every candidate is confirmed on the full shingle sets.
 
 Defined cases: null or blank text has an empty set and is linked with nothing;
@@ -44,14 +47,14 @@ from truetally.llm.components import components
 
 SHINGLE, SHARE = 5, 75
 TREES, DEPTH, SHALLOW = 16, 5, 2
-PERMUTATIONS = TREES * DEPTH
-REGION = 2048
-#: Signature agreement below which a pair can't reach 0.75 (4 standard deviations below it).
-AGREE = 0.55
+REGION = 1024
+#: Values (one byte each) of the long signatures, and the agreement that a pair with similarity 0.75 falls short of
+#: with a probability of 3e-5 (4 standard deviations of 0.019).
+LONG, AGREE = 512, 0.673
 
 _rng = np.random.default_rng(977)
-_XOR = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
-_MUL = _rng.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) | K.U(1)
+_XOR = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64)
+_MUL = _rng.integers(0, 1 << 63, LONG, dtype=np.uint64) | K.U(1)
 
 
 def shingles(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,11 +80,19 @@ def shingles(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[new], np.concatenate([[0], np.cumsum(new)])[begin]
 
 
-_SIGNED = "key long, id long, n long, class long, shallow array<long>, deep array<long>, sig binary"
+def min_hashes(h: np.ndarray, head: np.ndarray, count: int) -> np.ndarray:
+    """(count, sets): the first ``count`` MinHash values of each set; ``head``: where the (non-empty) sets begin."""
+    low = np.empty((count, len(head)), np.uint64)
+    for p in range(count):
+        low[p] = np.minimum.reduceat((h ^ _XOR[p]) * _MUL[p], head)
+    return K.mix(low)
+
+
+_SIGNED = "key long, id long, n long, class long, shallow array<long>, deep array<long>"
 
 
 def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Class, set size, region keys and signature of each document."""
+    """Class, set size and region keys of each document."""
     for batch in batches:
         buf, off = string_buffers(arrow_column(batch, "_text"))
         rows = batch.num_rows
@@ -89,7 +100,6 @@ def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cls = np.zeros(rows, np.uint64)
         shallow = np.zeros((rows, TREES), np.uint64)
         deep = np.zeros((rows, TREES), np.uint64)
-        sig = np.zeros((rows, PERMUTATIONS), np.uint8)
         for i, j in doc_chunks(off):
             h, at = shingles(buf[off[i]:off[j]], off[i:j + 1] - off[i])
             size = np.diff(at)
@@ -99,11 +109,7 @@ def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             head = at[:-1][some]
             cls[i + some] = K.mix(np.add.reduceat(K.mix(h), head) ^ K.mix(size[some].astype(np.uint64)))
-            low = np.empty((PERMUTATIONS, len(some)), np.uint64)
-            for p in range(PERMUTATIONS):
-                low[p] = np.minimum.reduceat((h ^ _XOR[p]) * _MUL[p], head)
-            low = K.mix(low)
-            sig[i + some] = (low >> K.U(56)).astype(np.uint8).T
+            low = min_hashes(h, head, TREES * DEPTH)
             for t in range(TREES):
                 key = np.full(len(some), t + 1, np.uint64)
                 for d in range(DEPTH):
@@ -115,12 +121,12 @@ def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(np.arange(0, rows * TREES + 1, TREES, dtype=np.int32)), pa.array(x.view(np.int64).ravel()))
         yield pa.RecordBatch.from_arrays(
             [arrow_column(batch, "_key"), arrow_column(batch, "_id"), pa.array(n), pa.array(cls.view(np.int64)),
-             lists(shallow), lists(deep), pa.array([x.tobytes() for x in sig], pa.binary())],
-            names=["key", "id", "n", "class", "shallow", "deep", "sig"])
+             lists(shallow), lists(deep)],
+            names=["key", "id", "n", "class", "shallow", "deep"])
 
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingle set of each document, as sorted 64-bit hashes; of neighbouring rows of one class, the first."""
+    """Shingle set (sorted 64-bit hashes) and long signature; of neighbouring rows of one class, the first."""
     last = None
     for batch in batches:
         cls = arrow_column(batch, "class").to_numpy()
@@ -129,11 +135,14 @@ def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = batch.filter(pa.array(fresh))
         buf, off = string_buffers(arrow_column(batch, "_text"))
         sets: list[bytes] = []
+        sigs: list[bytes] = []
         for i, j in doc_chunks(off):
             h, at = shingles(buf[off[i]:off[j]], off[i:j + 1] - off[i])
             sets += [h[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([arrow_column(batch, "class"), pa.array(sets, pa.binary())],
-                                         names=["class", "shingles"])
+            # only documents with shingles take part
+            sigs += [x.tobytes() for x in (min_hashes(h, at[:-1], LONG) >> K.U(56)).astype(np.uint8).T]
+        yield pa.RecordBatch.from_arrays([arrow_column(batch, "class"), pa.array(sets, pa.binary()),
+                                          pa.array(sigs, pa.binary())], names=["class", "shingles", "sig"])
 
 
 def confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,32 +167,41 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 _PAIRS = "a long, b long"
 
 
-def region_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def region_batches(batches: Iterator[pa.RecordBatch], every: bool) -> Iterator[pa.RecordBatch]:
     """Pairs across components inside each region whose signatures agree enough; rows come sorted by region.
 
-    Holds one Arrow batch and one region (or pair of blocks) at a time.
+    With ``every`` all of them, each in the first tree whose region the two
+    share; else only each class's best one. Holds one Arrow batch and one
+    region (or pair of blocks) at a time.
     """
 
     def solve(t: pa.Table) -> pa.RecordBatch:
-        region, cls, comp, side = (t[x].to_numpy() for x in ("region", "class", "root", "side"))
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, PERMUTATIONS)
+        region, tree, cls, comp, side = (t[x].to_numpy() for x in ("region", "tree", "class", "root", "side"))
+        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, LONG)
+        keys = t["shallow"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, TREES) if every else None
         cuts = np.flatnonzero(np.diff(region)) + 1
-        out_a, out_b = [], []
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, j in zip(np.r_[0, cuts], np.r_[cuts, len(region)], strict=True):
             crossed = side[i] >= 0  # a pair of different blocks: only pairs between them
-            for k in range(i, j - 1):
-                rest = slice(k + 1, j)
+            for k in range(i, j if not every else j - 1):
+                rest = np.arange(k + 1 if every else i, j)
                 ok = comp[rest] != comp[k]
                 if crossed:
                     ok &= side[rest] != side[k]
-                who = np.flatnonzero(ok) + k + 1
-                if len(who):
-                    agree = (sig[who] == sig[k]).mean(axis=1)
+                who = rest[ok]
+                if not len(who):
+                    continue
+                agree = (sig[who] == sig[k]).mean(axis=1)
+                if every:
                     who = who[agree >= AGREE]
-                    out_a.append(np.full(len(who), cls[k]))
-                    out_b.append(cls[who])
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
+                    first = (keys[who] == keys[k]).argmax(axis=1)
+                    who = who[first == tree[k]]
+                else:
+                    best = int(agree.argmax())
+                    who = who[best:best + 1] if agree[best] >= AGREE else who[:0]
+                out_a.append(np.full(len(who), cls[k]))
+                out_b.append(cls[who])
+        a, b = np.concatenate(out_a), np.concatenate(out_b)
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     held: pa.Table | None = None
@@ -201,7 +219,7 @@ def region_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield solve(held)
 
 
-def crossing_pairs(forest: DataFrame, classes: DataFrame, roots: DataFrame, region: int) -> DataFrame:
+def crossing_pairs(forest: DataFrame, signatures: DataFrame, roots: DataFrame, region: int, every: bool) -> DataFrame:
     """Candidate pairs of different components that share a region."""
     spark = forest.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -209,23 +227,16 @@ def crossing_pairs(forest: DataFrame, classes: DataFrame, roots: DataFrame, regi
                        .withColumn("root", F.coalesce("root", "class")), "labelled")
     mixed = written(labelled.groupBy("shallow").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
                                                     F.count(F.lit(1)).alias("size"))
-                    .where("r0 <> r1").select("shallow", "size"), "mixed-regions")
-    rows = written(labelled.join(mixed, "shallow"), "mixed-rows")
-    sparse = rows.where(F.col("size") <= region).select(F.col("shallow").alias("region"), "class", "root",
-                                                        F.lit(-1).alias("side"))
-    dense = rows.where(F.col("size") > region)
-    deep = (dense.groupBy("deep").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
-                                      F.count(F.lit(1)).alias("n")).where("r0 <> r1")
-            .select("deep", F.ceil(F.col("n") / region).cast("int").alias("blocks")))
-    split = (dense.join(written(deep, "deep-regions"), "deep")
-             .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select(F.xxhash64("deep", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "class",
-                     "root", F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own")).alias("side")))
-    # blocks meet pairwise: (i, i) has one side, (i, j) has two
-    placed = sparse.unionByName(split).join(classes.select("class", "sig"), "class")
-    return (placed.repartition(parts, "region").sortWithinPartitions("region")
-            .mapInArrow(region_batches, _PAIRS).distinct())
+                    .where("r0 <> r1").select("shallow", F.ceil(F.col("size") / region).cast("int").alias("blocks")),
+                    "mixed-regions")
+    # blocks meet pairwise: (i, i) has no sides, (i, j) has two
+    rows = (labelled.join(mixed, "shallow")
+            .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(F.xxhash64("shallow", F.least("own", "other"), F.greatest("own", "other")).alias("region"), "tree",
+                    "class", "root", F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own")).alias("side")))
+    return (rows.join(signatures, "class").repartition(parts, "region").sortWithinPartitions("region")
+            .mapInArrow(lambda b: region_batches(b, every), _PAIRS).distinct())
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", region: int = REGION) -> DataFrame:
@@ -236,22 +247,35 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     signed = written(keyed.mapInArrow(sign_batches, _SIGNED), "signed")
     classes = written(signed.where("n > 0").groupBy("class")
                       .agg(F.min("id").alias("id"), F.first("key").alias("key"), F.first("shallow").alias("shallow"),
-                           F.first("deep").alias("deep"), F.first("sig").alias("sig")), "classes")
-    every = classes.select("class", F.explode(F.arrays_zip("shallow", "deep")).alias("t")) \
-        .select("class", "t.shallow", "t.deep")
-    shared = written(every.groupBy("shallow").agg(F.min("class").alias("hub"), F.max("class").alias("top"))
-                     .where("hub <> top").drop("top"), "regions")
-    forest = written(every.join(shared, "shallow"), "forest")
-    members = forest.select("class").distinct().join(classes.select("class", "key"), "class")
-    sets = written(keyed.select("_key", "_text").join(members.withColumnRenamed("key", "_key").hint("merge"), "_key")
-                   .select("class", "_text").mapInArrow(set_batches, "class long, shingles binary"), "sets")
-
-    votes = forest.where("class <> hub").groupBy("class", "hub").agg(F.count(F.lit(1)).alias("votes"))
+                           F.first("deep").alias("deep")), "classes")
+    rows = (classes.select("class", F.posexplode(F.arrays_zip("shallow", "deep")).alias("tree", "t"))
+            .select("class", "tree", "t.shallow", "t.deep"))
+    shared = written(rows.groupBy("shallow").agg(F.min("class").alias("low"), F.max("class").alias("high"),
+                                                 F.count(F.lit(1)).alias("size")).where("low <> high").drop("high"), "regions")
+    forest = written(rows.join(shared, "shallow"), "forest")
+    members = written(forest.select("class").distinct().join(classes.select("class", "key", "shallow"), "class"), "members")
+    sets = written(keyed.select("_key", "_text")
+                   .join(members.select("class", F.col("key").alias("_key")).hint("merge"), "_key")
+                   .select("class", "_text").mapInArrow(set_batches, "class long, shingles binary, sig binary"), "sets")
+    shingle_sets = sets.select("class", "shingles")
+    # the depth adapts: dense regions are looked at along the whole prefix
+    dense = forest.where(F.col("size") > region)
+    deep = written(dense.groupBy("deep").agg(F.min("class").alias("hub")), "deep-regions")
+    hubs = (forest.where(F.col("size") <= region).select("class", F.col("low").alias("hub"))
+            .unionByName(dense.join(deep, "deep").select("class", "hub")))
+    votes = hubs.where("class <> hub").groupBy("class", "hub").agg(F.count(F.lit(1)).alias("votes"))
     first = votes.groupBy("class").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub"))
-    links = confirm(first.select(F.col("hub").alias("a"), F.col("class").alias("b")), sets)
+    links = confirm(first.select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")), shingle_sets)
     roots = components(links)
-    more = confirm(crossing_pairs(forest.drop("hub"), classes, roots, region), sets)
-    roots = components(links.unionByName(more))
+    forest = forest.select("class", "tree", "shallow")
+    signatures = sets.select("class", "sig").join(members.select("class", "shallow"), "class")
+    more = links
+    while not more.isEmpty():  # rounds of best matches; components shrink in number with every one
+        more = confirm(crossing_pairs(forest, signatures.drop("shallow"), roots, region, False), shingle_sets)
+        links = links.unionByName(more)
+        roots = components(links)
+    rest = confirm(crossing_pairs(forest, signatures, roots, region, True), shingle_sets)
+    roots = components(links.unionByName(rest))
     owner = classes.select("class", "id").join(roots.withColumnRenamed("node", "class"), "class", "left") \
         .withColumn("root", F.coalesce("root", "class"))
     least = owner.groupBy("root").agg(F.min("id").alias("component_id"))
