@@ -58,8 +58,3 @@ def ratio(num, den) -> Column:
     """num / den as DOUBLE, null when den is 0 or null (sums cast to double first)."""
     d = _col(den).cast("double")
     return F.when(d == 0, F.lit(None).cast("double")).otherwise(_col(num).cast("double") / d)
-
-
-def round_via_decimal(x, scale: int) -> Column:
-    """Round a double through DECIMAL(18,8) (never round a double directly)."""
-    return F.round(_col(x).cast("decimal(18,8)"), scale)

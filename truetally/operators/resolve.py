@@ -28,11 +28,11 @@ def fx_convert(df: DataFrame, rates: DataFrame, currency: str, date: Column | st
                how: str = "inner") -> DataFrame:
     """Join the monthly USD rate of ``date``'s month for ``currency``.
 
-    The rate table is bounded (months x currencies), so it is broadcast. With
+    Spark sizes the rate table and broadcasts it while it is small. With
     ``how='inner'`` a missing month drops the row (the reference behaviour,
     counted by ``dq_row_loss``)."""
     d = F.col(date) if isinstance(date, str) else date
     r = rates.select(F.col("currency").alias("_fx_cur"), F.col("month_start").alias("_fx_month"),
                      F.col("usd_per_unit").alias(out_rate))
-    return (df.join(F.broadcast(r), (F.col(currency) == F.col("_fx_cur")) & (F.trunc(d, "month") == F.col("_fx_month")),
+    return (df.join(r, (F.col(currency) == F.col("_fx_cur")) & (F.trunc(d, "month") == F.col("_fx_month")),
                     how).drop("_fx_cur", "_fx_month"))

@@ -19,12 +19,11 @@ def apply_row_scope(df: DataFrame, scope: DataFrame, role: str | None, col: str
     """Rows whose ``col`` is in the role's scope (EXISTS -> left semi join).
 
     The steward sees everything; an unknown role sees nothing; a NULL ``col``
-    is invisible to every persona. The scope table is bounded by roles x
-    plants, so it is broadcast."""
+    is invisible to every persona. Spark broadcasts the scope while it is small."""
     if role is None or role == steward:
         return df
     allowed = scope.filter(F.col("role_name") == role).select(F.col("plant_id").alias("_scope_plant"))
-    return df.join(F.broadcast(allowed), F.col(col) == F.col("_scope_plant"), "left_semi")
+    return df.join(allowed, F.col(col) == F.col("_scope_plant"), "left_semi")
 
 
 def apply_mask(df: DataFrame, role: str | None, cols: Sequence[str] = PRICE_COLUMNS,

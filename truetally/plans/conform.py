@@ -2,7 +2,7 @@
 
 Every rule (units, time zones, FX, tolerance window, due-ness, landed cost,
 trailing COGS) is applied here once. All functions return lazy DataFrames;
-:func:`build` wires them and :meth:`Conformed.materialize` writes them once
+:func:`build` wires them and :func:`build_materialized` writes them once
 (parquet) so metric queries read facts instead of recomputing them.
 """
 
@@ -14,6 +14,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from truetally.functions.calendar import fiscal_quarter_label, quarter_label
 from truetally.functions.rules import classify_window, landed_cost_parts, order_line_rules
@@ -101,7 +102,7 @@ def build_shipments(raw: RawSources, parts: DataFrame, plants: DataFrame) -> Dat
     so = raw.so_item.select("vbeln", "posnr", "kunnr", "matnr", "werks")
     s = raw.shipment.join(so, (F.col("order_ref") == F.col("vbeln")) & (F.col("order_line_ref") == F.col("posnr")))
     s = s.join(parts.select("part_id", "pack_qty", "std_cost_usd"), F.col("matnr") == F.col("part_id"))
-    s = s.join(F.broadcast(plants.select(F.col("plant_id").alias("_pl"), "time_zone")), F.col("werks") == F.col("_pl"))
+    s = s.join(plants.select(F.col("plant_id").alias("_pl"), "time_zone"), F.col("werks") == F.col("_pl"))
     s = fx_convert(s, raw.fx_rate, "freight_currency", F.to_date("ship_ts_local"))
     ea = to_base_uom("qty_shipped", "qty_uom", "pack_qty")
     ship_utc = local_to_utc("ship_ts_local", "time_zone")
@@ -122,22 +123,27 @@ def build_shipments(raw: RawSources, parts: DataFrame, plants: DataFrame) -> Dat
 # --------------------------------------------------------------- order lines
 def order_line_fill(so_item: DataFrame, shipments: DataFrame, carry: list[str] = ()) -> DataFrame:
     """Per sales line: shipped, shipped by commit, delivered by commit (EA) and
-    the carrier of the earliest leg (tie-break ship time, shipment id). One
-    left join + one aggregation on the same key (partial aggregation; AQE
-    splits a hot line in the join). ``carry`` columns of the sales line (one
-    value per line) ride along, so the fact needs no second join."""
+    the carrier of the earliest leg (tie-break ship time, shipment id).
+
+    Legs are first summed per (line, ship date, delivery date), map-side
+    combined, so a line with very many legs meets the join as a row per pair of
+    days. ``carry`` columns of the sales line (one value per line) ride along,
+    so the fact needs no second join."""
     so = so_item.select(order_line_id("vbeln", "posnr").alias("order_line_id"), "edatu", *carry)
-    f = shipments.select("order_line_id", "shipped_qty_ea", "ship_date", "delivery_date", "carrier_id",
-                         "ship_ts_local", "shipment_id")
+    days = shipments.groupBy("order_line_id", "ship_date", "delivery_date").agg(
+        F.sum("shipped_qty_ea").alias("day_qty"),
+        F.min(F.struct("ship_ts_local", "shipment_id", "carrier_id")).alias("first_leg"))
     zero = F.lit(0).cast(D3)
-    j = so.join(f, "order_line_id", "left")
-    return j.groupBy("order_line_id").agg(
-        F.coalesce(F.sum("shipped_qty_ea"), zero).cast(D3).alias("shipped_qty_ea"),
-        F.coalesce(F.sum(F.when(F.col("ship_date") <= F.col("edatu"), F.col("shipped_qty_ea")).otherwise(zero)),
-                   zero).cast(D3).alias("shipped_by_commit_qty_ea"),
-        F.coalesce(F.sum(F.when(F.col("delivery_date") <= F.col("edatu"), F.col("shipped_qty_ea")).otherwise(zero)),
-                   zero).cast(D3).alias("delivered_by_commit_qty_ea"),
-        F.min_by("carrier_id", F.struct("ship_ts_local", "shipment_id")).alias("primary_carrier_id"),
+    qty = F.col("day_qty")
+
+    def total(counted) -> F.Column:
+        return F.coalesce(F.sum(F.when(counted, qty).otherwise(zero)), zero).cast(D3)
+
+    return so.join(days, "order_line_id", "left").groupBy("order_line_id").agg(
+        F.coalesce(F.sum(qty), zero).cast(D3).alias("shipped_qty_ea"),
+        total(F.col("ship_date") <= F.col("edatu")).alias("shipped_by_commit_qty_ea"),
+        total(F.col("delivery_date") <= F.col("edatu")).alias("delivered_by_commit_qty_ea"),
+        F.min("first_leg")["carrier_id"].alias("primary_carrier_id"),
         *([F.first("edatu").alias("edatu")] if carry else []), *[F.first(c).alias(c) for c in carry])
 
 
@@ -168,8 +174,8 @@ def po_base(raw: RawSources, xref: DataFrame, suppliers: DataFrame, plants: Data
     x = xref.filter(F.col("source_system") == "ERP").select(F.col("source_key").alias("_lifnr"), "supplier_id")
     i = raw.po_item.join(x, F.col("lifnr") == F.col("_lifnr")).drop("_lifnr")
     i = i.join(suppliers.select("supplier_id", "supplier_country"), "supplier_id")
-    i = i.join(F.broadcast(plants.select(F.col("plant_id").alias("werks"), "time_zone", "plant_country",
-                                         "handling_usd_per_kg")), "werks")
+    i = i.join(plants.select(F.col("plant_id").alias("werks"), "time_zone", "plant_country", "handling_usd_per_kg"),
+               "werks")
     i = i.join(parts.select(F.col("part_id").alias("matnr"), "unit_weight_kg", "commodity"), "matnr")
     return i.withColumn("po_line_id", F.concat(F.col("ebeln"), F.lit("-"),
                                                F.lpad(F.col("ebelp").cast("string"), 5, "0")))
@@ -184,45 +190,47 @@ def latest_confirmation(confirmations: DataFrame) -> DataFrame:
 def arrival_resolution(goods_receipt: DataFrame, gate_event: DataFrame, po: DataFrame) -> DataFrame:
     """One row per goods receipt: arrival = plant-local date of the gate-in
     read for its ASN, else the GR posting date, with the source recorded.
-    Gate reads are pre-aggregated to the earliest GATE_IN per ASN, so duplicate
-    reads can never multiply a receipt."""
+
+    Gate reads are reduced to the earliest GATE_IN per ASN, so duplicate reads
+    can never multiply a receipt; the ASN reference is split into its parts, so
+    both joins run on the natural key. The ordered quantity rides along."""
+    part = lambda i: F.split_part("asn_ref", F.lit("-"), F.lit(i))
     gate = (gate_event.filter(F.col("event_type") == "GATE_IN").groupBy("asn_ref")
-            .agg(F.min("event_ts_utc").alias("gate_ts_utc")))
-    gr = goods_receipt.join(po.select("ebeln", "ebelp", "time_zone"), ["ebeln", "ebelp"])
-    gr = gr.withColumn("asn_ref", F.concat_ws("-", "ebeln", F.col("ebelp").cast("string"),
-                                              F.col("receipt_seq").cast("string")))
-    r = gr.join(gate, "asn_ref", "left")
-    r = r.withColumn("gate_local_date", F.to_date(utc_to_local("gate_ts_utc", "time_zone")))
-    r = resolve_first(r, [("gate_local_date", "IOT_GATE_IN"), ("budat", "ERP_GR_POSTING")], "arrival_date")
-    return r.select("ebeln", "ebelp", "receipt_seq", F.col("menge").alias("gr_qty"), "arrival_date",
-                    F.when(F.col("gate_ts_utc").isNull(), "ERP_GR_POSTING").otherwise("IOT_GATE_IN")
-                    .alias("arrival_source"))
-
-
-def daily_receipts(rcpt: DataFrame) -> DataFrame:
+            .agg(F.min("event_ts_utc").alias("gate_ts_utc"))
+            .select(part(1).alias("ebeln"), F.expr("try_cast(split_part(asn_ref, '-', 2) as int)").alias("ebelp"),
+                    F.expr("try_cast(split_part(asn_ref, '-', 3) as int)").alias("receipt_seq"), "gate_ts_utc"))
+    lines = po.select("ebeln", "ebelp", "time_zone", F.col("menge").alias("ordered_qty"))
+    found = goods_receipt.join(lines, ["ebeln", "ebelp"]).join(gate, ["ebeln", "ebelp", "receipt_seq"], "left")
+    found = found.withColumn("gate_date", F.to_date(utc_to_local("gate_ts_utc", "time_zone")))
+    found = resolve_first(found, [("gate_date", "IOT_GATE_IN"), ("budat", "ERP_GR_POSTING")], "arrival_date")
+    return found.select("ebeln", "ebelp", "receipt_seq", F.col("menge").alias("gr_qty"), "arrival_date",
+                        F.when(F.col("gate_ts_utc").isNull(), "ERP_GR_POSTING").otherwise("IOT_GATE_IN")
+                        .alias("arrival_source"), "ordered_qty")
+
+
+def daily_receipts(receipts: DataFrame) -> DataFrame:
     """Receipts per (PO line, arrival date) with the running quantity through
     that date (window over at most one row per line and day)."""
-    daily = rcpt.groupBy("ebeln", "ebelp", "arrival_date").agg(
+    daily = receipts.groupBy("ebeln", "ebelp", "arrival_date").agg(
         F.sum("gr_qty").alias("day_qty"), F.count(F.lit(1)).alias("day_receipts"),
-        F.count_if(F.col("arrival_source") == "IOT_GATE_IN").alias("day_iot"))
+        F.count_if(F.col("arrival_source") == "IOT_GATE_IN").alias("day_iot"), F.first("ordered_qty").alias("ordered_qty"))
     w = (Window.partitionBy("ebeln", "ebelp").orderBy("arrival_date")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return daily.withColumn("cum_qty", F.sum("day_qty").over(w))
 
 
-def receipt_rollup(rcpt: DataFrame, po: DataFrame) -> DataFrame:
+def receipt_rollup(receipts: DataFrame) -> DataFrame:
     """Per PO line: received qty, first/last arrival, full-receipt date (first
     arrival at which the running qty reaches the ordered qty), receipt count
     and arrival source (IOT_GATE_IN / ERP_GR_POSTING / MIXED)."""
-    d = daily_receipts(rcpt).join(po.select("ebeln", "ebelp", "menge"), ["ebeln", "ebelp"])
-    g = d.groupBy("ebeln", "ebelp").agg(
+    per_line = daily_receipts(receipts).groupBy("ebeln", "ebelp").agg(
         F.sum("day_qty").cast(D3).alias("received_qty_ea"), F.min("arrival_date").alias("first_arrival_date"),
         F.max("arrival_date").alias("last_arrival_date"),
-        F.min(F.when(F.col("cum_qty") >= F.col("menge"), F.col("arrival_date"))).alias("full_receipt_date"),
-        F.sum("day_receipts").cast("int").alias("receipt_count"), F.sum("day_iot").alias("_iot"))
-    src = (F.when(F.col("_iot") == F.col("receipt_count"), "IOT_GATE_IN").when(F.col("_iot") == 0, "ERP_GR_POSTING")
-           .otherwise("MIXED"))
-    return g.withColumn("arrival_source", src).drop("_iot")
+        F.min(F.when(F.col("cum_qty") >= F.col("ordered_qty"), F.col("arrival_date"))).alias("full_receipt_date"),
+        F.sum("day_receipts").cast("int").alias("receipt_count"), F.sum("day_iot").alias("_gate"))
+    source = (F.when(F.col("_gate") == F.col("receipt_count"), "IOT_GATE_IN").when(F.col("_gate") == 0, "ERP_GR_POSTING")
+              .otherwise("MIXED"))
+    return per_line.withColumn("arrival_source", source).drop("_gate")
 
 
 def po_freight(raw: RawSources, as_of: dt.date) -> DataFrame:
@@ -265,7 +273,7 @@ def build_po_lines(raw: RawSources, xref: DataFrame, suppliers: DataFrame, plant
 
 def po_lines_from_base(raw: RawSources, po: DataFrame, params: Params, as_of: dt.date = DEFAULT_AS_OF) -> DataFrame:
     conf = latest_confirmation(raw.po_confirmation)
-    rcv = receipt_rollup(arrival_resolution(raw.goods_receipt, raw.gate_event, po), po)
+    rcv = receipt_rollup(arrival_resolution(raw.goods_receipt, raw.gate_event, po))
     totals = po_totals(po, po_freight(raw, as_of))
     b = po.join(conf, (F.col("ebeln") == F.col("po_ref")) & (F.col("ebelp") == F.col("line_ref")), "left")
     b = resolve_first(b, [("confirmed_delivery_date", "SUPPLIER_PORTAL"), ("eindt", "REQUESTED_DATE_FALLBACK")],
@@ -365,25 +373,50 @@ class Conformed:
     def items(self):
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
 
-    def materialize(self, spark: SparkSession, path: str) -> "Conformed":
-        """Write every table once as parquet under ``path`` (facts partitioned
-        by plant for pruning) and return frames reading them back. This also
-        cuts the lineage: later queries never recompute the build."""
-        out = {}
-        for name, df in self.items():
-            w = df.write.mode("overwrite")
-            if name.startswith("fct_"):
-                w = w.partitionBy("plant_id")
-            w.parquet(f"{path}/{name}")
-            out[name] = spark.read.parquet(f"{path}/{name}").select(*df.columns)
-        return Conformed(**out)
-
 
 # Time anchor each fact is filtered on most (period filters prune row groups).
 SORT_ANCHOR = {"fct_shipment": "ship_date", "fct_order_line": "commit_date", "fct_po_line": "confirmed_date",
                "fct_inventory": "snapshot_date"}
 
 
+def in_years(df: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
+    """Prune a written fact's year directories to a period of its anchor (the anchor's own filter stays needed)."""
+    if "anchor_year" not in df.columns:
+        return df
+    return df.filter(F.col("anchor_year").between(lo.year, hi.year))
+
+
+def public(df: DataFrame) -> DataFrame:
+    """A fact without the column of its directories."""
+    return df.drop("anchor_year")
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write once and read back under the written schema."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def write_fact(df: DataFrame, path: str, anchor: str, salts: int = 4) -> DataFrame:
+    """Write a fact partitioned by plant and anchor year, sorted by the anchor.
+
+    One shuffle brings the rows of a (plant, month) to ``salts`` tasks, so a
+    directory gets about 12 x salts files however many tasks run, and a busy
+    plant or month spreads. Read back under the written schema: a plant code
+    such as 0001 stays text. ``anchor_year`` is a directory only; period
+    filters on the anchor prune it (see semantic.py) and row groups.
+    """
+    columns = df.columns
+    year = F.coalesce(F.year(anchor), F.lit(0))
+    salt = F.pmod(F.xxhash64(*columns[:3]), F.lit(salts))
+    (df.withColumn("anchor_year", year)
+     .repartition("plant_id", F.trunc(anchor, "month"), salt)
+     .sortWithinPartitions("plant_id", "anchor_year", anchor)
+     .write.mode("overwrite").partitionBy("plant_id", "anchor_year").parquet(path))
+    schema = StructType([*df.schema.fields, StructField("anchor_year", IntegerType())])
+    return df.sparkSession.read.schema(schema).parquet(path).select(*columns, "anchor_year")
+
+
 def build_materialized(spark: SparkSession, raw: RawSources, path: str, params: Params | None = None,
                        as_of: dt.date = DEFAULT_AS_OF, parallel: int = 4) -> Conformed:
     """Build and write the conformed layer in dependency order: each table is
@@ -394,12 +427,7 @@ def build_materialized(spark: SparkSession, raw: RawSources, path: str, params:
     params = params or Params()
 
     def save(name, df, part=False):
-        if part:  # plant directories; rows sorted by the fact's time anchor -> tight row-group stats
-            df = df.sortWithinPartitions("plant_id", SORT_ANCHOR[name])
-            df.write.mode("overwrite").partitionBy("plant_id").parquet(f"{path}/{name}")
-        else:
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}").select(*df.columns)
+        return write_fact(df, f"{path}/{name}", SORT_ANCHOR[name]) if part else write_table(df, f"{path}/{name}")
 
     def level(jobs):
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:

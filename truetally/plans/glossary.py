@@ -40,15 +40,21 @@ def ngrams(text: Column, max_n: int) -> Column:
     return F.filter(F.flatten(F.array(*arrays)), lambda s: F.length(s) > 0)
 
 
-def match_terms(texts: DataFrame, id_cols: list[str], text_col: str, terms: DataFrame, max_n: int) -> DataFrame:
-    """(ids..., term, kind, target, hits) for every glossary term in each text."""
+def longest_term(terms: DataFrame) -> int:
+    """Words of the longest term (one number)."""
+    return terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 0
+
+
+def match_terms(texts: DataFrame, id_cols: list[str], text_col: str, terms: DataFrame) -> DataFrame:
+    """(ids..., term, kind, target, hits) for every glossary term in each text; n-grams go up to the longest term."""
+    max_n = longest_term(terms)
     t = texts.select(*id_cols, normalise_text(F.col(text_col)).alias("_t")).filter(F.length("_t") > 0)
     grams = t.select(*id_cols, F.explode(ngrams(F.col("_t"), max_n)).alias("term"))
-    # match against the broadcast term list first (map side): only matching
-    # n-grams -- a tiny fraction of ~4 x words -- are shuffled for the count
-    hits = grams.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
+    # match against the term list first (map side while Spark sizes it for broadcast):
+    # only matching n-grams, a tiny fraction of all, are shuffled for the count
+    hits = grams.join(terms.select("term").distinct(), "term", "left_semi")
     counted = hits.groupBy(*id_cols, "term").agg(F.count(F.lit(1)).alias("hits"))
-    return counted.join(F.broadcast(terms), "term")
+    return counted.join(terms, "term")
 
 
 def clarification_flags(matches: DataFrame, id_cols: list[str]) -> DataFrame:

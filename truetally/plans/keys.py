@@ -11,16 +11,15 @@ import hashlib
 import json
 import os
 import uuid
-import warnings
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 from pathlib import Path
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from truetally.functions.calendar import fiscal_quarter_label, month_spine_from, quarter_bounds, quarter_label
 from truetally.functions.units import to_base_uom
@@ -31,6 +30,7 @@ from truetally.plans.conform import Conformed
 from truetally.plans.semantic import SemanticModel
 from truetally.session import checkpoint_dir, ensure_session
 from truetally.sources import reference_data as ref
+from truetally.sources import tables
 from truetally.sources.driver import RawSources, raw_sources
 
 AS_OF = DEFAULT_AS_OF
@@ -51,12 +51,28 @@ class Ctx:
 _CTX: dict = {}
 
 
-def _fingerprint(sf_dir: str) -> str:
-    """Code + input + as_of identity of a materialised build."""
-    h = hashlib.sha256()
+SOURCE_TABLES = "customer events lineitem orders part supplier".split()
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> str:
+    """Digest over names, sizes and modification times of the input files (their contents aren't read)."""
+    marks = []
+    for table in SOURCE_TABLES:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(f"{sf_dir}/{table}.parquet").select("path", "length", "modificationTime"))
+        row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
+                        F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("mark")).first()
+        marks.append(f"{table}:{row['n']}:{row['bytes']}:{row['mark']}")
+    return "|".join(marks)
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Code + input files + as_of identity of a materialised build."""
+    h = hashlib.sha256(input_state(spark, sf_dir).encode())
     root = Path(__file__).resolve().parent.parent
     for f in sorted(root.rglob("*.py")):
-        h.update(f.read_bytes())
+        if f.parent.name != "llm":  # the training-data operators take no part in this build
+            h.update(f.read_bytes())
     h.update(os.path.abspath(sf_dir).encode())
     h.update(AS_OF.isoformat().encode())
     return h.hexdigest()[:20]
@@ -70,23 +86,25 @@ def _load_manifest(spark: SparkSession, manifest: str):
     if row is None:
         return None
     cols = json.loads(row["columns"])
-    raw = RawSources(**{n: spark.read.parquet(f"{row['base']}/raw/{n}").select(*c) for n, c in cols["raw"].items()})
-    conformed = Conformed(**{n: spark.read.parquet(f"{row['base']}/conformed/{n}").select(*c)
-                             for n, c in cols["conformed"].items()})
+    def load(layer):
+        return {n: spark.read.schema(StructType.fromJson(c)).parquet(f"{row['base']}/{layer}/{n}")
+                .select(*[f["name"] for f in c["fields"]]) for n, c in cols[layer].items()}
+
+    raw, conformed = RawSources(**load("raw")), Conformed(**load("conformed"))
     return raw, conformed
 
 
 def _materialized(spark: SparkSession, sf_dir: str):
     root = checkpoint_dir(spark).rstrip("/")
-    manifest = f"{root}/truetally-manifest-{_fingerprint(sf_dir)}"
+    manifest = f"{root}/truetally-manifest-{_fingerprint(spark, sf_dir)}"
     loaded = _load_manifest(spark, manifest)
     if loaded is not None:
         return loaded
     base = f"{root}/truetally-{uuid.uuid4().hex}"
     raw = raw_sources(spark, sf_dir, AS_OF, stage_dir=f"{base}/stage").materialize(spark, f"{base}/raw")
     conformed = conform.build_materialized(spark, raw, f"{base}/conformed", Params(), AS_OF)
-    cols = {"raw": {n: d.columns for n, d in raw.items()},
-            "conformed": {n: d.columns for n, d in conformed.items()}}
+    cols = {"raw": {n: d.schema.jsonValue() for n, d in raw.items()},
+            "conformed": {n: d.schema.jsonValue() for n, d in conformed.items()}}
     spark.createDataFrame([(base, json.dumps(cols))], "base string, columns string") \
         .write.mode("overwrite").parquet(manifest)
     return raw, conformed
@@ -109,10 +127,7 @@ def ctx(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Ctx:
         ensure_session(spark)
         loaded = None
         if materialize:
-            try:
-                loaded = _materialized(spark, sf_dir)
-            except (OSError, Py4JJavaError, AnalysisException) as exc:  # unwritable shared folder: stay lazy
-                warnings.warn(f"materialising the build failed ({exc}); using lazy plans")
+            loaded = _materialized(spark, sf_dir)
         if loaded is not None:
             raw, conformed = loaded
         else:
@@ -137,6 +152,11 @@ def scan_dims(x: Ctx):
     return x.c.dim_part
 
 
+@q
+def dim_customer(x: Ctx):
+    return x.c.dim_customer
+
+
 @q
 def crosswalk_supplier(x: Ctx):
     return x.c.xref_supplier
@@ -182,22 +202,22 @@ def fx_to_usd(x: Ctx):
 
 @q
 def fct_shipment(x: Ctx):
-    return x.c.fct_shipment
+    return conform.public(x.c.fct_shipment)
 
 
 @q
 def fct_order_line(x: Ctx):
-    return x.c.fct_order_line
+    return conform.public(x.c.fct_order_line)
 
 
 @q
 def fct_po_line(x: Ctx):
-    return x.c.fct_po_line
+    return conform.public(x.c.fct_po_line)
 
 
 @q
 def fct_inventory(x: Ctx):
-    return x.c.fct_inventory
+    return conform.public(x.c.fct_inventory)
 
 
 @q
@@ -220,31 +240,31 @@ def _po(x: Ctx):
     return conform.po_base(x.raw, x.c.xref_supplier, x.c.dim_supplier, x.c.dim_plant, x.c.dim_part)
 
 
-def _rcpt(x: Ctx):
+def _receipts(x: Ctx):
     return conform.arrival_resolution(x.raw.goods_receipt, x.raw.gate_event, _po(x))
 
 
 @q
 def arrival_resolution(x: Ctx):
-    return _rcpt(x)
+    return _receipts(x).drop("ordered_qty")
 
 
 @q
 def cumulative_receipts(x: Ctx):
-    d = conform.daily_receipts(_rcpt(x))
+    d = conform.daily_receipts(_receipts(x))
     return d.select("ebeln", "ebelp", "arrival_date", F.col("day_qty").cast("decimal(18,3)").alias("day_qty"),
                     "day_receipts", "day_iot", F.col("cum_qty").cast("decimal(18,3)").alias("cum_qty"))
 
 
 @q
 def receipt_rollup(x: Ctx):
-    return conform.receipt_rollup(_rcpt(x), _po(x))
+    return conform.receipt_rollup(_receipts(x))
 
 
 @q
 def freight_allocation(x: Ctx):
     po = _po(x)
-    rcv = conform.receipt_rollup(conform.arrival_resolution(x.raw.goods_receipt, x.raw.gate_event, po), po)
+    rcv = conform.receipt_rollup(conform.arrival_resolution(x.raw.goods_receipt, x.raw.gate_event, po))
     return conform.freight_allocation(po, conform.po_freight(x.raw, AS_OF), rcv)
 
 
@@ -377,6 +397,29 @@ def golden_answers(x: Ctx):
     return scorecard.golden_answers(x.c, AS_OF)
 
 
+@q
+def metrics_multi_fact(x: Ctx):
+    """Metrics of three facts by a dimension that is NULL where a line's part is unknown."""
+    return x.model.query(x.c, ["total_goods_value_usd", "ordered_units", "shipped_units"], ["part_category"])
+
+
+@q
+def metrics_multi_fact_unmatched(x: Ctx):
+    """The same with part numbers stripped from every seventh line of each fact: one NULL group, not three."""
+    def cut(df, key):
+        return df.withColumn("part_id", F.when(F.pmod(F.length(key) + F.substring(key, -3, 3).cast("int"), F.lit(7)) == 0, None)
+                             .otherwise(F.col("part_id")))
+    c = replace(x.c, fct_order_line=cut(x.c.fct_order_line, "sales_order_number"),
+                fct_po_line=cut(x.c.fct_po_line, "po_number"))
+    return x.model.query(c, ["total_goods_value_usd", "ordered_units"], ["part_category"])
+
+
+@q
+def scorecard_map(x: Ctx):
+    return (scorecard.scorecard_map(scorecard.canonical_scorecard(x.c, as_of=AS_OF))
+            .select(F.explode("scorecard").alias("metric_id", "value")))
+
+
 # ------------------------------------------------------------ legacy / waterfall
 @q
 def legacy_fill_rate(x: Ctx):
@@ -407,17 +450,17 @@ def waterfall_check(x: Ctx):
 # ------------------------------------------------------------ governance
 @q
 def apply_rules_po_line(x: Ctx):
-    return governance.reapply_po_lines(x.c.fct_po_line, CHANGED_LATE, AS_OF)
+    return conform.public(governance.reapply_po_lines(x.c.fct_po_line, CHANGED_LATE, AS_OF))
 
 
 @q
 def apply_rules_order_line(x: Ctx):
-    return governance.reapply_order_lines(x.c.fct_order_line, LATER_AS_OF)
+    return conform.public(governance.reapply_order_lines(x.c.fct_order_line, LATER_AS_OF))
 
 
 @q
 def apply_rules_inventory(x: Ctx):
-    return governance.reapply_inventory(x.c.fct_inventory, x.c.fct_shipment, CHANGED_WINDOW)
+    return conform.public(governance.reapply_inventory(x.c.fct_inventory, x.c.fct_shipment, CHANGED_WINDOW))
 
 
 @q
@@ -439,12 +482,12 @@ def row_scope_procurement(x: Ctx):
 
 @q
 def row_scope_logistics(x: Ctx):
-    return entitlement.scoped(x.c, "fct_po_line", "SC_LOGISTICS", x.scope)
+    return conform.public(entitlement.scoped(x.c, "fct_po_line", "SC_LOGISTICS", x.scope))
 
 
 @q
 def masked_prices(x: Ctx):
-    return (entitlement.scoped(x.c, "fct_po_line", "SC_LOGISTICS", x.scope).filter(F.col("plant_id") == "IN01")
+    return (entitlement.scoped(x.c, "fct_po_line", "SC_LOGISTICS", x.scope)
             .select("po_line_id", "unit_price_local", "unit_price_usd", "landed_cost_usd"))
 
 
@@ -471,8 +514,7 @@ def latest_per_key(x: Ctx):
 
 @q
 def delete_where(x: Ctx):
-    pred = F.col("delivery_status") == "NOT_YET_DUE"
-    kept = x.c.fct_po_line.filter(~pred | pred.isNull())
+    kept = tables.delete_where(x.c.fct_po_line, F.col("delivery_status") == "NOT_YET_DUE")
     return kept.groupBy("plant_id", "delivery_status").agg(F.count(F.lit(1)).alias("po_lines"))
 
 
@@ -531,20 +573,17 @@ def audit_recent(x: Ctx):
 def glossary_terms(x: Ctx):
     from truetally.plans import glossary
     terms = glossary.glossary_terms_df(x.spark, x.model)
-    return glossary.match_terms(_log(x), ["test_id"], "question", terms, GLOSSARY_MAX_N)
+    return glossary.match_terms(_log(x), ["test_id"], "question", terms)
 
 
 @q
 def clarification_needed(x: Ctx):
     from truetally.plans import glossary
     terms = glossary.glossary_terms_df(x.spark, x.model)
-    m = glossary.match_terms(_log(x), ["test_id"], "question", terms, GLOSSARY_MAX_N)
+    m = glossary.match_terms(_log(x), ["test_id"], "question", terms)
     return glossary.clarification_flags(m, ["test_id"])
 
 
-GLOSSARY_MAX_N = 4
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from truetally.functions.calendar import period_bounds
 from truetally.functions.units import ratio
 from truetally.operators.security import apply_mask, apply_row_scope
 from truetally.params import DEFAULT_AS_OF
+from truetally.plans.conform import SORT_ANCHOR, in_years
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,6 @@ class Entity:
     synonyms: tuple[str, ...] = ()
     comment: str = ""
     is_fact: bool = False
-    bounded: bool = False  # proven small (fixed VALUES relation) -> broadcast
 
 
 @dataclass(frozen=True)
@@ -89,28 +89,27 @@ def _syn(*s):
 
 
 # The declared model (names, keys, edges, synonyms) of the
-# governed layer.
+# governed layer; the comments are our own.
 ENTITIES = [
     Entity("suppliers", "dim_supplier", "supplier_id", _syn("vendors", "vendor", "sources of supply"),
-           "Golden supplier record"),
+           "One row per real-world supplier"),
     Entity("parts", "dim_part", "part_id", _syn("materials", "components", "SKUs", "items"),
-           "Parts with commodity > category hierarchy"),
+           "Material master, by commodity and category"),
     Entity("plants", "dim_plant", "plant_id", _syn("sites", "factories", "locations", "facilities"),
-           "Plants with region > country > plant hierarchy", bounded=True),
-    Entity("customers", "dim_customer", "customer_id", _syn("dealers", "buyers", "accounts"), "Customers"),
+           "Manufacturing sites, by region and country"),
+    Entity("customers", "dim_customer", "customer_id", _syn("dealers", "buyers", "accounts"), "Who orders"),
     Entity("carriers", "dim_carrier", "carrier_id",
-           _syn("transporters", "logistics providers", "3PLs", "shipping partners"), "Outbound carriers",
-           bounded=True),
+           _syn("transporters", "logistics providers", "3PLs", "shipping partners"), "Companies that carry outbound legs"),
     Entity("po_lines", "fct_po_line", "po_line_id",
            _syn("purchase order lines", "inbound receipts", "supplier deliveries", "POs"),
-           "Inbound PO lines; home of supplier OTD and landed cost", is_fact=True),
+           "What was bought: dates, receipts, cost parts per PO line", is_fact=True),
     Entity("order_lines", "fct_order_line", "order_line_id",
            _syn("sales order lines", "customer orders", "demand lines"),
-           "Sales order lines; home of customer OTD and fill rates", is_fact=True),
+           "What was sold: promise, shipped and delivered per line", is_fact=True),
     Entity("shipments", "fct_shipment", "shipment_id", _syn("outbound shipments", "consignments", "dispatches"),
-           "Outbound shipment legs", is_fact=True),
+           "Each outbound leg", is_fact=True),
     Entity("inventory", "fct_inventory", "inventory_position_id", _syn("stock", "inventory position", "on hand"),
-           "Month-end inventory by plant and part; home of days of inventory", is_fact=True),
+           "Stock positions at month end, per plant and part", is_fact=True),
 ]
 
 RELATIONSHIPS = [
@@ -278,16 +277,25 @@ class SemanticModel:
         if scope is not None:
             df = apply_row_scope(df, scope, role)
         df = apply_mask(df, role)
+        elsewhere: dict[str, list[Column]] = {}
         for name, op, value in filters:
             d = self.dimension(name)
             if d.entity == fact:
                 df = df.filter(_predicate(d.column, op, value))
+                if op in ("range", "between") and d.column == SORT_ANCHOR.get(self.entity(fact).table):
+                    df = in_years(df, *value)
                 continue
             rel, ent = self.edge(fact, d.entity), self.entity(d.entity)
-            keys = (getattr(conformed, ent.table).filter(_predicate(d.column, op, value))
-                    .select(F.col(ent.pk).alias("__k")))
-            if ent.bounded:
-                keys = F.broadcast(keys)
+            if d.column == ent.pk:  # an entity's key is the fact's own foreign key: no join, static pruning
+                df = df.filter(_predicate(rel.fk, op, value))
+            else:
+                elsewhere.setdefault(d.entity, []).append(_predicate(d.column, op, value))
+        for entity, predicates in elsewhere.items():  # all filters on one entity make one semi join
+            rel, ent = self.edge(fact, entity), self.entity(entity)
+            keys = getattr(conformed, ent.table)
+            for p in predicates:
+                keys = keys.filter(p)
+            keys = keys.select(F.col(ent.pk).alias("__k"))
             df = df.join(keys, df[rel.fk] == keys["__k"], "left_semi")
         return df
 
@@ -313,8 +321,6 @@ class SemanticModel:
             ent = self.entity(ent_name)
             right = getattr(conformed, ent.table).select(F.col(ent.pk).alias(f"__pk_{ent_name}"),
                                                          *[F.col(d.column).alias(d.name) for d in ds])
-            if ent.bounded:
-                right = F.broadcast(right)
             pre = pre.join(right, pre[f"__fk_{ent_name}"] == right[f"__pk_{ent_name}"], "left")
         return pre.groupBy(*[d.name for d in dims]).agg(*[c for m in metrics for c in m.merge()])
 
@@ -328,8 +334,9 @@ class SemanticModel:
         between (closed) range (half-open [lo, hi)). ``period='last_quarter'``
         filters each metric's time anchor to the last complete quarter. With no
         snapshot filter or dimension, inventory metrics use the latest snapshot.
-        Metrics of several facts are aggregated per fact and full-outer joined on
-        the dimensions (each dimension must be reachable from every fact)."""
+        Metrics of several facts are aggregated per fact, and the groups united
+        by dimension values, NULL included (each dimension must be reachable from
+        every fact)."""
         ms = [self.metric(m) for m in metrics]
         facts = list(dict.fromkeys(m.entity for m in ms))
         dims = [self.dimension(d) for d in dimensions]
@@ -358,8 +365,14 @@ class SemanticModel:
             g = self._aggregate(conformed, fact, df, dims, fm)
             parts.append(g.select(*[d.name for d in dims], *[m.final().alias(m.name) for m in fm]))
         out = parts[0]
-        for p in parts[1:]:
-            out = out.join(p, [d.name for d in dims], "full") if dims else out.crossJoin(p)
+        if dims and len(parts) > 1:
+            # one row per fact and group: union and regroup, as grouping treats NULL as a value and a join wouldn't
+            for p in parts[1:]:
+                out = out.unionByName(p, allowMissingColumns=True)
+            out = out.groupBy(*[d.name for d in dims]).agg(*[F.max(m.name).alias(m.name) for m in ms])
+        else:
+            for p in parts[1:]:  # one-row frames
+                out = out.crossJoin(p)
         out = out.select(*[d.name for d in dims], *[m.name for m in ms])
         if order_by:
             out = out.orderBy(*order_by)

@@ -19,14 +19,11 @@ from dataclasses import dataclass, fields
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from truetally.functions.calendar import month_end_spine, month_spine
+from truetally.functions.calendar import month_end_spine
 from truetally.functions.units import local_to_utc
 from truetally.params import DEFAULT_AS_OF
 from truetally.sources import reference_data as ref
 
-# Fixed window of the synthetic monthly FX table.
-FX_FIRST_MONTH = dt.date(1994, 7, 1)
-FX_LAST_MONTH = dt.date(2002, 12, 1)
 SNAPSHOT_MONTHS = 12
 
 
@@ -61,7 +58,7 @@ class RawSources:
         def save(item):
             name, df = item
             df.write.mode("overwrite").parquet(f"{path}/{name}")
-            return name, spark.read.parquet(f"{path}/{name}").select(*df.columns)
+            return name, spark.read.schema(df.schema).parquet(f"{path}/{name}").select(*df.columns)
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             return RawSources(**dict(pool.map(save, self.items())))
 
@@ -90,9 +87,17 @@ def _ntz(d: Column, hour: Column | int, minute: Column | int) -> Column:
     return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), h, m, F.lit(0))
 
 
-def fx_rates(spark: SparkSession) -> DataFrame:
-    """Monthly USD-per-unit rates; USD is exactly 1 (bounded: months x 5)."""
-    months = month_spine(spark, FX_FIRST_MONTH, FX_LAST_MONTH)
+def fx_rates(spark: SparkSession, dates: DataFrame, as_of: dt.date) -> DataFrame:
+    """Monthly USD-per-unit rates; USD is exactly 1.
+
+    The months run from a year before the first to a year after the last of
+    ``dates`` (column ``day``) and cover ``as_of``, so no dated row lacks a rate
+    (derived dates lie within weeks of the line's own).
+    """
+    ends = dates.agg(F.least(F.min("day"), F.lit(as_of)).alias("lo"), F.greatest(F.max("day"), F.lit(as_of)).alias("hi"))
+    ends = ends.select(F.coalesce("lo", F.lit(as_of)).alias("lo"), F.coalesce("hi", F.lit(as_of)).alias("hi"))
+    months = ends.select(F.explode(F.sequence(F.trunc(F.add_months("lo", -12), "month"), F.trunc(F.add_months("hi", 12), "month"),
+                                              F.expr("interval 1 month"))).alias("month_start"))
     cur = spark.createDataFrame([("USD", "1.0", 0)] + [(c, str(b), j + 1) for j, (c, b) in enumerate(ref.FX_BASES)],
                                 "currency string, base string, j int")
     ym = F.year("month_start") * 12 + F.month("month_start")
@@ -111,7 +116,7 @@ def raw_sources(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF
     asof = F.lit(as_of)
     plant = ref.plants_df(spark)
     carrier = ref.carriers_df(spark)
-    plant_b = F.broadcast(plant.select("plant_idx", "werks", "time_zone", "local_currency", "country_code"))
+    plant_b = plant.select("plant_idx", "werks", "time_zone", "local_currency", "country_code")
 
     part = read_driver(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
     material = part.select(
@@ -303,7 +308,7 @@ def raw_sources(spark: SparkSession, sf_dir: str, as_of: dt.date = DEFAULT_AS_OF
         F.pmod(5 * F.col("pk1") + mon, F.lit(31)).cast("decimal(18,3)").alias("in_transit_qty"),
         F.lit("EA").alias("uom"))
 
-    return RawSources(plant=plant.drop("plant_idx"), fx_rate=fx_rates(spark), vendor=vendor,
+    return RawSources(plant=plant.drop("plant_idx"), fx_rate=fx_rates(spark, read_driver(spark, sf_dir, "lineitem", "l_shipdate").select(F.to_date("l_shipdate").alias("day")), as_of), vendor=vendor,
                       portal_vendor=portal_vendor, material=material, customer=customer,
                       carrier=carrier.drop("carrier_idx"), duty_rate=duty_rate, po_item=po_item,
                       po_confirmation=po_confirmation, goods_receipt=goods_receipt, gate_event=gate_event,

@@ -183,7 +183,7 @@ def table_tags_df(spark: SparkSession) -> DataFrame:
     df = spark.createDataFrame(TABLE_TAGS, "table_name string, tag_name string, tag_value string")
     allowed = spark.createDataFrame([(k, v) for k, vs in TAG_ALLOWED.items() for v in vs],
                                     "tag_name string, tag_value string").withColumn("ok", F.lit(True))
-    return (df.join(F.broadcast(allowed), ["tag_name", "tag_value"], "left")
+    return (df.join(allowed, ["tag_name", "tag_value"], "left")
             .withColumn("is_allowed", F.coalesce("ok", F.lit(False))).drop("ok"))
 
 

@@ -28,6 +28,11 @@ def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), v) if c in df.columns else v for c, v in defaults.items()})
 
 
+def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
+    """DELETE WHERE as a new version: rows for which ``predicate`` is true go; unknown (NULL) rows stay."""
+    return df.filter(~F.coalesce(predicate, F.lit(False)))
+
+
 def append(df: DataFrame, path: str, schema: StructType | None = None) -> None:
     """INSERT INTO: append rows (schema-aligned when ``schema`` is given)."""
     (ensure_columns(df, schema).select(*[f.name for f in schema.fields]) if schema else df) \
