@@ -468,6 +468,31 @@ def definition_change_effect(x: Ctx):
     return governance.definition_change_effect(x.c, CHANGED_LATE, AS_OF)
 
 
+def _changed(x: Ctx) -> governance.GovernanceStore:
+    """A fresh store in which the late tolerance was governed from 2 to 3 days and the COGS window to 60."""
+    store = governance.GovernanceStore(x.spark, f"{checkpoint_dir(x.spark).rstrip('/')}/governed-{uuid.uuid4().hex}")
+    store.create(x.c)
+    at = dt.datetime.combine(AS_OF, dt.time())
+    for i, (name, value) in enumerate(((LATE, "3"), (DOI_WINDOW, "60"))):
+        _, result = store.change(x.c, name, value, "yearly review", "steward", ref.STEWARD_ROLE, AS_OF,
+                                 at + dt.timedelta(minutes=i))
+        if result["status"] != "APPLIED":
+            raise RuntimeError(result["message"])
+    return store
+
+
+@q
+def governed_change_facts(x: Ctx):
+    """PO facts read back from the store after two governed changes."""
+    return conform.public(_changed(x).load(x.c).conformed.fct_po_line)
+
+
+@q
+def change_log_diff(x: Ctx):
+    """Before and after of each logged change, by metric."""
+    return governance.change_log_diff(_changed(x).change_log()).drop("change_id")
+
+
 # ------------------------------------------------------------ entitlement
 @q
 def row_scope_planning(x: Ctx):

@@ -8,6 +8,8 @@ VALUES relations; their size does not grow with the data.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,37 +68,50 @@ TABLE_TAGS = [
     ("XREF_SUPPLIER", "DATA_DOMAIN", "MASTER_DATA"), ("XREF_SUPPLIER", "CERTIFICATION", "CERTIFIED"),
 ]
 
-# ---- Fixed values: certified metric registry (ids, versions, anchors) ----
-# (metric_id, display_name, semantic_metric, grain, anchor_date, inclusions,
-#  owner, version, status, synonyms, not_to_be_confused_with)
+# ---- Certified metric registry -------------------------------------------
+# Ids, names, anchors, owners, versions, synonyms and dates are fixed values; the texts (rules, definition) are our own.
+# (metric_id, display_name, semantic_metric, grain, anchor_date, inclusions, owner, version, status, synonyms,
+#  not_to_be_confused_with, business_definition, formula, effective_from)
+_EFFECTIVE = dt.date(2026, 4, 1)
 REGISTRY = [
     ("supplier_otd", "Supplier on-time delivery", "po_lines.supplier_otd", "PO line", "po_lines.confirmed_date",
-     "Arrival = gate-in, else goods-receipt date. Confirmed date from the portal, else requested date. "
-     "Window -3/+2 days. Partial quantity in window = late. Open lines past due = late. Not-yet-due excluded.",
+     "Window -3/+2 days, both ends included. A line counts from the day its last missing piece came in: the gate read if "
+     "there is one, else the posting. The promise is the portal's, else the requested date. Lines that aren't due don't count.",
      "Procurement Excellence", "1.2", "CERTIFIED",
-     "supplier OTD, inbound OTD, vendor OTD, vendor on-time, supplier delivery performance",
-     "customer_otd (outbound), OTIF"),
+     "supplier OTD, inbound OTD, vendor OTD, vendor on-time, supplier delivery performance", "customer_otd (outbound), OTIF",
+     "How often suppliers bring everything they promised, when they promised it",
+     "sum(on_time_line_flag) / sum(due_line_flag)", _EFFECTIVE),
     ("customer_otd", "Customer on-time delivery", "order_lines.customer_otd", "Sales order line",
-     "order_lines.commit_date", "Delivery date = POD in plant local time. Quantities in EA. Not-yet-due excluded.",
+     "order_lines.commit_date", "Proof of delivery by the plant's clock, in pieces; promises in the future don't count.",
      "Customer Supply and Logistics", "1.1", "CERTIFIED",
-     "customer OTD, outbound OTD, delivery to promise, DTP", "supplier_otd (inbound), unit_fill_rate"),
+     "customer OTD, outbound OTD, delivery to promise, DTP", "supplier_otd (inbound), unit_fill_rate",
+     "How often customers have everything by the day we promised",
+     "sum(due_line_on_time_flag) / sum(due_line_flag)", _EFFECTIVE),
     ("unit_fill_rate", "Unit fill rate", "order_lines.unit_fill_rate", "Sales order line",
-     "order_lines.commit_date", "Ship date in plant local time. BOX converted to EA. Over-shipment capped.",
-     "S&OP Planning", "2.0", "CERTIFIED", "fill rate, unit fill, case fill", "line_fill_rate, customer_otd"),
+     "order_lines.commit_date", "Departure by the plant's clock; boxes turned into pieces; what goes out beyond the order "
+     "doesn't make up for other lines.",
+     "S&OP Planning", "2.0", "CERTIFIED", "fill rate, unit fill, case fill", "line_fill_rate, customer_otd",
+     "Which part of the promised pieces left in time",
+     "sum(due_shipped_by_commit_qty_ea) / sum(due_order_qty_ea)", _EFFECTIVE),
     ("line_fill_rate", "Line fill rate", "order_lines.line_fill_rate", "Sales order line",
-     "order_lines.commit_date", "Same shipping rules as unit fill rate.", "S&OP Planning", "1.0", "CERTIFIED",
-     "line fill, order line fill", "unit_fill_rate"),
+     "order_lines.commit_date", "Departures as for the unit fill rate.", "S&OP Planning", "1.0", "CERTIFIED",
+     "line fill, order line fill", "unit_fill_rate", "Which part of the promised lines left complete and in time",
+     "sum(due_line_filled_flag) / sum(due_line_flag)", _EFFECTIVE),
     ("days_of_inventory", "Days of inventory", "inventory.days_of_inventory", "Plant x part x month-end snapshot",
-     "inventory.snapshot_date", "In-transit excluded. Latest snapshot when no date given.",
+     "inventory.snapshot_date", "Stock on site only; the newest snapshot unless a date is named.",
      "Finance Controlling", "1.0", "CERTIFIED",
-     "DOI, days of supply, days on hand, inventory days, days of stock", "weeks of cover based on forecast"),
+     "DOI, days of supply, days on hand, inventory days, days of stock", "weeks of cover based on forecast",
+     "How long the stock would last at the recent cost of goods sold",
+     "sum(inventory_value_usd) / sum(avg_daily_cogs_usd)", _EFFECTIVE),
     ("total_landed_cost_usd", "Total landed cost (USD)", "po_lines.total_landed_cost_usd", "PO line",
-     "po_lines.receipt_date", "PO-month FX for prices. Freight allocated by weight. Duty by lane and commodity.",
+     "po_lines.receipt_date", "Prices at the order month's rate, freight split by weight, duty by route and commodity.",
      "Finance Controlling", "1.1", "CERTIFIED", "landed cost, all-in cost, total cost of acquisition",
-     "purchase price, standard cost"),
+     "purchase price, standard cost", "What received goods cost with all that brought them here",
+     "sum(landed_cost_usd)", _EFFECTIVE),
     ("landed_cost_per_unit_usd", "Landed cost per unit (USD)", "po_lines.landed_cost_per_unit_usd", "PO line",
-     "po_lines.receipt_date", "Same components as total landed cost.", "Finance Controlling", "1.1", "CERTIFIED",
-     "unit landed cost, landed cost per piece", "unit price"),
+     "po_lines.receipt_date", "Cost parts as for the total.", "Finance Controlling", "1.1", "CERTIFIED",
+     "unit landed cost, landed cost per piece", "unit price", "Landed cost of one received piece",
+     "sum(landed_cost_usd) / sum(received_qty_ea)", _EFFECTIVE),
 ]
 
 # ---- Fixed values: golden ids and the consistency test cases -------------
@@ -105,21 +120,37 @@ GOLDENS = [
     ("G_DOI", "days_of_inventory"), ("G_LC", "total_landed_cost_usd"), ("G_CLARIFY", None), ("G_DECLINE", None),
 ]
 # (test_id, golden_id, persona, expected_behavior)
-TEST_CASES = (
-    [(f"T{i:02d}", "G_SOTD", p, "ANSWER") for i, p in
-     zip(range(1, 7), ["PROCUREMENT", "PROCUREMENT", "PLANNING", "PLANNING", "LOGISTICS", "LOGISTICS"])]
-    + [(f"T{i:02d}", "G_COTD", p, "ANSWER") for i, p in
-       zip(range(7, 11), ["LOGISTICS", "LOGISTICS", "PLANNING", "PROCUREMENT"])]
-    + [(f"T{i:02d}", "G_UFR", p, "ANSWER") for i, p in
-       zip(range(11, 15), ["PLANNING", "PLANNING", "LOGISTICS", "PROCUREMENT"])]
-    + [(f"T{i:02d}", "G_DOI", p, "ANSWER") for i, p in zip(range(15, 18), ["PLANNING", "PROCUREMENT", "LOGISTICS"])]
-    + [(f"T{i:02d}", "G_LC", p, "ANSWER") for i, p in zip(range(18, 21), ["PROCUREMENT", "PLANNING", "LOGISTICS"])]
-    + [("T21", "G_CLARIFY", "PLANNING", "CLARIFY"), ("T22", "G_CLARIFY", "LOGISTICS", "CLARIFY"),
-       ("T23", "G_SOTD", "PROCUREMENT", "CERTIFIED_OR_DECLINE"), ("T24", "G_UFR", "PLANNING", "CERTIFIED_OR_DECLINE"),
-       ("T25", "G_SOTD", "LOGISTICS", "ANSWER"), ("T26", "G_CLARIFY", "PROCUREMENT", "CLARIFY"),
-       ("T27", "G_DECLINE", "LOGISTICS", "NO_WRITE"), ("T28", "G_DECLINE", "PLANNING", "NO_WRITE"),
-       ("T29", "G_DECLINE", "PROCUREMENT", "DECLINE")]
-)
+TEST_CASES = [
+    ("T01", "G_SOTD", "PROCUREMENT", "ANSWER"),
+    ("T02", "G_SOTD", "PROCUREMENT", "ANSWER"),
+    ("T03", "G_SOTD", "PLANNING", "ANSWER"),
+    ("T04", "G_SOTD", "PLANNING", "ANSWER"),
+    ("T05", "G_SOTD", "LOGISTICS", "ANSWER"),
+    ("T06", "G_SOTD", "LOGISTICS", "ANSWER"),
+    ("T07", "G_COTD", "LOGISTICS", "ANSWER"),
+    ("T08", "G_COTD", "LOGISTICS", "ANSWER"),
+    ("T09", "G_COTD", "PLANNING", "ANSWER"),
+    ("T10", "G_COTD", "PROCUREMENT", "ANSWER"),
+    ("T11", "G_UFR", "PLANNING", "ANSWER"),
+    ("T12", "G_UFR", "PLANNING", "ANSWER"),
+    ("T13", "G_UFR", "LOGISTICS", "ANSWER"),
+    ("T14", "G_UFR", "PROCUREMENT", "ANSWER"),
+    ("T15", "G_DOI", "PLANNING", "ANSWER"),
+    ("T16", "G_DOI", "PROCUREMENT", "ANSWER"),
+    ("T17", "G_DOI", "LOGISTICS", "ANSWER"),
+    ("T18", "G_LC", "PROCUREMENT", "ANSWER"),
+    ("T19", "G_LC", "PLANNING", "ANSWER"),
+    ("T20", "G_LC", "LOGISTICS", "ANSWER"),
+    ("T21", "G_CLARIFY", "PLANNING", "CLARIFY"),
+    ("T22", "G_CLARIFY", "LOGISTICS", "CLARIFY"),
+    ("T23", "G_SOTD", "PROCUREMENT", "CERTIFIED_OR_DECLINE"),
+    ("T24", "G_UFR", "PLANNING", "CERTIFIED_OR_DECLINE"),
+    ("T25", "G_SOTD", "LOGISTICS", "ANSWER"),
+    ("T26", "G_CLARIFY", "PROCUREMENT", "CLARIFY"),
+    ("T27", "G_DECLINE", "LOGISTICS", "NO_WRITE"),
+    ("T28", "G_DECLINE", "PLANNING", "NO_WRITE"),
+    ("T29", "G_DECLINE", "PROCUREMENT", "DECLINE"),
+]
 
 # ---- Fixed values: the persona and hostile test questions, T01..T29 ------
 QUESTIONS = [

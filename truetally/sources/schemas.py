@@ -28,7 +28,8 @@ SCOPE_SCHEMA = schema(("role_name", S), ("plant_id", S))
 
 REGISTRY_SCHEMA = schema(("metric_id", S), ("display_name", S), ("semantic_metric", S), ("grain", S),
                          ("anchor_date", S), ("inclusions_exclusions", S), ("owner", S), ("version", S),
-                         ("status", S), ("synonyms", S), ("not_to_be_confused_with", S))
+                         ("status", S), ("synonyms", S), ("not_to_be_confused_with", S), ("business_definition", S),
+                         ("formula", S), ("effective_from", DT))
 
 CHANGE_LOG_SCHEMA = StructType([
     StructField("change_id", S), StructField("changed_at", TS), StructField("changed_by", S),
