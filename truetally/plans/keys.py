@@ -518,7 +518,7 @@ def masked_prices(x: Ctx):
 
 @q
 def metric_under_role(x: Ctx):
-    return entitlement.metric_under_role(x.c, x.scope, AS_OF)
+    return entitlement.metric_under_role(x.model, x.c, x.scope, AS_OF)
 
 
 @q
@@ -528,7 +528,12 @@ def visible_rows_by_plant(x: Ctx):
 
 @q
 def entitlement_tests(x: Ctx):
-    return entitlement.entitlement_tests(x.c, x.scope, AS_OF)
+    """Two runs appended to a result table; the latest result of each test."""
+    path = f"{checkpoint_dir(x.spark).rstrip('/')}/entitlement-{uuid.uuid4().hex}"
+    for day in (AS_OF - dt.timedelta(days=1), AS_OF):
+        at = dt.datetime.combine(day, dt.time())
+        entitlement.save_results(entitlement.entitlement_tests(x.model, x.raw, x.c, x.scope, AS_OF, at), path)
+    return entitlement.latest_results(x.spark, path)
 
 
 @q
@@ -571,18 +576,30 @@ def grading_by_behaviour(x: Ctx):
     return grading.grading_summary(grading.grade_behaviour(_log(x)))[0]
 
 
+def _texts(x: Ctx) -> DataFrame:
+    """Every text of the conversations and documents tables, whole."""
+    said = x.spark.read.parquet(f"{x.sf_dir}/conversations.parquet").select(
+        F.concat_ws(":", F.lit("c"), "conv_id", "turn").alias("text_id"), "text")
+    docs = x.spark.read.parquet(f"{x.sf_dir}/documents.parquet").select(
+        F.concat_ws(":", F.lit("d"), "doc_id").alias("text_id"), "text")
+    return said.unionByName(docs)
+
+
 @q
 def classify_read_only(x: Ctx):
-    lg = _log(x)
-    return lg.select("test_id", grading.is_read_only("generated_sql").alias("is_read_only"))
+    """The guard over the statements of the question log and over every text as if it were a statement."""
+    log = _log(x).select(F.concat_ws(":", F.lit("q"), "test_id").alias("text_id"), F.col("generated_sql").alias("text"))
+    return log.unionByName(_texts(x)).select("text_id", grading.is_read_only("text").alias("is_read_only"))
 
 
 @q
 def detect_metrics(x: Ctx):
     lg = _log(x)
-    hay = F.concat_ws(" ", F.coalesce("generated_sql", F.lit("")), F.col("question"))
-    return lg.select("test_id", grading.detect_metrics(lg, hay).alias("metrics_resolved"),
-                     grading.detect_metrics(lg, hay, word_boundary=True).alias("metrics_resolved_words"))
+    log = lg.select(F.concat_ws(":", F.lit("q"), "test_id").alias("text_id"),
+                    F.concat_ws(" ", F.coalesce("generated_sql", F.lit("")), F.col("question")).alias("text"))
+    every = log.unionByName(_texts(x))
+    return every.select("text_id", grading.detect_metrics(every, F.col("text")).alias("metrics_resolved"),
+                        grading.detect_metrics(every, F.col("text"), word_boundary=True).alias("metrics_resolved_words"))
 
 
 @q
@@ -594,19 +611,25 @@ def audit_recent(x: Ctx):
             .orderBy(F.col("logged_at").desc(), F.col("test_id").desc()).limit(50))
 
 
+def _questions(x: Ctx) -> DataFrame:
+    """The questions of the log and every text of the tables."""
+    log = _log(x).select(F.concat_ws(":", F.lit("q"), "test_id").alias("text_id"), F.col("question").alias("text"))
+    return log.unionByName(_texts(x))
+
+
 @q
 def glossary_terms(x: Ctx):
     from truetally.plans import glossary
     terms = glossary.glossary_terms_df(x.spark, x.model)
-    return glossary.match_terms(_log(x), ["test_id"], "question", terms)
+    return glossary.match_terms(_questions(x), ["text_id"], "text", terms)
 
 
 @q
 def clarification_needed(x: Ctx):
     from truetally.plans import glossary
     terms = glossary.glossary_terms_df(x.spark, x.model)
-    m = glossary.match_terms(_log(x), ["test_id"], "question", terms)
-    return glossary.clarification_flags(m, ["test_id"])
+    m = glossary.match_terms(_questions(x), ["text_id"], "text", terms)
+    return glossary.clarification_flags(m, ["text_id"])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
