@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from truetally.session import checkpoint_dir
@@ -48,6 +48,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_counting(df: DataFrame, name: str, flag: Column | None = None) -> tuple[DataFrame, int]:
+    """:func:`written`, and how many of its rows there are (or have ``flag``), counted by the same job."""
+    seen = Observation()
+    counted = F.count(F.lit(1)) if flag is None else F.count_if(flag)
+    out = written(df.observe(seen, counted.alias("n")), name)
+    return out, seen.get["n"]
+
+
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` (a written table) hinted for broadcast if its counted rows fit the bound, else as it is.
 

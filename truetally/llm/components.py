@@ -11,44 +11,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from truetally.llm.common import written
+from truetally.llm.common import written, written_counting
 
 
 def _flatten(parent: DataFrame) -> DataFrame:
-    """(node, root) from (node, root) hooks whose targets may hook on."""
-    while True:
+    """(node, root) from (node, root) hooks whose targets may hook on, by pointer doubling."""
+    moved = 1
+    while moved:
         up = parent.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        parent = written(parent.join(up, "root", "left")
-                         .select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")),
-                         "hooks")
-        moved = parent.where("moved").isEmpty()
+        parent, moved = written_counting(
+            parent.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")),
+            "hooks", F.col("moved"))
         parent = parent.drop("moved")
-        if moved:
-            return parent
+    return parent
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def _follow(df: DataFrame, hooks: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with nodes in ``columns`` replaced by their roots."""
+    for c in columns:
+        up = hooks.select(F.col("node").alias(c), F.col("root").alias("_above"))
+        df = df.join(up, c, "left").withColumn(c, F.coalesce("_above", c)).drop("_above")
+    return df
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", known: DataFrame | None = None) -> DataFrame:
     """(node, root) for every node of ``edges``; the root is the smallest node that can be reached.
 
-    Self-loops and repeated edges are allowed; nulls are ignored.
+    ``known``: components (node, root) of earlier edges, which these edges are
+    added to; then only the contracted edges are worked on. Self-loops and
+    repeated edges are allowed; nulls are ignored.
     """
-    pairs = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi")
-    live = written(pairs.distinct(), "edges")
-    roots: DataFrame | None = None
-    while not live.isEmpty():
-        hooks = _flatten(written(live.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root")), "hooks"))
-        if roots is None:
-            low = live.select(F.col("lo").alias("node")).distinct().join(hooks, "node", "left_anti")
-            roots = written(hooks.unionByName(low.select("node", F.col("node").alias("root"))), "roots")
-        else:
-            up = hooks.select(F.col("node").alias("root"), F.col("root").alias("above"))
-            roots = written(roots.join(up, "root", "left").select("node", F.coalesce("above", "root").alias("root")),
-                            "roots")
-        for end in ("lo", "hi"):
-            up = hooks.select(F.col("node").alias(end), F.col("root").alias("above"))
-            live = live.join(up, end, "left").withColumn(end, F.coalesce("above", end)).drop("above")
-        live = written(live.select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi"))
-                       .where("lo < hi").distinct(), "edges")
-    if roots is None:
-        return live.select(F.col("lo").alias("node"), F.col("hi").alias("root"))
+    pairs = edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
+    nodes = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).where("node is not null")
+    roots = nodes.distinct().select("node", F.col("node").alias("root"))
+    if known is not None:
+        fresh = nodes.distinct().join(known.select("node"), "node", "left_anti")
+        roots = known.unionByName(fresh.select("node", F.col("node").alias("root")))
+        pairs = _follow(pairs, known, "x", "y")
+    lower = lambda df: (df.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+                        .where("x < y").distinct())
+    live, left = written_counting(lower(pairs), "edges")
+    while left:
+        hooks = _flatten(written(live.groupBy(F.col("y").alias("node")).agg(F.min("x").alias("root")), "hooks"))
+        roots = written(_follow(roots, hooks, "root"), "roots")
+        live, left = written_counting(lower(_follow(live, hooks, "x", "y")), "edges")
     return roots

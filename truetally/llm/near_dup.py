@@ -16,9 +16,9 @@ groups are the connected components of the links.
   shares most often. Confirmed links give components, which absorb almost all
   regions.
 * Then the regions that still hold several components are compared inside, at
-  the shallow depth, on long signatures: in rounds, each class with its best
-  match in another component, until a round confirms nothing more; and at last
-  every remaining pair across components that can reach 0.75. Regions with
+  the shallow depth, on long signatures: first each class with its best match
+  in another component, which unites most of what belongs together; then every
+  remaining pair across components that can reach 0.75. Regions with
   more than ``REGION`` classes are split into blocks, whose pairs go to
   different tasks. A pair that shares several regions is reported in one.
 * Every candidate is confirmed on the full shingle sets.
@@ -269,13 +269,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(links)
     forest = forest.select("class", "tree", "shallow")
     signatures = sets.select("class", "sig").join(members.select("class", "shallow"), "class")
-    more = links
-    while not more.isEmpty():  # rounds of best matches; components shrink in number with every one
-        more = confirm(crossing_pairs(forest, signatures.drop("shallow"), roots, region, False), shingle_sets)
-        links = links.unionByName(more)
-        roots = components(links)
-    rest = confirm(crossing_pairs(forest, signatures, roots, region, True), shingle_sets)
-    roots = components(links.unionByName(rest))
+    # best matches first, which leaves little; then all that remain
+    for every in (False, True):
+        more = confirm(crossing_pairs(forest, signatures if every else signatures.drop("shallow"), roots, region, every),
+                       shingle_sets)
+        roots = components(more, known=roots)
     owner = classes.select("class", "id").join(roots.withColumnRenamed("node", "class"), "class", "left") \
         .withColumn("root", F.coalesce("root", "class"))
     least = owner.groupBy("root").agg(F.min("id").alias("component_id"))
