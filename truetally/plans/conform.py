@@ -23,7 +23,7 @@ from truetally.functions.units import (hours_between, hours_to_days_2dp, local_t
 from truetally.operators.allocate import proportional_allocate
 from truetally.operators.keys import arg_latest
 from truetally.operators.resolve import fx_convert, resolve_first
-from truetally.operators.windows import mark_latest, trailing_window_sum
+from truetally.operators.windows import trailing_window_sum
 from truetally.params import DEFAULT_AS_OF, Params
 from truetally.sources.driver import RawSources
 
@@ -235,7 +235,10 @@ def receipt_rollup(receipts: DataFrame) -> DataFrame:
 
 def po_freight(raw: RawSources, as_of: dt.date) -> DataFrame:
     """Inbound freight per PO in USD at the as-of month's rate."""
-    return (fx_convert(raw.inbound_freight, raw.fx_rate, "currency", F.lit(as_of))
+    # one month of rates: a row per currency, whatever the data's size
+    rate = F.broadcast(raw.fx_rate.filter(F.col("month_start") == F.trunc(F.lit(as_of), "month"))
+                       .select("currency", "usd_per_unit"))
+    return (raw.inbound_freight.join(rate, "currency")
             .groupBy("po_ref").agg(F.sum(F.col("freight_amount") * F.col("usd_per_unit")).alias("po_freight_usd")))
 
 
@@ -339,7 +342,11 @@ def build_inventory(raw: RawSources, parts: DataFrame, shipments: DataFrame, par
     inv = raw.inventory_snapshot.select("snapshot_date", F.col("site_code").alias("plant_id"),
                                         F.col("sku").alias("part_id"), "on_hand_qty", "in_transit_qty")
     inv = inv.join(parts.select("part_id", "std_cost_usd"), "part_id")
-    inv = mark_latest(inv, "snapshot_date", "is_latest_snapshot")
+    # the newest snapshot: a maximum over (date, part) keys alone, one row
+    newest = (raw.inventory_snapshot.select("snapshot_date", F.col("sku").alias("part_id")).distinct()
+              .join(parts.select("part_id"), "part_id", "left_semi").agg(F.max("snapshot_date").alias("_newest")))
+    inv = (inv.crossJoin(F.broadcast(newest))
+           .withColumn("is_latest_snapshot", F.col("snapshot_date") == F.col("_newest")).drop("_newest"))
     inv = trailing_cogs(inv, shipments, params.doi_window)
     return finish_inventory(inv, params)
 

@@ -27,9 +27,9 @@ def glossary_terms_df(spark, model: SemanticModel | None = None) -> DataFrame:
     return g.withColumn("term", normalise_text(F.col("term"))).filter(F.length("term") > 0).distinct()
 
 
-def ngrams(text: Column, max_n: int) -> Column:
-    """All 1..max_n word n-grams of a normalised text, as one array."""
-    words = F.split(text, " ")
+def ngrams(words: Column, max_n: int) -> Column:
+    """All 1..max_n word n-grams of a column of word arrays, as one array (a column: an expression would be
+    evaluated again for every gram)."""
     empty = F.array().cast("array<string>")
 
     def gram(n):  # one-argument lambda: PySpark passes (element, index) to two-argument ones
@@ -48,8 +48,8 @@ def longest_term(terms: DataFrame) -> int:
 def match_terms(texts: DataFrame, id_cols: list[str], text_col: str, terms: DataFrame) -> DataFrame:
     """(ids..., term, kind, target, hits) for every glossary term in each text; n-grams go up to the longest term."""
     max_n = longest_term(terms)
-    t = texts.select(*id_cols, normalise_text(F.col(text_col)).alias("_t")).filter(F.length("_t") > 0)
-    grams = t.select(*id_cols, F.explode(ngrams(F.col("_t"), max_n)).alias("term"))
+    t = texts.select(*id_cols, F.split(normalise_text(F.col(text_col)), " ").alias("_w"))
+    grams = t.select(*id_cols, F.explode(ngrams(F.col("_w"), max_n)).alias("term"))
     # match against the term list first (map side while Spark sizes it for broadcast):
     # only matching n-grams, a tiny fraction of all, are shuffled for the count
     hits = grams.join(terms.select("term").distinct(), "term", "left_semi")

@@ -566,6 +566,20 @@ def grade_behaviour(x: Ctx):
     return grading.grade_behaviour(_log(x)).select("test_id", "persona", "expected_behavior", "status", "detail")
 
 
+@q
+def consistency_run(x: Ctx):
+    """Every logged event answers one of the test cases; certified values are the expectation."""
+    answers = scorecard.golden_answers(x.c, AS_OF)
+    cases = ref.test_cases_df(x.spark)
+    log = _log(x).select(F.col("test_id").alias("response_id"), "generated_sql",
+                         F.format_string("T%02d", (F.col("test_id") % len(ref.TEST_CASES) + 1).cast("int")).alias("test_id"))
+    factor = F.element_at(F.array(F.lit(1.0), F.lit(1.01), F.lit(100.0), F.lit(None).cast("double")),
+                          (F.col("response_id") % 4 + 1).cast("int"))
+    said = (log.join(cases.select("test_id", "golden_id"), "test_id").join(answers.select("golden_id", "value"), "golden_id", "left")
+            .select("response_id", "test_id", "generated_sql", (F.col("value") * factor).alias("returned_value")))
+    return grading.consistency_run(cases, answers, said)
+
+
 @q
 def grading_summary(x: Ctx):
     return grading.grading_summary(grading.grade_behaviour(_log(x)))[1]
