@@ -80,7 +80,8 @@ def test_against_oracle(spark, key):
 def test_every_key_has_oracle_or_is_declared():
     q, sql = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(sql) <= set(q)
-    assert set(q) == set(sql)
+    from truetally.plans.keys import queries  # every key of the metric library
+    assert set(queries()) <= set(sql)
 
 
 def test_metric_query_aggregates_before_dimension_join(x):
