@@ -3,7 +3,8 @@
 Texts and benchmark items are sequences of lower-case tokens (runs of letters
 and digits). At every position fixed masks read some of the next tokens and
 ignore the others, so a substituted word that falls on an ignored place leaves
-the hash intact. Seeds of the texts are joined with seeds of the items; each hit
+the hash intact. A sieve of fixed size over the tokens at the masks' common
+ends skips positions that can't match any item. Seeds of the texts are joined with seeds of the items; each hit
 names an item and a diagonal (text position minus item position). On every
 such diagonal the overlap is verified over the whole item: a matched token
 scores 1, a substituted one -1, and the best run must score ``MIN_SCORE``.
@@ -24,10 +25,13 @@ from pyspark.sql import functions as F
 
 from truetally.llm.common import small_side, text_key, written
 
-#: Token places that each mask reads.
-MASKS = ((0, 1, 3, 4, 6, 8), (0, 1, 2, 5, 7, 8), (0, 2, 3, 6, 7, 9))
+#: Token places that each mask reads. All masks read the first and the last place, on which positions are sifted.
+MASKS = ((0, 1, 3, 4, 7), (0, 2, 3, 6, 7), (0, 1, 5, 6, 7))
+SPAN = 8
 MIN_SCORE = 10
 SEED_ROWS = 500_000
+#: Cells of the sieve: a fixed size, whatever the number of items.
+SIEVE = 1 << 16
 
 
 def token_hashes(text: Column) -> Column:
@@ -36,27 +40,47 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def seeds(hashes: Column) -> Column:
-    """Seeds of all positions: element len(MASKS) * position + mask (null where a mask runs over the end)."""
-    shortest = min(m[-1] for m in MASKS)
-    return F.flatten(F.transform(
-        F.when(F.size(hashes) > shortest, F.sequence(F.lit(0), F.size(hashes) - shortest - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.array(*(F.when(i + m[-1] < F.size(hashes), F.xxhash64(F.lit(k), *(F.get(hashes, i + p) for p in m)))
-                            for k, m in enumerate(MASKS)))))
+def positions(hashes: Column) -> Column:
+    """Positions at which the masks fit."""
+    return F.when(F.size(hashes) >= SPAN, F.sequence(F.lit(0), F.size(hashes) - SPAN)) \
+        .otherwise(F.array().cast("array<int>"))
+
+
+def cell(token: Column) -> Column:
+    return F.pmod(token, F.lit(SIEVE)).cast("int")
+
+
+def seeds(hashes: Column, at: Column) -> Column:
+    """array<struct<at, seed>>: the seeds of all masks at some positions."""
+    return F.flatten(F.transform(at, lambda i: F.array(*(
+        F.struct(i.alias("at"), F.xxhash64(F.lit(k), *(F.get(hashes, i + p) for p in m)).alias("seed"))
+        for k, m in enumerate(MASKS)))))
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", min_score: int = MIN_SCORE) -> DataFrame:
     """One row per document and item that overlap: (_key, id, item, score, item_tokens)."""
-    n = len(MASKS)
     known = written(items.select(F.col(item_col).alias("_item"), token_hashes(F.col(item_text_col)).alias("_g")), "items")
-    item_seeds = written(known.select("_item", F.posexplode(seeds(F.col("_g"))).alias("_p", "_seed"))
-                         .where(F.col("_seed").isNotNull())
-                         .select("_seed", "_item", F.expr(f"_p div {n}").alias("_at")).distinct(), "item-seeds")
+    item_seeds = written(known.select("_item", F.explode(seeds(F.col("_g"), positions(F.col("_g")))).alias("_s"))
+                         .select("_item", F.col("_s.at").alias("_at"), F.col("_s.seed").alias("_seed")).distinct(), "item-seeds")
+    # the sieve: which cells hold a token with which some item's window begins or ends; one row of fixed size
+    ends = known.select("_g", F.explode(positions(F.col("_g"))).alias("i")) \
+        .select(F.explode(F.array(F.get("_g", F.col("i")), F.get("_g", F.col("i") + SPAN - 1))).alias("t"))
+    cells = ends.select(cell(F.col("t")).alias("c")).distinct().agg(F.sort_array(F.collect_list("c")).alias("_cells"))
+    sieve = written(cells.select(F.transform(
+        F.split(F.array_join(F.transform(F.sequence(F.lit(0), F.size("_cells")), lambda j: F.concat(
+            F.repeat(F.lit("0"), F.coalesce(F.get("_cells", j), F.lit(SIEVE))
+                     - F.when(j > 0, F.get("_cells", j - 1)).otherwise(F.lit(-1)) - 1), F.lit("1"))), ""), ""),
+        lambda c: c == "1").alias("_sieve")), "sieve")
+    sifted = F.filter(positions(F.col("_h")), lambda i: F.get("_sieve", cell(F.get("_h", i)))
+                      & F.get("_sieve", cell(F.get("_h", i + SPAN - 1))))
     text_seeds = (docs.select(text_key(id_col, text_col).alias("_key"), token_hashes(F.col(text_col)).alias("_h"))
-                  .select("_key", F.posexplode(seeds(F.col("_h"))).alias("_p", "_seed")))
+                  .crossJoin(F.broadcast(sieve))
+                  .select("_key", "_h", sifted.alias("_at"))
+                  .select("_key", F.explode(seeds(F.col("_h"), F.col("_at"))).alias("_s"))
+                  .select("_key", F.col("_s.at").alias("_p"), F.col("_s.seed").alias("_seed")))
     hits = (text_seeds.join(small_side(item_seeds, SEED_ROWS), "_seed")
-            .select("_key", F.struct("_item", (F.expr(f"_p div {n}") - F.col("_at")).cast("int").alias("_d")).alias("_hit"))
+            .select("_key", F.struct("_item", (F.col("_p") - F.col("_at")).cast("int").alias("_d")).alias("_hit"))
             .groupBy("_key").agg(F.collect_set("_hit").alias("_hits")))
     hits = written(hits, "seed-hits")
     found = (docs.select(text_key(id_col, text_col).alias("_key"), F.col(id_col).cast("long").alias("_id"),

@@ -200,16 +200,19 @@ def settle(keyed: DataFrame, seeded: DataFrame, contexts_of, grams_of, window: i
                     .withColumns({"total": F.sum("n").over(by_context),
                                   "rank": F.row_number().over(by_context.orderBy("key", "at"))}), "contexts")
     equal = mixed.where("total > 1").select("key", F.col("at").alias("s"), end.alias("e"))
-    reps = (mixed.where("rank = 1")
-            .groupBy(F.col("key").alias("_key"))
-            .agg(F.collect_list(F.struct("seed", "ctx", F.least("total", F.lit(2)).cast("int").alias("n"), "at", "lo",
-                                         "hi", "hot")).alias("_reps")))
-    contexts = keyed.join(reps, "_key").mapInArrow(contexts_of, _CONTEXTS)
+    def contexts(chosen: str) -> DataFrame:
+        reps = (mixed.where("rank = 1").where(chosen).groupBy(F.col("key").alias("_key"))
+                .agg(F.collect_list(F.struct("seed", "ctx", F.least("total", F.lit(2)).cast("int").alias("n"), "at", "lo",
+                                             "hi", "hot")).alias("_reps")))
+        return keyed.join(reps, "_key").mapInArrow(contexts_of, _CONTEXTS)
+
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cool = (contexts.where("not hot").repartition(parts, "seed").sortWithinPartitions("seed")
-            .mapInArrow(lambda b: extend_batches(b, window, grams_of), _FOUND))
-    warm = hot_windows(contexts.where("hot"), window, grams_of)
-    return whole.unionByName(equal).unionByName(cool).unionByName(warm)
+    spans = (whole.unionByName(equal)
+             .unionByName(contexts("not hot").repartition(parts, "seed").sortWithinPartitions("seed")
+                          .mapInArrow(lambda b: extend_batches(b, window, grams_of), _FOUND)))
+    if not mixed.where("rank = 1 and hot").isEmpty():  # else the texts needn't move for them
+        spans = spans.unionByName(hot_windows(contexts("hot"), window, grams_of))
+    return spans
 
 
 def covered_words(docs: DataFrame, window: int, seed: int, hot_seed: int) -> tuple[DataFrame, DataFrame]:
