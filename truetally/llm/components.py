@@ -55,4 +55,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", known: DataFrame |
         hooks = _flatten(written(live.groupBy(F.col("y").alias("node")).agg(F.min("x").alias("root")), "hooks"))
         roots = written(_follow(roots, hooks, "root"), "roots")
         live, left = written_counting(lower(_follow(live, hooks, "x", "y")), "edges")
-    return roots
+    return roots.select("node", "root")
