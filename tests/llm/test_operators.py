@@ -206,6 +206,29 @@ def test_quality_rejects_symbol_noise_and_keeps_prose(spark):
     assert not any(kept[i] for i, _ in noise)
 
 
+def prose_lines(rng, n, start=0):
+    """(id, text) of n clean documents of 60 to 900 words."""
+    voc = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    return [(start + i, " ".join(rng.choice(voc) for _ in range(int(60 * 15 ** rng.random())))) for i in range(n)]
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_quality_rejects_a_third_of_junk(spark, copies):
+    from truetally.llm.quality import judge
+    rng = random.Random(5)
+    prose = prose_lines(rng, 200)
+    one = None
+    noise = []
+    for i in range(100):
+        if one is None or not copies:
+            share = rng.uniform(.1, .4)
+            one = " ".join("#$%&*"[rng.randrange(5)] * 4 if rng.random() < share else f"w{rng.randrange(9000)}" for _ in range(120))
+        noise.append((1000 + i, one))
+    kept = {r.doc_id: r.kept for r in judge(table(spark, [*prose, *noise])).collect()}
+    assert not any(kept[i] for i, _ in noise)
+    assert sum(not kept[i] for i, _ in prose) <= 2
+
+
 # --- 4: decontamination
 
 def test_leaks_match_brute_force(spark):

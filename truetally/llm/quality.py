@@ -8,11 +8,16 @@ chi-squared distribution is an outlier.
 
 The MCD runs on all documents, as Spark jobs: each concentration step is one
 aggregation of counts, sums and cross products per group and distance bin, from
-which the closest ``SHARE`` of a group gives the next centre and scatter (the
-bin that crosses the share is taken whole). Two starts, one from medians and
-absolute deviations and one from the classical estimate, are carried side by
-side; the smaller determinant wins. Nothing grows with a group but the sums,
-so a source with a third of all documents is as cheap as any other.
+which the closest ``SHARE`` of a group, its half, gives the next centre and
+scatter. The bin that crosses the share is taken whole when that adds at most
+``SLACK`` of the group, else by the part that is missing, so equal copies don't
+enter all at once. Two starts, one from medians and absolute deviations and one
+from the classical estimate, are carried side by side; the smaller determinant
+wins. The final centre and scatter are those of all documents within the
+``REWEIGHT`` quantile of that estimate, again made consistent for a Gaussian
+group. Junk may thus be up to some two fifths of a group. Nothing grows with a
+group but the sums, so a source with a third of all documents is as cheap as
+any other.
 
 A ridge (``FLOOR``) is added to each scatter: text statistics are often
 constant in most of a group, and many copies of one document may not make
@@ -42,7 +47,11 @@ from truetally.llm.common import arrow_column, doc_chunks, on_workers, small_sid
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-SHARE = 0.75
+SHARE = 0.5
+#: Share of a group by which a whole bin may exceed SHARE.
+SLACK = 0.1
+#: Quantile of the documents that the reweighted estimate takes.
+REWEIGHT = 0.975
 MIN_GROUP = 50
 #: Smallest standard deviations of: log words, log word length, log symbol share, log duplicate lines, log repeat share.
 FLOOR = (1.0, 0.1, 0.25, 0.4, 0.35)
@@ -162,7 +171,10 @@ def _concentrate(part: pd.DataFrame) -> pd.DataFrame:
     part = part.sort_values("bin")
     n = int(part["c"].sum())
     before = part["c"].cumsum() - part["c"]
-    near = part[before < math.ceil(SHARE * n)]
+    h = math.ceil(SHARE * n)
+    near = part[before < h].drop(columns=["pool", "start", "bin"]).astype(float)
+    if near["c"].sum() > h + SLACK * n:
+        near.iloc[-1] *= (h - before.iloc[len(near) - 1]) / near["c"].iloc[-1]
     c = float(near["c"].sum())
     mean = np.array([near[f"s{i}"].sum() for i in range(P)]) / c
     cov = np.zeros((P, P))
@@ -171,6 +183,15 @@ def _concentrate(part: pd.DataFrame) -> pd.DataFrame:
     return _frame([_parameters(part["pool"].iloc[0], int(part["start"].iloc[0]), n, mean, cov * scatter_scale())])
 
 
+def _reweighted_parameters(part: pd.DataFrame) -> pd.DataFrame:
+    x = part.iloc[0]
+    mean = np.array([x[f"s{i}"] for i in range(P)]) / x["c"]
+    cov = np.zeros((P, P))
+    for i, j in _PAIRS:
+        cov[i, j] = cov[j, i] = x[f"s{i}{j}"] / x["c"] - mean[i] * mean[j]
+    return _frame([_parameters(x["pool"], 0, int(x["n"]), mean, cov * scatter_scale(REWEIGHT))])
+
+
 def _first_parameters(part: pd.DataFrame) -> pd.DataFrame:
     x = part.iloc[0]
     mean = np.array([x[f"s{i}"] for i in range(P)]) / x["c"]
@@ -231,6 +252,13 @@ def fit(points: DataFrame) -> DataFrame:
     return written(best.select("b.*").drop("start"), "mcd")
 
 
+def reweighted(points: DataFrame, fitted: DataFrame) -> DataFrame:
+    """Centre and scatter of the points within the ``REWEIGHT`` quantile of the MCD, in the columns of ``fitted``."""
+    near = points.join(small_side(fitted, GROUP_ROWS), "pool").where(distance() <= chi2_quantile(REWEIGHT, P))
+    sums = near.groupBy("pool").agg(F.first("n").alias("n"), *_sums())
+    return written(sums.groupBy("pool").applyInPandas(_reweighted_parameters, _PARAMETERS).drop("start"), "reweighted")
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           site_col: str = "source") -> DataFrame:
     """(_key, id, base statistics, base_failed, distance, kept) of every document row."""
@@ -243,7 +271,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                                      | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))), "statistics")
     points = pooled(stats).withColumns({f"x{i}": x for i, x in enumerate(vector())})
     points = written(points, "points")
-    fitted = fit(points.where(F.col("pool").isNotNull()).select("pool", *(f"x{i}" for i in range(P))))
+    own = points.where(F.col("pool").isNotNull()).select("pool", *(f"x{i}" for i in range(P)))
+    fitted = reweighted(own, fit(own))
     limit = chi2_quantile(1 - REJECT, P)
     judged = (points.join(small_side(fitted.withColumnRenamed("n", "pool_n"), GROUP_ROWS), "pool", "left")
               .withColumn("distance", distance())
