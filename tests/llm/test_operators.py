@@ -229,6 +229,30 @@ def test_quality_rejects_a_third_of_junk(spark, copies):
     assert sum(not kept[i] for i, _ in prose) <= 2
 
 
+def test_quality_rejects_by_each_statistic_alone_and_by_two_together(spark):
+    from truetally.llm.quality import judge
+    rng = random.Random(6)
+    prose = prose_lines(rng, 400)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 9)))
+
+    def text(n=300, lines=0, repeats=0, symbols=0, letters=0):
+        w = ["".join(rng.choice("abcdefghijklmnop") for _ in range(letters)) if letters else word() for _ in range(n)]
+        for i in range(repeats):  # three words each, met again behind a word of its own
+            w[4 * i + 100:4 * i + 103] = ["once", "and", "again"]
+        for i in range(symbols):
+            w[7 * i] = "#" + w[7 * i]
+        return " ".join(w[:20]) + "".join(f"\nsame\n{x}" for x in w[20:20 + lines]) + "\n" + " ".join(w[20 + lines:])
+
+    alone = {1001: text(n=20_000), 1003: text(letters=9), 1005: text(symbols=42), 1007: text(lines=9), 1009: text(repeats=44)}
+    less = {2001: text(lines=4), 2003: text(repeats=24)}
+    both = {3001: text(lines=4, repeats=24)}
+    found = {r.doc_id: r for r in judge(table(spark, [*prose, *alone.items(), *less.items(), *both.items()])).collect()}
+    assert not any(found[i].base_failed for i in (*alone, *less, *both))
+    assert {i for i in (*alone, *less, *both) if found[i].kept} == set(less)
+    # clean text: at most 0.5 % of it goes
+    assert sum(not found[i].kept for i, _ in prose) <= 2
+
+
 # --- 4: decontamination
 
 def test_leaks_match_brute_force(spark):
