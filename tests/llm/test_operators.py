@@ -309,6 +309,16 @@ def test_mail_and_secrets_vanish(spark):
     assert len(out.text.split()) == len(text.split())
 
 
+def test_long_secrets_vanish_whole(spark):
+    from truetally.llm.pii import pseudonymise
+    rng = random.Random(8)
+    secrets = ["".join(rng.choice("ABCDEFGHJKLMNxyz-_.") for _ in range(n)) for n in (201, 703, 5000)]
+    out = pseudonymise(spark.createDataFrame([(" and ".join(f"token={x}" for x in secrets),)], "text string"), "k").first()
+    words = out.text.split(" and ")
+    assert out._n_replaced == 3 and [len(w) for w in words] == [6 + len(x) for x in secrets]
+    assert not any(x[i:i + 20] in out.text for x in secrets for i in range(len(x) - 19))
+
+
 # --- 7: chat
 
 def test_events_fold_in_order(spark):

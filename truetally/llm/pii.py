@@ -10,7 +10,8 @@ new valid check digit, social security numbers walk the permutation until the
 result is valid, so pseudonyms pass the same validation as the values.
 
 Mail addresses and secrets (access keys, passwords, tokens) have no numeric
-format; they get keyed digests in their shape, linked but not invertible.
+format; they get keyed digests in their shape, linked but not invertible. A
+secret goes whole, up to the next white space or quote.
 
 Only DataFrame functions, one row at a time: no shuffle, and nothing depends on
 how often a value occurs.
@@ -38,7 +39,7 @@ PATTERNS = {
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Z])"
-              r"|(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]?[=:][ ]?[\"']?[^\s\"']{6,200}",
+              r"|(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]?[=:][ ]?[\"']?[^\s\"']{6,}+",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Cheap test that every candidate passes.
