@@ -309,6 +309,29 @@ def test_mail_and_secrets_vanish(spark):
     assert len(out.text.split()) == len(text.split())
 
 
+def test_cards_beside_other_numbers(spark):
+    from truetally.llm.pii import pseudonymise
+    card = "4041894974608795"
+    rows = [(1, f"{card} 12/27"), (2, "4041 8949 7460 8795 123"), (3, f"no 12 {card}"), (4, f"{card} 12/31/1999"),
+            (5, f"{card} {card} 4041-8949-7460-8795"), (6, f"123 {card} 988-555-2485"), (7, f"1.5 {card} 10.0.0.1"),
+            (8, " - ".join([card, "7"])), (9, "1  2 3 " * 40 + card), (10, " ".join(str(i) for i in range(1900, 2100))),
+            (11, "4041894974608796 12/27"), (12, "3782 822463 10005 1234")]
+    out = pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k")
+    got = {r.doc_id: r for r in out.collect()}
+    new = got[1].text[:16]
+    assert new.isdigit() and new != card and got[1].text[16:] == " 12/27"
+    spaced = " ".join(new[i:i + 4] for i in (0, 4, 8, 12))
+    assert got[2].text == f"{spaced} 123" and got[3].text == f"no 12 {new}" and got[8].text == f"{new} - 7"
+    assert got[5].text == f"{new} {new} {spaced.replace(' ', '-')}" and got[5]._n_replaced == 3
+    assert got[4].text.startswith(f"{new} ") and "12/31/1999" not in got[4].text
+    assert new in got[6].text and "988-555-2485" not in got[6].text
+    assert got[7].text.startswith(f"1.5 {new} ") and "10.0.0.1" not in got[7].text
+    assert card not in got[9].text and got[11].text == rows[10][1] and "3782 822463 10005" not in got[12].text
+    assert all(len(got[i].text) == len(t) for i, t in rows if i != 7)
+    back = pseudonymise(out.drop("_n_replaced"), "k", inverse=True).collect()
+    assert sorted((r.doc_id, r.text) for r in back) == rows
+
+
 def test_long_secrets_vanish_whole(spark):
     from truetally.llm.pii import pseudonymise
     rng = random.Random(8)

@@ -16,6 +16,13 @@ secret goes whole, up to the next white space or quote.
 Only DataFrame functions, one row at a time: no shuffle, and nothing depends on
 how often a value occurs.
 
+Cards are sought in runs of digit groups, so an expiry date, a security code or
+any other number beside a card doesn't hide it: every sub-run of whole groups
+with 13 to 19 digits that passes the check is a candidate; of overlapping ones
+the first to end goes, the usual forms before others. The permutation is walked
+until the pseudonym is found at the same place; so where sub-runs overlap (long
+lists of numbers), it can depend on the numbers before the card.
+
 Defined cases: null text stays null; a candidate that does not validate stays
 as it is; digits inside longer digit runs are no candidates; dates from
 1900-01-01 to 2099-08-04 are permuted among themselves and others stay; rows
@@ -37,11 +44,16 @@ PATTERNS = {
     "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Z])"
               r"|(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]?[=:][ ]?[\"']?[^\s\"']{6,}+",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Runs of digit groups, sought between the other kinds; cards are sub-runs of them.
+RUN = "(?<![0-9])[0-9][0-9 -]{11,}[0-9](?![0-9]|[./][0-9])"
+CARD_DIGITS = (13, 19)
+#: Digits by group of the usual ways to write a card; these go before other sub-runs that pass the check.
+USUAL = "^(1[3-9]|4-4-4-4|4-6-5|4-6-4)$"
+WALK = 64
 #: Cheap test that every candidate passes.
 MAYBE = "[0-9@=:]"
 
@@ -108,11 +120,87 @@ def _ssn_valid(d: Column) -> Column:
              | (F.substring(d, 6, 4) == "0000"))
 
 
-def _card(value: Column, key: str, inverse: bool) -> Column:
-    digits = F.regexp_replace(value, "[^0-9]", "")
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _is_card(group: Column) -> Column:
+    digits = F.array_join(group, "")
+    return F.length(digits).between(*CARD_DIGITS) & ~F.array_contains(group, "") & luhn_valid(digits)
+
+
+def _is_usual(group: Column) -> Column:
+    return F.array_join(F.transform(group, lambda y: F.length(y).cast("string")), "-").rlike(USUAL)
+
+
+def _card_from(groups: Column, least: Column, end: Column) -> Column:
+    """First group, not before ``least``, of the card that ends with group ``end``; null: none does.
+
+    A usual form goes before others, then the longest; others give way to a usual form that overlaps and ends later.
+    """
+    part = lambda i, j: F.slice(groups, i + 1, j - i + 1)
+    first = F.greatest(least, end - CARD_DIGITS[1] + 1)
+    found = F.filter(F.sequence(first, end), lambda i: _is_card(part(i, end)))
+    later = lambda i: F.exists(F.sequence(F.greatest(i, end - 2), end), lambda j: F.exists(
+        F.filter(F.array(F.lit(2), F.lit(3)), lambda n: (j + n > end) & (j + n < F.size(groups))),
+        lambda n: _is_usual(part(j, j + n)) & _is_card(part(j, j + n))))
+    ranked = F.transform(found, lambda i: F.struct((~_is_usual(part(i, end))).alias("other"), i.alias("i")))
+    kept = F.filter(ranked, lambda x: ~x["other"] | ~later(x["i"]))
+    return F.when(least <= end, F.array_min(kept)["i"])
+
+
+def _card_digits(digits: Column, key: str, inverse: bool) -> Column:
     body = permute_digits(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card", inverse)
-    check = F.pmod(10 - _luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
-    return F.when(luhn_valid(digits), refill(value, F.concat(body, check))).otherwise(value)
+    return _let(body, lambda x: F.concat(x, F.pmod(10 - _luhn_sum(F.concat(x, F.lit("0"))) % 10, F.lit(10)).cast("string")))
+
+
+def _permuted(groups: Column, start: Column, end: Column, key: str, inverse: bool) -> Column:
+    """The groups with the digits of one card permuted."""
+    own = F.slice(groups, start + 1, end - start + 1)
+    return _let(_card_digits(F.array_join(own, ""), key, inverse), lambda new: F.transform(
+        groups, lambda g, i: F.when((i < start) | (i > end), g).otherwise(F.substr(
+            new, F.length(F.array_join(F.slice(groups, start + 1, F.greatest(i - start, F.lit(0))), "")) + 1, F.length(g)))))
+
+
+def _walked(groups: Column, least: Column, start: Column, end: Column, key: str, inverse: bool) -> Column:
+    """As ``_permuted``, repeated until the same card is found again from the left."""
+    def same(g):
+        before = F.exists(F.sequence(start, end), lambda e: (e < end) & _card_from(g, least, e).isNotNull())
+        return ~before & F.coalesce(_card_from(g, least, end) == start, F.lit(False))
+
+    def step(s, _):
+        return F.when(s["done"], s).otherwise(_let(_permuted(s["g"], start, end, key, inverse), lambda g: F.struct(
+            g.alias("g"), same(g).alias("done"))))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.struct(groups.alias("g"), F.lit(False).alias("done")), step,
+                       lambda s: s["g"])
+
+
+def _run(value: Column, key: str, inverse: bool) -> Column:
+    """struct<o, n>: a run of digit groups with its cards replaced, and their number."""
+    def step(s, end):
+        return _let(_card_from(s["g"], s["least"], end), lambda i: F.when(i.isNull(), s).otherwise(F.struct(
+            _walked(s["g"], s["least"], i, end, key, inverse).alias("g"), (end + 1).alias("least"), (s["n"] + 1).alias("n"))))
+
+    def whole(g):
+        zero = F.struct(g.alias("g"), F.lit(0).alias("least"), F.lit(0).alias("n"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(g) - 1), zero, step)
+
+    # the separators stand between the groups, one each
+    marks = F.split(F.regexp_replace(value, "[0-9]+", ""), "")
+    return _let(_let(F.split(value, "[ -]", -1), whole), lambda s: F.struct(F.array_join(F.zip_with(
+        s["g"], marks, lambda g, m: F.concat(g, F.coalesce(m, F.lit("")))), "").alias("o"), s["n"].alias("n")))
+
+
+def _with_cards(part: Column, key: str, inverse: bool) -> Column:
+    """struct<o, n>: the text between other candidates with its cards replaced, and their number."""
+    plain = F.struct(part.alias("o"), F.lit(0).alias("n"))
+    runs = F.transform(F.regexp_extract_all(part, F.lit(RUN), 0), lambda x: _run(x, key, inverse))
+    woven = _let(runs, lambda r: F.struct(
+        F.array_join(F.zip_with(F.split(part, RUN, -1), r, lambda text, x: F.concat(text, F.coalesce(x["o"], F.lit("")))), "").alias("o"),
+        F.aggregate(r, F.lit(0), lambda s, x: s + x["n"]).alias("n")))
+    return F.when(part.rlike(RUN), woven).otherwise(plain)
 
 
 def _phone(value: Column, key: str, inverse: bool) -> Column:
@@ -171,7 +259,6 @@ def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
             .when(whole["date"], _date(value, key, inverse))
             .when(whole["ssn"], _ssn(value, key, inverse))
             .when(whole["ip"], _ip(value, key, inverse))
-            .when(whole["card"], _card(value, key, inverse))
             .otherwise(value if inverse else _secret(value, key)))
 
 
@@ -179,13 +266,12 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", inverse: boo
     """``docs`` with personal data in the text replaced, plus ``_n_replaced``."""
     text = F.col(text_col)
     maybe = text.rlike(MAYBE)
-    found = F.when(maybe, F.regexp_extract_all(text, F.lit(PATTERN), 0))
-    out = docs.withColumn("_found", F.when(F.size(found) > 0, found))
-    new = F.transform("_found", lambda x: pseudonym(x, key, inverse))
-    out = out.withColumn("_new", F.when(F.col("_found").isNotNull(), new))
-    woven = F.array_join(F.zip_with(F.split(text, PATTERN, -1), F.col("_new"),
-                                    lambda part, value: F.concat(part, F.coalesce(value, F.lit("")))), "")
-    changed = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
-    return (out.withColumn(text_col, F.when(F.col("_found").isNotNull(), woven).otherwise(text))
-            .withColumn("_n_replaced", F.when(F.col("_found").isNotNull(), changed).otherwise(F.lit(0)).cast("long"))
-            .drop("_found", "_new"))
+    out = docs.withColumn("_found", F.when(maybe, F.regexp_extract_all(text, F.lit(PATTERN), 0)))
+    out = out.withColumn("_new", F.transform("_found", lambda x: pseudonym(x, key, inverse)))
+    out = out.withColumn("_parts", F.when(maybe, F.transform(F.split(text, PATTERN, -1), lambda x: _with_cards(x, key, inverse))))
+    woven = F.array_join(F.zip_with("_parts", "_new", lambda part, value: F.concat(part["o"], F.coalesce(value, F.lit("")))), "")
+    changed = (F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
+               + F.aggregate("_parts", F.lit(0), lambda s, x: s + x["n"]))
+    return (out.withColumn(text_col, F.when(maybe, woven).otherwise(text))
+            .withColumn("_n_replaced", F.when(maybe, changed).otherwise(F.lit(0)).cast("long"))
+            .drop("_found", "_new", "_parts"))
