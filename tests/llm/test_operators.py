@@ -332,6 +332,23 @@ def test_cards_beside_other_numbers(spark):
     assert sorted((r.doc_id, r.text) for r in back) == rows
 
 
+def test_telephone_numbers_of_other_countries(spark):
+    from truetally.llm.pii import pseudonymise
+    phones = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 1234567", "0171 1234567", "+15551234567", "5551234567",
+              "+44 (0)20 7946 0958", "030/12345678", "01 23 45 67 89", "0123456789", "612 345 678", "912 34 56 78"]
+    others = ["1234567890", "0.123456789", "1.234.567.890", "01.02.03", "12345 678", "2024000000001", "555123456"]
+    rows = [(i, f"call {x}, or") for i, x in enumerate([*phones, *others])] + [(99, "no 12 0171 1234567 12"), (98, "9" * 40 + " 0 1")]
+    out = pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k")
+    got = {r.doc_id: r.text for r in out.collect()}
+    for i, x in enumerate(phones):
+        new = got[i][5:-4]
+        assert new != x and [c if not c.isdigit() else "9" for c in new] == [c if not c.isdigit() else "9" for c in x]
+    assert all(got[i] == t for i, t in rows[len(phones):-2])
+    assert "1234567" not in got[99] and got[0][5:8] == "+44" and got[3][5:7] == "01" and got[98] == rows[-1][1]
+    back = pseudonymise(out.drop("_n_replaced"), "k", inverse=True).collect()
+    assert {r.doc_id: r.text for r in back} == dict(rows)
+
+
 def test_long_secrets_vanish_whole(spark):
     from truetally.llm.pii import pseudonymise
     rng = random.Random(8)

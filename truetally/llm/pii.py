@@ -1,7 +1,8 @@
 """Operator 6: personal data under format-preserving Feistel pseudonyms.
 
-Numbers that validate (payment cards by their check digit, telephone numbers,
-IPv4 addresses, social security numbers) and calendar dates are replaced by a
+Numbers that validate (payment cards by their check digit, telephone numbers
+by digit count and prefix, IPv4 addresses, social security numbers) and calendar
+dates are replaced by a
 keyed permutation of their own format: a balanced Feistel network over the
 digits (or the day number), whose round function is a slice of a keyed SHA-256.
 Equal values get equal pseudonyms in every document, different values different
@@ -23,6 +24,14 @@ the first to end goes, the usual forms before others. The permutation is walked
 until the pseudonym is found at the same place; so where sub-runs overlap (long
 lists of numbers), it can depend on the numbers before the card.
 
+Telephone numbers are: + and 7 to 15 digits (the country code stays); 9 to 12
+digits from a leading 0, as in Germany and France (the first two stay); Spanish
+ones in groups (the first stays); 10 digits in groups of 3-3-4 with any prefix,
+as the digits of such a group are telephone-like whatever the area code, or
+undivided from 2 to 9. Undivided Spanish numbers (9 digits) and local numbers
+without area code are no candidates: their form doesn't tell them from other
+numbers.
+
 Defined cases: null text stays null; a candidate that does not validate stays
 as it is; digits inside longer digit runs are no candidates; dates from
 1900-01-01 to 2099-08-04 are permuted among themselves and others stay; rows
@@ -38,12 +47,19 @@ ROUNDS = 8
 DATE_ORIGIN, DATE_SIDE = "1900-01-01", 270  # 270 * 270 days
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+#: No digit group of 3 or more digits stands beside, as it would in a card.
+_ALONE, _NO_MORE = r"(?<![0-9A-Za-z.,+/-])(?<![0-9]{3} )", r"(?![0-9]|[ -][0-9]{3})"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "phone": r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?)?(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
+    # + and 7 to 15 digits (11 in the zones 1 and 7), national with a leading 0, Spanish, North American without separators
+    "abroad": r"(?<![0-9A-Za-z+])\+(?:[17](?:[ .-]?\(?[0-9]\)?){10}|[2-689](?:[ .-]?\(?[0-9]\)?){6,14})(?![0-9])",
+    "trunk": _ALONE + r"\(?0[1-9](?:\)?[ ./-]?[0-9]){7,10}" + _NO_MORE,
+    "spanish": _ALONE + r"[6-9][0-9]{2}(?:[ -][0-9]{3}[ -][0-9]{3}|(?:[ -][0-9]{2}){3})" + _NO_MORE,
+    "ten": _ALONE + r"[2-9][0-9]{9}(?![A-Za-z]|[.,/][0-9])" + _NO_MORE,
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Z])"
               r"|(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]?[=:][ ]?[\"']?[^\s\"']{6,}+",
 }
@@ -209,6 +225,28 @@ def _phone(value: Column, key: str, inverse: bool) -> Column:
     return refill(value, F.concat(F.substr(digits, F.lit(1), F.length(digits) - 10), permute_digits(own, key, "phone", inverse)))
 
 
+#: Country codes of two digits; 1 and 7 have one, the others three.
+TWO_DIGIT_CODES = "^(2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+
+
+def _phone_after(value: Column, n_kept: Column, key: str, inverse: bool) -> Column:
+    """The digits after the first ``n_kept`` permuted."""
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    own = F.substr(digits, n_kept + 1, F.length(digits) - n_kept)
+    return refill(value, F.concat(F.substr(digits, F.lit(1), n_kept), permute_digits(own, key, "phone", inverse)))
+
+
+def _abroad(value: Column, key: str, inverse: bool) -> Column:
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    code = F.when(digits.rlike("^[17]"), 1).when(digits.rlike(TWO_DIGIT_CODES), 2).otherwise(3)
+    return _phone_after(value, code, key, inverse)
+
+
+def _ten(value: Column, key: str, inverse: bool) -> Column:
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), permute_digits(value, key, "phone", inverse),
+                       lambda d, _: F.when(d.rlike("^[2-9]"), d).otherwise(permute_digits(d, key, "phone", inverse)))
+
+
 def _ssn(value: Column, key: str, inverse: bool) -> Column:
     digits = F.regexp_replace(value, "-", "")
     start = permute_digits(digits, key, "ssn", inverse)
@@ -259,6 +297,10 @@ def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
             .when(whole["date"], _date(value, key, inverse))
             .when(whole["ssn"], _ssn(value, key, inverse))
             .when(whole["ip"], _ip(value, key, inverse))
+            .when(whole["abroad"], _abroad(value, key, inverse))
+            .when(whole["trunk"], _phone_after(value, F.lit(2), key, inverse))
+            .when(whole["spanish"], _phone_after(value, F.lit(1), key, inverse))
+            .when(whole["ten"], _ten(value, key, inverse))
             .otherwise(value if inverse else _secret(value, key)))
 
 
