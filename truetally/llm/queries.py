@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and DuckDB SQL where SQL can express them."""
+"""Registered queries of the operators, and DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -91,8 +91,55 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+#: Weights that the sources take in turn.
+TURNS = (5, 2, 1)
+
+
+def op11_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all documents: sources in order weigh 5, 2, 1 in turn; every other source's weight rises, the others' fall."""
+    from truetally.llm.curriculum import assign_positions, by_position, ranked
+    docs = _table(spark, sf_dir, "documents")
+    sources = ranked(docs.select("source").distinct(), F.col("source").asc_nulls_last())
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in TURNS]), (F.col("rank") % len(TURNS) + 1).cast("int"))
+    knot = lambda t, part: F.struct(F.lit(t).alias("t"), (part * weight).alias("w"))
+    rising, falling = (F.array(knot(0.0, a), knot(1.0, b)) for a, b in ((0.5, 1.5), (1.5, 0.5)))
+    schedules = sources.select("source", F.when(F.col("rank") % 2 == 0, rising).otherwise(falling).alias("knots"))
+    return by_position(assign_positions(docs, schedules)).select(
+        "doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row of the embeddings; labels of every seventh are shifted first."""
+    from truetally.llm.hard_negatives import hard_negatives
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents the words from some place on repeat with some period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n = F.size("_w").cast("long")
+    cut = docs.select("doc_id", "text", h.alias("_h"), F.when(h % 10 == 0, words).alias("_w"))
+    a = F.col("_g") % n
+    cut = (cut.withColumn("_g", F.floor(F.col("_h") / 10)).withColumn("_a", F.when(n > 0, a))
+           .withColumn("_p", F.floor((n - F.col("_a")) / (3 + F.col("_g") % 8)) + 1))
+    block = F.slice("_w", F.col("_a").cast("int") + 1, F.col("_p").cast("int"))
+    again = F.flatten(F.array_repeat(block, F.ceil((n - F.col("_a")) / F.col("_p")).cast("int")))
+    planted = F.slice(F.concat(F.slice("_w", F.lit(1), F.col("_a").cast("int")), again), F.lit(1), n.cast("int"))
+    return cut.select("doc_id", F.when(F.col("_a").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every text, a tenth of them with planted periods."""
+    from truetally.llm.runs import run_digests
+    return run_digests(planted_periods(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_quality, op4_decontaminate, op5_suffix_dedup, op6_pii, op7_chat, op8_warc, op9_near_dup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_substring_dedup, op3_quality, op4_decontaminate, op5_suffix_dedup, op6_pii, op7_chat, op8_warc, op9_near_dup, op10_line_dedup, op11_curriculum,
+                                     op12_hard_negatives, op13_periodic_runs)}
 
 
 OP8_SQL = """
@@ -152,5 +199,66 @@ from documents d left join kept k on d.doc_id is not distinct from k.doc_id and
 """
 
 
+OP11_SQL = r"""
+with d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size from documents
+), s as (
+  select source, cast(sum(size) as bigint) as source_size,
+         row_number() over (order by source nulls last) - 1 as place from d group by source
+), w as (
+  select *, cast([5, 2, 1][place % 3 + 1] as double) as weight, 2 * cast(source_size as double) as cap from s
+), by_cap as (  -- sources are capped in order of cap / weight
+  select *, coalesce(sum(cap) over before, 0) as capped, sum(weight) over rest as free from w
+  window before as (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding),
+         rest as (order by cap / weight, source nulls last rows between current row and unbounded following)
+), level as (
+  select max((1.5 * total - capped) / free) as height from by_cap, (select sum(source_size) as total from w)
+), t as (
+  select w.*, least(cap, weight * height) as target from w, level
+), stream as (
+  select d.*, t.source_size, t.target, t.weight, t.place,
+         coalesce(sum(size) over (partition by d.source order by md5(cast(doc_id as varchar))[:15], doc_id, size
+                                  rows between unbounded preceding and 1 preceding), 0) as start
+  from d join t on d.source is not distinct from t.source
+), visit as (
+  select *, least(size, cast(floor(target) as bigint) - start) as first_words,
+         least(size, cast(floor(target) as bigint) - start - source_size) as second_words,
+         case when place % 2 = 0 then 0.5 else 1.5 end * weight as w0,
+         case when place % 2 = 0 then 1.5 else 0.5 end * weight as w1,
+         cast(case when first_words > 0 then start end as double) / target * weight as demand
+  from stream
+)
+select doc_id, cast(size as bigint) as size, source_size, target,
+       cast(greatest(first_words, 0) + greatest(second_words, 0) as bigint) as taken,
+       2 * demand / (w0 + sqrt(w0 * w0 + 2 * (w1 - w0) * demand)) as position
+from visit
+"""
+
+OP12_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * cast(x as double)) for x in embedding] as vec
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
+), pair as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+         cast(list_dot_product(a.vec, b.vec) as bigint) as score
+  from (select * from v where vec_id % 100 = 0) a, v b
+), positive as (
+  select *, row_number() over (partition by anchor_id order by score desc, other_id) as place
+  from pair where same and other_id <> anchor_id
+), negative as (
+  select p.anchor_id, p.other_id as positive_id, n.other_id as negative_id, p.score as positive_score, n.score as negative_score,
+         cast(row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id) as integer) as rank
+  from positive p join pair n on p.anchor_id = n.anchor_id and not n.same
+   and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+  where p.place <= 5
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negative where rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat": OP7_SQL, "op8_warc": OP8_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op7_chat": OP7_SQL, "op8_warc": OP8_SQL, "op10_line_dedup": OP10_SQL, "op11_curriculum": OP11_SQL,
+            "op12_hard_negatives": OP12_SQL}
