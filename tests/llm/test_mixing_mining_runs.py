@@ -204,7 +204,7 @@ def integral(shape, t):
     return area(a, b, 0.3, min(t, 0.3)) + (area(b, c, 0.7, t - 0.3) if t > 0.3 else 0)
 
 
-@pytest.mark.parametrize("bucket, sources", [(50_000, 10_000), (20, 1)])
+@pytest.mark.parametrize("bucket, sources", [(1_000, 10_000), (6, 1)])
 def test_curriculum_targets_takes_and_positions(spark, monkeypatch, bucket, sources):
     from truetally.llm import curriculum as C
     monkeypatch.setattr(C, "BUCKET", bucket)

@@ -19,9 +19,9 @@ linear between knots (t, weight); its integral is the source's total weight.
 
 Scale. Texts are read once, for their sizes, and don't move. Rows that agree in
 id, source and size are counted first and expanded last. Offsets in a source's
-stream are prefix sums in two levels: sums of buckets (ranges of the digest,
-``BUCKET`` keys each on average, so a source of any size spreads) and sums
-within a bucket. The ranking of sources is by ranges as well. The table of
+stream are prefix sums in three levels: groups of ``BUCKET`` buckets, buckets of
+a group (ranges of the digest, ``BUCKET`` keys each on average, so a source of
+any size spreads), and keys of a bucket. The ranking of sources is by ranges as well. The table of
 sources is broadcast while it has at most ``SOURCES`` rows, else joined by
 shuffle, where Spark splits large sources.
 
@@ -41,7 +41,7 @@ from truetally.llm.common import small_side, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 SHARE, REPEAT = 1.5, 2
-BUCKET, SOURCES = 50_000, 10_000
+BUCKET, SOURCES = 1_000, 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -125,16 +125,27 @@ def assign_positions(docs: DataFrame, schedules: DataFrame, id_col: str = "doc_i
         return df.join(right, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
 
     # mark < 2**60; buckets are ranges of it
-    dealt = by_source(rows, "buckets").withColumn("bucket", F.shiftright(F.shiftright("mark", 20) * F.col("buckets"), 40))
-    words = F.sum(F.col("size") * F.col("n"))
-    earlier = Window.partitionBy("_source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (dealt.groupBy("_source", "bucket").agg(words.alias("words"))
-             .select(F.col("_source").alias("_s"), F.col("bucket").alias("_b"),
-                     F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base")))
-    within = (Window.partitionBy("_source", "bucket").orderBy("mark", F.col("_id").asc_nulls_first(), "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    streams = (dealt.withColumn("before", F.coalesce(words.over(within), F.lit(0)))
-               .join(bases, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
+    dealt = (by_source(rows, "buckets").withColumn("bucket", F.shiftright(F.shiftright("mark", 30) * F.col("buckets"), 30))
+             .withColumn("group", F.floor(F.col("bucket") / BUCKET)))
+    sums = dealt.groupBy("_source", "group", "bucket").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
+    groups = sums.groupBy("_source", "group").agg(F.sum("words").alias("words"))
+
+    def earlier(df: DataFrame, keys: list, order: list, name: str, words: Column = F.col("words")) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(name, F.coalesce(F.sum(words).over(window), F.lit(0)))
+
+    def place(df: DataFrame, sums: DataFrame, *keys: str) -> DataFrame:
+        right = sums.drop("words").withColumnsRenamed({"_source": "_s", **{k: f"_{k}" for k in keys}})
+        on = F.col("_source").eqNullSafe(F.col("_s"))
+        for k in keys:
+            on &= F.col(k) == F.col(f"_{k}")
+        return df.join(right, on).drop("_s", *[f"_{k}" for k in keys])
+
+    bases = place(earlier(sums, ["_source", "group"], ["bucket"], "in_group"),
+                  earlier(groups, ["_source"], ["group"], "before_group"), "group")
+    offsets = bases.select("_source", "bucket", (F.col("in_group") + F.col("before_group")).alias("base"))
+    streams = (place(earlier(dealt, ["_source", "bucket"], ["mark", F.col("_id").asc_nulls_first(), "size"], "before",
+                             F.col("size") * F.col("n")), offsets, "bucket")
                .select("_id", "_source", "size", "n", (F.col("base") + F.col("before")).alias("start")))
     full = by_source(streams, "source_size", "target", "weight", "pieces")
     each = (full.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
