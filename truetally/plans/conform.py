@@ -404,20 +404,19 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def write_fact(df: DataFrame, path: str, anchor: str, salts: int = 4) -> DataFrame:
+def write_fact(df: DataFrame, path: str, anchor: str) -> DataFrame:
     """Write a fact partitioned by plant and anchor year, sorted by the anchor.
 
-    One shuffle brings the rows of a (plant, month) to ``salts`` tasks, so a
-    directory gets about 12 x salts files however many tasks run, and a busy
-    plant or month spreads. Read back under the written schema: a plant code
-    such as 0001 stays text. ``anchor_year`` is a directory only; period
-    filters on the anchor prune it (see semantic.py) and row groups.
+    One shuffle brings the rows of a (plant, year) together; its partitions are
+    rebalanced by their sizes, so a large directory is dealt to as many tasks
+    (files) as it has advisory partition sizes, and small ones share a task.
+    Read back under the written schema: a plant code such as 0001 stays text.
+    ``anchor_year`` is a directory only; period filters on the anchor prune it
+    (see semantic.py) and row groups.
     """
     columns = df.columns
-    year = F.coalesce(F.year(anchor), F.lit(0))
-    salt = F.pmod(F.xxhash64(*columns[:3]), F.lit(salts))
-    (df.withColumn("anchor_year", year)
-     .repartition("plant_id", F.trunc(anchor, "month"), salt)
+    (df.withColumn("anchor_year", F.coalesce(F.year(anchor), F.lit(0)))
+     .hint("rebalance", "plant_id", "anchor_year")
      .sortWithinPartitions("plant_id", "anchor_year", anchor)
      .write.mode("overwrite").partitionBy("plant_id", "anchor_year").parquet(path))
     schema = StructType([*df.schema.fields, StructField("anchor_year", IntegerType())])
