@@ -386,9 +386,21 @@ SORT_ANCHOR = {"fct_shipment": "ship_date", "fct_order_line": "commit_date", "fc
                "fct_inventory": "snapshot_date"}
 
 
-def in_years(df: DataFrame, lo: dt.date, hi: dt.date) -> DataFrame:
-    """Prune a written fact's year directories to a period of its anchor (the anchor's own filter stays needed)."""
-    if "anchor_year" not in df.columns:
+def _day(bound) -> dt.date | None:
+    """A bound as a date; None if it isn't one (the comparison itself stays Spark's)."""
+    if isinstance(bound, str):
+        try:
+            return dt.date.fromisoformat(bound.strip()[:10])
+        except ValueError:
+            return None
+    return bound if isinstance(bound, dt.date) else None
+
+
+def in_years(df: DataFrame, lo, hi) -> DataFrame:
+    """Prune a written fact's year directories to a period of its anchor (the anchor's own filter stays needed).
+    Bounds are dates, or texts of dates; with any other bound nothing is pruned."""
+    lo, hi = _day(lo), _day(hi)
+    if "anchor_year" not in df.columns or lo is None or hi is None:
         return df
     return df.filter(F.col("anchor_year").between(lo.year, hi.year))
 

@@ -1,10 +1,9 @@
 """Glossary resolution over a question/conversation log.
 
 Every name and synonym of the semantic model (bounded, ~200 terms) is
-matched against the word n-grams of each text: texts are normalised, split
-into words and exploded into 1..N-word n-grams (linear in text length, whole
-texts), then equi-joined with the broadcast term list. A text that uses a
-bare OTD / on-time-delivery term without an inbound or outbound qualifier is
+looked up in each text: texts are normalised and split into words, and an index
+of the terms' first words decides where n-grams are built at all (linear in text
+length, whole texts). A text that uses a bare OTD / on-time-delivery term without an inbound or outbound qualifier is
 flagged as needing clarification.
 """
 
@@ -27,32 +26,38 @@ def glossary_terms_df(spark, model: SemanticModel | None = None) -> DataFrame:
     return g.withColumn("term", normalise_text(F.col("term"))).filter(F.length("term") > 0).distinct()
 
 
-def ngrams(words: Column, max_n: int) -> Column:
-    """All 1..max_n word n-grams of a column of word arrays, as one array (a column: an expression would be
-    evaluated again for every gram)."""
-    empty = F.array().cast("array<string>")
-
-    def gram(n):  # one-argument lambda: PySpark passes (element, index) to two-argument ones
-        return lambda i: F.array_join(F.slice(words, i, n), " ")
-
-    arrays = [F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), gram(n)))
-              .otherwise(empty) for n in range(1, max_n + 1)]
-    return F.filter(F.flatten(F.array(*arrays)), lambda s: F.length(s) > 0)
-
-
-def longest_term(terms: DataFrame) -> int:
-    """Words of the longest term (one number)."""
-    return terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 0
+def term_index(terms: DataFrame) -> tuple[dict[str, list[int]], list[str]]:
+    """(first word -> numbers of words of the terms that begin with it, all terms). The terms are the names and
+    synonyms that a model declares; they become part of the plan."""
+    names = sorted(r.term for r in terms.select("term").distinct().collect())
+    sizes: dict[str, set[int]] = {}
+    for term in names:
+        words = term.split(" ")
+        sizes.setdefault(words[0], set()).add(len(words))
+    return {w: sorted(n) for w, n in sorted(sizes.items())}, names
 
 
 def match_terms(texts: DataFrame, id_cols: list[str], text_col: str, terms: DataFrame) -> DataFrame:
-    """(ids..., term, kind, target, hits) for every glossary term in each text; n-grams go up to the longest term."""
-    max_n = longest_term(terms)
+    """(ids..., term, kind, target, hits) for every glossary term in each text.
+
+    A word that begins no term is passed over by one look-up; only at the other
+    words are candidates built, of the lengths that terms with this first word
+    have, and only those that are terms leave the text's row. So the rows
+    that are counted and joined are the hits themselves. Both look-ups are
+    against hashed sets of literals."""
+    sizes, names = term_index(terms)
+    if not names:
+        return texts.limit(0).select(*id_cols).crossJoin(terms.limit(0)).withColumn("hits", F.lit(0).cast("long"))
+    words = F.col("_w")
+    at = F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.element_at(words, i).isin(*sizes))
+    lengths = F.create_map(*[x for w, n in sizes.items() for x in (F.lit(w), F.array(*[F.lit(k) for k in n]))])
+    # terms that would run past the text's end come out shorter, and may be other terms: those count at their own length
+    grams = lambda i: F.transform(
+        F.filter(lengths[F.element_at(words, i)], lambda n: i + n - 1 <= F.size(words)),
+        lambda n: F.array_join(F.slice(words, i, n), " "))
     t = texts.select(*id_cols, F.split(normalise_text(F.col(text_col)), " ").alias("_w"))
-    grams = t.select(*id_cols, F.explode(ngrams(F.col("_w"), max_n)).alias("term"))
-    # match against the term list first (map side while Spark sizes it for broadcast):
-    # only matching n-grams, a tiny fraction of all, are shuffled for the count
-    hits = grams.join(terms.select("term").distinct(), "term", "left_semi")
+    # exploded at once: a projection in between would be merged with that of the words, and split the text for each word
+    hits = t.select(*id_cols, F.explode(F.filter(F.flatten(F.transform(at, grams)), lambda g: g.isin(*names))).alias("term"))
     counted = hits.groupBy(*id_cols, "term").agg(F.count(F.lit(1)).alias("hits"))
     return counted.join(terms, "term")
 

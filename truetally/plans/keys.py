@@ -25,7 +25,7 @@ from truetally.functions.calendar import fiscal_quarter_label, month_spine_from,
 from truetally.functions.units import to_base_uom
 from truetally.operators.keys import latest_per_key as keep_latest
 from truetally.params import DEFAULT_AS_OF, DOI_WINDOW, LATE, Params
-from truetally.plans import conform, dq, entitlement, governance, grading, legacy, scorecard
+from truetally.plans import audit, conform, dq, entitlement, governance, grading, legacy, scorecard
 from truetally.plans.conform import Conformed
 from truetally.plans.semantic import SemanticModel
 from truetally.session import checkpoint_dir, ensure_session
@@ -374,6 +374,38 @@ def metrics_inventory(x: Ctx):
     return x.model.query(x.c, ["days_of_inventory", "total_inventory_value_usd"], ["plant_region", "commodity"])
 
 
+@q
+def metrics_inventory_quarters(x: Ctx):
+    """Stock of each plant by quarter: the last snapshot of each, one plant without its quarter-ends."""
+    missing = (F.col("plant_id") == "IN01") & (F.month("snapshot_date") % 3 == 0)
+    c = replace(x.c, fct_inventory=x.c.fct_inventory.where(~missing))
+    return x.model.query(c, ["days_of_inventory", "total_inventory_value_usd"], ["plant_id", "snapshot_date.quarter"])
+
+
+@q
+def facts_by_line(x: Ctx):
+    """Facts of every late PO line with goods, next to dimensions of three entities."""
+    return x.model.rows(x.c, ["po_days_late", "po_unit_price_usd", "po_landed_cost_usd"],
+                        ["po_number", "plant_id", "supplier_country", "commodity", "delivery_status"],
+                        [("po_days_late", ">", 0), ("po_goods_value_usd", ">", 0)])
+
+
+@q
+def facts_under_role(x: Ctx):
+    """Facts as a persona lists them: own plants, prices masked."""
+    return x.model.rows(_view(x, "SC_LOGISTICS"), ["po_unit_price_usd", "po_goods_value_usd"], ["plant_id", "confirmed_month"],
+                        period=("confirmed_date", "last_quarter"), as_of=AS_OF)
+
+
+@q
+def metrics_by_part_key(x: Ctx):
+    """A metric by an entity's key, some keys unknown to the entity, with bounds given as texts."""
+    unlisted = F.when(F.col("po_item") % 3 == 0, "UNLISTED").otherwise(F.col("part_id"))
+    c = replace(x.c, fct_po_line=x.c.fct_po_line.withColumn("part_id", unlisted))
+    return x.model.query(c, ["total_goods_value_usd"], ["part_id"],
+                         [("part_id", ">=", "M"), ("confirmed_date", "between", ("1997-01-01", "1998-12-31"))])
+
+
 @q
 def bottom_suppliers_otd(x: Ctx):
     r = x.model.query(x.c, ["supplier_otd"], ["supplier_name"], period="last_quarter", as_of=AS_OF)
@@ -494,25 +526,29 @@ def change_log_diff(x: Ctx):
 
 
 # ------------------------------------------------------------ entitlement
+def _view(x: Ctx, role: str) -> Conformed:
+    """The conformed layer as the role's catalogue hands it out."""
+    return entitlement.Catalogue(x.c, x.raw, x.scope, role).view()
+
+
 @q
 def row_scope_planning(x: Ctx):
-    return x.model.query(x.c, ["customer_otd", "unit_fill_rate"], ["plant_id"], role="SC_PLANNING", scope=x.scope)
+    return x.model.query(_view(x, "SC_PLANNING"), ["customer_otd", "unit_fill_rate"], ["plant_id"])
 
 
 @q
 def row_scope_procurement(x: Ctx):
-    return x.model.query(x.c, ["supplier_otd", "total_landed_cost_usd"], ["plant_id"], role="SC_PROCUREMENT",
-                         scope=x.scope)
+    return x.model.query(_view(x, "SC_PROCUREMENT"), ["supplier_otd", "total_landed_cost_usd"], ["plant_id"])
 
 
 @q
 def row_scope_logistics(x: Ctx):
-    return conform.public(entitlement.scoped(x.c, "fct_po_line", "SC_LOGISTICS", x.scope))
+    return conform.public(_view(x, "SC_LOGISTICS").fct_po_line)
 
 
 @q
 def masked_prices(x: Ctx):
-    return (entitlement.scoped(x.c, "fct_po_line", "SC_LOGISTICS", x.scope)
+    return (_view(x, "SC_LOGISTICS").fct_po_line
             .select("po_line_id", "unit_price_local", "unit_price_usd", "landed_cost_usd"))
 
 
@@ -618,10 +654,16 @@ def detect_metrics(x: Ctx):
 
 @q
 def audit_recent(x: Ctx):
-    lg = grading.grade_behaviour(_log(x))
-    hay = F.concat_ws(" ", F.coalesce("generated_sql", F.lit("")), F.col("question"))
-    return (lg.select("logged_at", "test_id", "persona", "question", grading.detect_metrics(lg, hay)
-                      .alias("metrics_resolved"), F.col("status").alias("outcome"))
+    """The newest entries of the audit log, to which the graded questions were appended; the run is tried twice."""
+    lg = grading.grade_behaviour(_log(x)).withColumns({
+        "analyst_request_id": F.col("test_id").cast("string"),
+        "verified_query_used": F.when(F.col("generated_sql").isNotNull(), F.col("golden_id"))})
+    log = audit.AuditLog(x.spark, f"{checkpoint_dir(x.spark).rstrip('/')}/audit-{uuid.uuid4().hex}")
+    for expected in (True, False):
+        if log.append(grading.audit_rows(lg, "batch"), f"events {x.sf_dir}") != expected:
+            raise RuntimeError("a run must enter the log once")
+    return (log.read().select("logged_at", F.col("analyst_request_id").cast("long").alias("test_id"), "persona", "question",
+                              "metrics_resolved", "outcome")
             .orderBy(F.col("logged_at").desc(), F.col("test_id").desc()).limit(50))
 
 

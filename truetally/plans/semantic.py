@@ -11,12 +11,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truetally.functions.calendar import period_bounds
+from truetally.functions.calendar import fiscal_quarter_label, period_bounds, quarter_label
 from truetally.functions.units import ratio
 from truetally.operators.security import apply_mask, apply_row_scope
 from truetally.params import DEFAULT_AS_OF
@@ -48,6 +48,22 @@ class Dimension:
     column: str
     synonyms: tuple[str, ...] = ()
     comment: str = ""
+    grain: str | None = None  # of a date: a label of GRAINS instead of the date itself
+
+    def expr(self) -> Column:
+        return GRAINS[self.grain](self.column) if self.grain else F.col(self.column)
+
+
+#: Labels of a date dimension, asked for as ``<dimension>.<grain>`` and returned as ``<dimension>_<grain>``.
+GRAINS = {"month": lambda c: F.trunc(c, "month"), "quarter": quarter_label, "fiscal_quarter": fiscal_quarter_label,
+          "year": lambda c: F.year(c)}
+
+
+@dataclass(frozen=True)
+class Fact:
+    entity: str
+    name: str
+    column: str
 
 
 @dataclass(frozen=True)
@@ -61,15 +77,18 @@ class Metric:
     anchor: str | None = None
     synonyms: tuple[str, ...] = ()
     comment: str = ""
+    last_over: str | None = None  # semi-additive: not summed over this date column, the last date of a group counts
 
-    def partials(self) -> list[tuple[str, Column]]:
-        """Additive partial aggregates (name, expr) -- mergeable per fact."""
+    def partials(self, where: Column | None = None, name: str | None = None) -> list[tuple[str, Column]]:
+        """Additive partial aggregates (name, expr) -- mergeable per fact; ``where``: over those rows alone."""
+        name = name or self.name
+        of = lambda c: F.col(c) if where is None else F.when(where, F.col(c))
         if self.kind == "sum":
-            return [(f"{self.name}__n", F.sum(self.num))]
+            return [(f"{name}__n", F.sum(of(self.num)))]
         if self.kind == "ratio":
-            return [(f"{self.name}__n", F.sum(self.num)), (f"{self.name}__d", F.sum(self.den))]
+            return [(f"{name}__n", F.sum(of(self.num))), (f"{name}__d", F.sum(of(self.den)))]
         if self.kind == "avg":
-            return [(f"{self.name}__n", F.sum(self.num)), (f"{self.name}__d", F.count(self.num))]
+            return [(f"{name}__n", F.sum(of(self.num))), (f"{name}__d", F.count(of(self.num)))]
         raise ValueError(self.kind)
 
     def merge(self) -> list[Column]:
@@ -77,8 +96,8 @@ class Metric:
         names = [f"{self.name}__n"] + ([] if self.kind == "sum" else [f"{self.name}__d"])
         return [F.sum(n).alias(n) for n in names]
 
-    def final(self) -> Column:
-        n, d = F.col(f"{self.name}__n"), F.col(f"{self.name}__d")
+    def final(self, name: str | None = None) -> Column:
+        n, d = F.col(f"{name or self.name}__n"), F.col(f"{name or self.name}__d")
         if self.kind == "sum":
             return n.cast(self.out_type)
         return ratio(n, d)
@@ -128,7 +147,7 @@ RELATIONSHIPS = [
     Relationship("inventory_to_plant", "inventory", "plant_id", "plants"),
 ]
 
-FACTS = [  # (entity, fact name, column)
+FACTS = [Fact(*x) for x in (  # (entity, fact name, column)
     ("po_lines", "po_order_qty_ea", "order_qty_ea"), ("po_lines", "po_received_qty_ea", "received_qty_ea"),
     ("po_lines", "po_due_line_flag", "due_line_flag"), ("po_lines", "po_on_time_line_flag", "on_time_line_flag"),
     ("po_lines", "po_days_late", "days_late"), ("po_lines", "po_unit_price_usd", "unit_price_usd"),
@@ -146,7 +165,7 @@ FACTS = [  # (entity, fact name, column)
     ("inventory", "inv_on_hand_qty_ea", "on_hand_qty_ea"), ("inventory", "inv_value_usd", "inventory_value_usd"),
     ("inventory", "inv_in_transit_value_usd", "in_transit_value_usd"),
     ("inventory", "inv_avg_daily_cogs_usd", "avg_daily_cogs_usd"),
-]
+)]
 
 DIMENSIONS = [
     Dimension("suppliers", "supplier_name", "supplier_name", _syn("vendor name")),
@@ -223,10 +242,10 @@ METRICS = [
     Metric("shipments", "avg_transit_days", "avg", "transit_days", synonyms=_syn("transit time", "lead time in transit")),
     Metric("shipments", "shipped_units", "sum", "shipped_qty_ea", out_type=M3),
     Metric("inventory", "days_of_inventory", "ratio", "inventory_value_usd", "avg_daily_cogs_usd",
-           anchor="snapshot_date",
+           anchor="snapshot_date", last_over="snapshot_date",
            synonyms=_syn("DOI", "days of supply", "days on hand", "inventory days", "days of stock")),
     Metric("inventory", "total_inventory_value_usd", "sum", "inventory_value_usd", out_type=M2,
-           anchor="snapshot_date", synonyms=_syn("stock value", "inventory value")),
+           anchor="snapshot_date", last_over="snapshot_date", synonyms=_syn("stock value", "inventory value")),
 ]
 
 # A bare "OTD"/"on-time delivery" is ambiguous between inbound and outbound.
@@ -245,6 +264,7 @@ class SemanticModel:
     relationships: list[Relationship] = field(default_factory=lambda: list(RELATIONSHIPS))
     dimensions: list[Dimension] = field(default_factory=lambda: list(DIMENSIONS))
     metrics: list[Metric] = field(default_factory=lambda: list(METRICS))
+    facts: list[Fact] = field(default_factory=lambda: list(FACTS))
 
     def entity(self, name: str) -> Entity:
         return next(e for e in self.entities if e.name == name)
@@ -259,8 +279,35 @@ class SemanticModel:
         for d in self.dimensions:
             if d.name == name or f"{d.entity}.{d.name}" == name:
                 return d
+        base, _, grain = name.rpartition(".")
+        if grain in GRAINS and base:
+            d = self.dimension(base)
+            return replace(d, name=f"{d.name}_{grain}", grain=grain)
         raise SemanticError(f"unknown dimension {name!r}")
 
+    def fact(self, name: str) -> Fact:
+        for f in self.facts:
+            if f.name == name or f"{f.entity}.{f.name}" == name:
+                return f
+        raise SemanticError(f"unknown fact {name!r}")
+
+    def attribute(self, name: str) -> Dimension:
+        """What a filter names: a dimension, or a fact of its rows."""
+        try:
+            return self.dimension(name)
+        except SemanticError:
+            f = self.fact(name)
+            return Dimension(f.entity, f.name, f.column)
+
+    def own_column(self, fact: str, d: Dimension) -> Column | None:
+        """``d`` as a column of the fact's table: its own attribute, or another entity's key, which is the fact's
+        foreign key (in labels and filters alike, so a key that the entity lacks is a group of its own). None: the
+        entity has to be joined."""
+        if d.entity == fact:
+            return d.expr()
+        rel, ent = self.edge(fact, d.entity), self.entity(d.entity)
+        return F.col(rel.fk) if d.column == ent.pk and not d.grain else None
+
     def edge(self, src: str, dst: str) -> Relationship:
         for r in self.relationships:
             if r.src == src and r.dst == dst:
@@ -279,17 +326,14 @@ class SemanticModel:
         df = apply_mask(df, role)
         elsewhere: dict[str, list[Column]] = {}
         for name, op, value in filters:
-            d = self.dimension(name)
-            if d.entity == fact:
-                df = df.filter(_predicate(d.column, op, value))
-                if op in ("range", "between") and d.column == SORT_ANCHOR.get(self.entity(fact).table):
-                    df = in_years(df, *value)
+            d = self.attribute(name)
+            own = self.own_column(fact, d)
+            if own is None:
+                elsewhere.setdefault(d.entity, []).append(_predicate(d.expr(), op, value))
                 continue
-            rel, ent = self.edge(fact, d.entity), self.entity(d.entity)
-            if d.column == ent.pk:  # an entity's key is the fact's own foreign key: no join, static pruning
-                df = df.filter(_predicate(rel.fk, op, value))
-            else:
-                elsewhere.setdefault(d.entity, []).append(_predicate(d.column, op, value))
+            df = df.filter(_predicate(own, op, value))
+            if d.entity == fact and not d.grain and op in ("range", "between") and d.column == SORT_ANCHOR.get(self.entity(fact).table):
+                df = in_years(df, *value)
         for entity, predicates in elsewhere.items():  # all filters on one entity make one semi join
             rel, ent = self.edge(fact, entity), self.entity(entity)
             keys = getattr(conformed, ent.table)
@@ -299,30 +343,69 @@ class SemanticModel:
             df = df.join(keys, df[rel.fk] == keys["__k"], "left_semi")
         return df
 
-    def _aggregate(self, conformed, fact: str, df: DataFrame, dims: Sequence[Dimension],
-                   metrics: Sequence[Metric]) -> DataFrame:
-        """Aggregate below the dimension joins: partials are first summed per
-        (fact-own dimensions, foreign keys) -- map-side combined, so a hot key
-        becomes one row -- then the few pre-aggregated rows are left-joined to
-        the dimension entities and re-summed per dimension value."""
-        own = [d for d in dims if d.entity == fact]
+    def _joined(self, conformed, fact: str, df: DataFrame, dims: Sequence[Dimension]) -> DataFrame:
+        """``df`` (with ``__fk_<entity>`` columns) left-joined to the entities of ``dims``, whose labels it gets."""
         other: dict[str, list[Dimension]] = {}
         for d in dims:
-            if d.entity != fact:
+            if self.own_column(fact, d) is None:
                 other.setdefault(d.entity, []).append(d)
-        fks = {ent: self.edge(fact, ent).fk for ent in other}
-        group = [F.col(d.column).alias(d.name) for d in own] + [F.col(fk).alias(f"__fk_{ent}")
-                                                                 for ent, fk in fks.items()]
-        partials = [e.alias(n) for m in metrics for n, e in m.partials()]
-        pre = df.groupBy(*group).agg(*partials) if group else df.agg(*partials)
-        if not other:
-            return pre
         for ent_name, ds in other.items():
             ent = self.entity(ent_name)
             right = getattr(conformed, ent.table).select(F.col(ent.pk).alias(f"__pk_{ent_name}"),
-                                                         *[F.col(d.column).alias(d.name) for d in ds])
-            pre = pre.join(right, pre[f"__fk_{ent_name}"] == right[f"__pk_{ent_name}"], "left")
-        return pre.groupBy(*[d.name for d in dims]).agg(*[c for m in metrics for c in m.merge()])
+                                                         *[d.expr().alias(d.name) for d in ds])
+            df = df.join(right, df[f"__fk_{ent_name}"] == right[f"__pk_{ent_name}"], "left")
+        return df
+
+    def _keys(self, fact: str, dims: Sequence[Dimension]) -> list[Column]:
+        """Columns of the fact's table that ``dims`` need: own labels, and foreign keys of entities to be joined."""
+        own = [(d, self.own_column(fact, d)) for d in dims]
+        fks = dict.fromkeys(d.entity for d, c in own if c is None)
+        return [c.alias(d.name) for d, c in own if c is not None] + [
+            F.col(self.edge(fact, e).fk).alias(f"__fk_{e}") for e in fks]
+
+    def _aggregate(self, conformed, fact: str, df: DataFrame, dims: Sequence[Dimension],
+                   metrics: Sequence[Metric], last_over: str | None = None) -> DataFrame:
+        """Aggregate below the dimension joins: partials are first summed per
+        (fact-own dimensions, foreign keys) -- map-side combined, so a hot key
+        becomes one row -- then the few pre-aggregated rows are left-joined to
+        the dimension entities and re-summed per dimension value.
+
+        ``last_over``: the partials are kept apart by this date, too, and of each
+        group those of its last date are taken (``max_by``, combined map-side)."""
+        date = [F.col(last_over).alias("__at")] if last_over else []
+        group = [*self._keys(fact, dims), *date]
+        partials = [e.alias(n) for m in metrics for n, e in m.partials()]
+        out = df.groupBy(*group).agg(*partials) if group else df.agg(*partials)
+        labels = [d.name for d in dims]
+        if any(self.own_column(fact, d) is None for d in dims):
+            out = self._joined(conformed, fact, out, dims)
+            out = out.groupBy(*labels, *(["__at"] if last_over else [])).agg(*[c for m in metrics for c in m.merge()])
+        if last_over:
+            names = [n for m in metrics for n, _ in m.partials()]
+            out = out.groupBy(*labels).agg(F.max_by(F.struct(*names), "__at").alias("__last")).select(*labels, "__last.*")
+        return out
+
+    def rows(self, conformed, facts: Sequence[str], dimensions: Sequence[str] = (), where: Sequence[Filter] = (),
+             period: tuple[str, str] | None = None, as_of: dt.date = DEFAULT_AS_OF, role: str | None = None,
+             scope: DataFrame | None = None) -> DataFrame:
+        """Facts row by row, with dimensions: one row per row of their (one) table, no aggregation.
+
+        Only entities of which a dimension other than the key is asked for are
+        joined; all others are eliminated, and the scan reads the named columns.
+        ``where`` takes facts as well as dimensions; ``period``: (anchor
+        dimension, name of the period). Row scope and masks of ``role`` hold."""
+        fs = [self.fact(f) for f in facts]
+        tables = {f.entity for f in fs}
+        if len(tables) != 1:
+            raise SemanticError(f"facts of one table can be listed together, not of {sorted(tables)}")
+        home = tables.pop()
+        dims = [self.dimension(d) for d in dimensions]
+        filters = list(where)
+        if period:
+            filters.append((period[0], "range", period_bounds(period[1], as_of)))
+        df = self._fact_frame(conformed, home, filters, role, scope)
+        df = df.select(*self._keys(home, dims), *[F.col(f.column).alias(f.name) for f in fs])
+        return self._joined(conformed, home, df, dims).select(*[d.name for d in dims], *[f.name for f in fs])
 
     def query(self, conformed, metrics: Sequence[str], dimensions: Sequence[str] = (),
               where: Sequence[Filter] = (), period: str | None = None, as_of: dt.date = DEFAULT_AS_OF,
@@ -333,7 +416,11 @@ class SemanticModel:
         ``where`` items are (dimension, op, value) with op in == != < <= > >= in
         between (closed) range (half-open [lo, hi)). ``period='last_quarter'``
         filters each metric's time anchor to the last complete quarter. With no
-        snapshot filter or dimension, inventory metrics use the latest snapshot.
+        snapshot filter or dimension, inventory metrics use the latest snapshot;
+        where a group holds several snapshots, its own last one counts (a plant
+        that lacks a snapshot is taken at its last; in a group of several plants
+        those without the group's last snapshot have no stock in it). A date
+        dimension has grains: ``snapshot_date.quarter``.
         Metrics of several facts are aggregated per fact, and the groups united
         by dimension values, NULL included (each dimension must be reachable from
         every fact)."""
@@ -350,19 +437,20 @@ class SemanticModel:
                     raise SemanticError(f"period needs one time anchor per fact, got {sorted(map(str, anchors))}")
                 lo, hi = period_bounds(period, as_of)
                 filters.append((anchors.pop(), "range", (lo, hi)))
-            fdims = [self.dimension(f[0]) for f in filters]
-            if fact == "inventory" and latest_snapshot_default and not any(
-                    d.name in ("snapshot_date", "snapshot_month", "is_latest_snapshot") for d in dims + fdims):
-                filters.append(("is_latest_snapshot", "==", True))
-            for f in filters:  # every filter dimension must be reachable from this fact
-                fd = self.dimension(f[0])
-                if fd.entity != fact:
-                    self.edge(fact, fd.entity)
-            for d in dims:
-                if d.entity != fact:
-                    self.edge(fact, d.entity)
+            fdims = [self.attribute(f[0]) for f in filters]
+            for d in [*dims, *fdims]:  # must be reachable from this fact
+                self.own_column(fact, d)
+            dated = [d for d in dims + fdims if d.entity == fact and d.column in ("snapshot_date", "snapshot_month", "is_latest_snapshot")]
+            latest = ("is_latest_snapshot", "==", True)
+            if fact == "inventory" and latest_snapshot_default and not dated:
+                filters.append(latest)
+            over = {m.last_over for m in fm if m.last_over}
+            if latest in [tuple(f) for f in filters] or any(d.entity == fact and d.column in over and not d.grain for d in dims):
+                over = set()  # one date per group anyway
+            if len(over) > 1 or (over and any(not m.last_over for m in fm)):
+                raise SemanticError("metrics that add up over time and ones that don't can't be asked for together")
             df = self._fact_frame(conformed, fact, filters, role, scope)
-            g = self._aggregate(conformed, fact, df, dims, fm)
+            g = self._aggregate(conformed, fact, df, dims, fm, over.pop() if over else None)
             parts.append(g.select(*[d.name for d in dims], *[m.final().alias(m.name) for m in fm]))
         out = parts[0]
         if dims and len(parts) > 1:
@@ -382,7 +470,7 @@ class SemanticModel:
     def describe(self, spark) -> DataFrame:
         rows = [("entity", e.name, e.table, e.pk, ", ".join(e.synonyms), e.comment) for e in self.entities]
         rows += [("relationship", r.name, f"{r.src}({r.fk})", r.dst, "", "") for r in self.relationships]
-        rows += [("fact", f"{e}.{n}", c, e, "", "") for e, n, c in FACTS]
+        rows += [("fact", f"{f.entity}.{f.name}", f.column, f.entity, "", "") for f in self.facts]
         rows += [("dimension", f"{d.entity}.{d.name}", d.column, d.entity, ", ".join(d.synonyms), d.comment)
                  for d in self.dimensions]
         rows += [("metric", f"{m.entity}.{m.name}", _formula(m), m.anchor or "", ", ".join(m.synonyms), m.comment)
@@ -411,8 +499,8 @@ def _formula(m: Metric) -> str:
     return f"SUM({m.num}) / NULLIF(SUM({m.den}), 0)"
 
 
-def _predicate(col: str, op: str, value) -> Column:
-    c = F.col(col)
+def _predicate(col: str | Column, op: str, value) -> Column:
+    c = F.col(col) if isinstance(col, str) else col
     if op == "==":
         return c == F.lit(value)
     if op == "!=":

@@ -114,10 +114,18 @@ REGISTRY = [
      "sum(landed_cost_usd) / sum(received_qty_ea)", _EFFECTIVE),
 ]
 
-# ---- Fixed values: golden ids and the consistency test cases -------------
+# ---- Fixed values: golden ids, their metrics and queries (see plans/goldens.py); the consistency test cases. The
+# texts of the scopes are our own.
+_CHENNAI = '["plant_city", "==", "Chennai"]'
+_QUARTER = '{"where": [' + _CHENNAI + '], "period": "last_quarter"}'
 GOLDENS = [
-    ("G_SOTD", "supplier_otd"), ("G_COTD", "customer_otd"), ("G_UFR", "unit_fill_rate"),
-    ("G_DOI", "days_of_inventory"), ("G_LC", "total_landed_cost_usd"), ("G_CLARIFY", None), ("G_DECLINE", None),
+    ("G_SOTD", "supplier_otd", "Chennai, lines confirmed for the last full quarter", _QUARTER),
+    ("G_COTD", "customer_otd", "Chennai, lines promised for the last full quarter", _QUARTER),
+    ("G_UFR", "unit_fill_rate", "Chennai, lines promised for the last full quarter", _QUARTER),
+    ("G_DOI", "days_of_inventory", "Chennai, newest month-end stock", '{"where": [' + _CHENNAI + ', ["is_latest_snapshot", "==", true]]}'),
+    ("G_LC", "total_landed_cost_usd", "Chennai, receipts of the last full quarter", _QUARTER),
+    ("G_CLARIFY", None, "Names no single metric: ask back", None),
+    ("G_DECLINE", None, "About something else: turn down", None),
 ]
 # (test_id, golden_id, persona, expected_behavior)
 TEST_CASES = [
@@ -224,4 +232,5 @@ def test_cases_df(spark: SparkSession) -> DataFrame:
 
 
 def goldens_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(GOLDENS, "golden_id string, metric_id string")
+    """Golden answers as definitions: (golden_id, metric_id, scope, query)."""
+    return spark.createDataFrame(GOLDENS, "golden_id string, metric_id string, scope string, query string")
