@@ -230,3 +230,19 @@ def test_terms_are_found_wherever_they_overlap(spark):
     assert got == {(1, "otd", "a"): 2, (1, "otd", "e"): 2, (1, "on time", "b"): 1, (1, "on time delivery", "c"): 1, (1, "time delivery rate", "d"): 1,
                    (4, "on time", "b"): 1, (5, "on time", "b"): 1, (5, "on time delivery", "c"): 1}
     assert match_terms(texts, ["i"], "t", terms.limit(0)).collect() == []
+
+
+# --- comments
+
+def test_comments_are_read_back_from_the_written_files(spark, w, tmp_path):
+    from truetally.plans.conform import COMMENTS, comments
+    from truetally.plans.governance import GovernanceStore
+    for table, texts in COMMENTS.items():
+        df = getattr(w.c, table)
+        assert set(texts) <= set(df.columns) and comments(df) == texts
+        files = spark.read.parquet(df.inputFiles()[0])  # the schema that the file itself has
+        assert comments(files) == {c: t for c, t in texts.items() if c in files.columns}
+    assert comments(w.c.fct_po_line.where("is_due").select("is_due", "po_number")) == {"is_due": COMMENTS["fct_po_line"]["is_due"]}
+    store = GovernanceStore(spark, str(tmp_path / "state"))
+    store.create(w.c)
+    assert comments(store.load(w.c).conformed.fct_po_line) == COMMENTS["fct_po_line"]

@@ -410,6 +410,38 @@ def public(df: DataFrame) -> DataFrame:
     return df.drop("anchor_year")
 
 
+#: What columns of the conformed layer mean; kept as field metadata ``comment`` in the written files.
+COMMENTS = {
+    "dim_supplier": {"supplier_id": "One id per real-world supplier, whatever codes the sources use"},
+    "dim_part": {"part_id": "Material number of the ERP", "pack_qty": "Pieces in a box"},
+    "dim_plant": {"plant_id": "ERP plant code", "plant_city": "City by which plants are asked for"},
+    "fct_po_line": {
+        "confirmed_date": "Date promised by the supplier, else the requested one", "confirmed_date_source": "Where the confirmed date comes from",
+        "arrival_source": "Gate read in plant time, else the posting", "full_receipt_date": "First day on which all ordered pieces were there",
+        "days_late": "Full receipt minus confirmed date, negative when early", "is_due": "Past the confirmed date and the late tolerance",
+        "on_time_line_flag": "1 for a due line received in full inside the window", "landed_cost_usd": "Goods, freight, duty, insurance and handling"},
+    "fct_order_line": {
+        "commit_date": "Date promised to the customer", "shipped_by_commit_qty_ea": "Pieces shipped by the promise, plant time",
+        "due_line_filled_flag": "1 for a due line shipped in full by the promise", "due_line_on_time_flag": "1 for a due line delivered in full by the promise"},
+    "fct_shipment": {"ship_ts_local": "Departure in plant time", "shipped_qty_ea": "Pieces, boxes converted"},
+    "fct_inventory": {"snapshot_date": "Month end", "avg_daily_cogs_usd": "Cost of goods shipped per day over the trailing window",
+                      "is_latest_snapshot": "Belongs to the newest month end of all"},
+}
+
+
+def commented(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with the comments of its table as field metadata, which projections and files carry along."""
+    for column, text in COMMENTS.get(table, {}).items():
+        if column in df.columns:
+            df = df.withMetadata(column, {**df.schema[column].metadata, "comment": text})
+    return df
+
+
+def comments(df: DataFrame) -> dict[str, str]:
+    """Comments of the columns of a frame."""
+    return {f.name: f.metadata["comment"] for f in df.schema.fields if "comment" in f.metadata}
+
+
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write once and read back under the written schema."""
     df.write.mode("overwrite").parquet(path)
@@ -445,6 +477,7 @@ def build_materialized(spark: SparkSession, raw: RawSources, path: str, params:
     params = params or Params()
 
     def save(name, df, part=False):
+        df = commented(df, name)
         return write_fact(df, f"{path}/{name}", SORT_ANCHOR[name]) if part else write_table(df, f"{path}/{name}")
 
     def level(jobs):
@@ -479,8 +512,9 @@ def build(raw: RawSources, params: Params | None = None, as_of: dt.date = DEFAUL
     sup = build_dim_supplier(raw.vendor, xref)
     parts, plants = dim_part(raw), dim_plant(raw)
     shp = build_shipments(raw, parts, plants)
-    return Conformed(
+    c = Conformed(
         xref_supplier=xref, dim_supplier=sup, dim_part=parts, dim_plant=plants, dim_customer=dim_customer(raw),
         dim_carrier=dim_carrier(raw), fct_shipment=shp, fct_order_line=build_order_lines(raw, shp, as_of),
         fct_po_line=build_po_lines(raw, xref, sup, plants, parts, params, as_of),
         fct_inventory=build_inventory(raw, parts, shp, params))
+    return Conformed(**{name: commented(df, name) for name, df in c.items()})
