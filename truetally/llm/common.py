@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,5 +102,29 @@ def doc_chunks(off: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int
         i = min(j, n)
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], name: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of rows with about ``limit`` bytes in column ``name`` (a longer row makes a run of its own).
+
+    What a step holds and hands on at a time then follows the run, not the batch."""
+    for batch in batches:
+        _, off = string_buffers(arrow_column(batch, name))
+        for i, j in doc_chunks(off, limit):
+            yield batch.slice(i, j - i)
+
+
+def pack_batches(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Texts (``_text``) compressed one by one (``_packed``), so that moving them costs less disk and network."""
+    c = zstandard.ZstdCompressor(level=1)
+    for batch in runs_of(batches, "_text", limit):
+        buf, off = string_buffers(arrow_column(batch, "_text"))
+        packed = [c.compress(buf[a:b]) if b > a else b"" for a, b in zip(off[:-1], off[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([arrow_column(batch, "_key"), arrow_column(batch, "_id"),
+                                          pa.array(packed, pa.binary())], names=["_key", "_id", "_packed"])
+
+
+def unpack(packed) -> bytes:
+    return zstandard.decompress(packed) if len(packed) else b""
+
+
 def arrow_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

@@ -38,9 +38,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from truetally.llm import kernels as K
-from truetally.llm.common import arrow_column, doc_chunks, on_workers, string_buffers, text_key, written
+from truetally.llm.common import arrow_column, doc_chunks, on_workers, pack_batches, runs_of, string_buffers, text_key, unpack, written
 
 WINDOW, SEED, HOT_SEED = 35, 10, 4096
+#: Bytes of text whose repeated anchors are merged before they are handed on.
+MERGED = 8 << 20
 
 _ANCHORS = ("seed long, ctx long, n int, key long, at int, lo int, hi int, spans binary")
 
@@ -63,8 +65,8 @@ def _spans(at: np.ndarray, end: np.ndarray) -> bytes:
 
 
 def anchor_batches(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """Anchors of each batch; those that repeat within it are merged and their spans given by document."""
-    for batch in batches:
+    """Anchors of each run of documents; those that repeat within it are merged and their spans given by document."""
+    for batch in runs_of(batches, "_text", MERGED):
         keys = arrow_column(batch, "_key").to_numpy(zero_copy_only=False)
         buf, off = string_buffers(arrow_column(batch, "_text"))
         found = []
@@ -112,8 +114,10 @@ _CONTEXTS = "seed long, ctx long, n int, key long, at int, hot boolean, grams bi
 
 def context_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """For each document with contexts to extend: the hashes of the windows of each."""
-    for batch in batches:
-        buf, off = string_buffers(arrow_column(batch, "_text"))
+    for batch in runs_of(batches, "_packed", 1 << 18):
+        texts = [unpack(x.as_buffer()) for x in arrow_column(batch, "_packed")]
+        buf = np.frombuffer(b"".join(texts), np.uint8)
+        off = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
         reps = arrow_column(batch, "_reps")
         flat = reps.flatten()
         col = {f.name: flat.field(k) for k, f in enumerate(flat.type)}
@@ -200,28 +204,28 @@ def settle(keyed: DataFrame, seeded: DataFrame, contexts_of, grams_of, window: i
                     .withColumns({"total": F.sum("n").over(by_context),
                                   "rank": F.row_number().over(by_context.orderBy("key", "at"))}), "contexts")
     equal = mixed.where("total > 1").select("key", F.col("at").alias("s"), end.alias("e"))
-    def contexts(chosen: str) -> DataFrame:
-        reps = (mixed.where("rank = 1").where(chosen).groupBy(F.col("key").alias("_key"))
-                .agg(F.collect_list(F.struct("seed", "ctx", F.least("total", F.lit(2)).cast("int").alias("n"), "at", "lo",
-                                             "hi", "hot")).alias("_reps")))
-        return keyed.join(reps, "_key").mapInArrow(contexts_of, _CONTEXTS)
-
+    reps = (mixed.where("rank = 1").groupBy(F.col("key").alias("_key"))
+            .agg(F.collect_list(F.struct("seed", "ctx", F.least("total", F.lit(2)).cast("int").alias("n"), "at", "lo",
+                                         "hi", "hot")).alias("_reps")))
+    contexts = keyed.join(reps, "_key").mapInArrow(contexts_of, _CONTEXTS)
+    hot = not mixed.where("rank = 1 and hot").isEmpty()
+    if hot:  # two ways need them, and the texts move once
+        contexts = written(contexts, "extended")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spans = (whole.unionByName(equal)
-             .unionByName(contexts("not hot").repartition(parts, "seed").sortWithinPartitions("seed")
+             .unionByName(contexts.where("not hot").repartition(parts, "seed").sortWithinPartitions("seed")
                           .mapInArrow(lambda b: extend_batches(b, window, grams_of), _FOUND)))
-    if not mixed.where("rank = 1 and hot").isEmpty():  # else the texts needn't move for them
-        spans = spans.unionByName(hot_windows(contexts("hot"), window, grams_of))
-    return spans
+    return spans.unionByName(hot_windows(contexts.where("hot"), window, grams_of)) if hot else spans
 
 
 def covered_words(docs: DataFrame, window: int, seed: int, hot_seed: int) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents, spans of covered words by document key)."""
+    """(keyed documents, packed; spans of covered words by document key)."""
     found = written(docs.select("_key", "_text").mapInArrow(lambda b: anchor_batches(b, window, seed), _ANCHORS),
                     "anchors")
-    spans = settle(docs, found.where(F.col("spans").isNull()).drop("spans"),
+    packed = docs.mapInArrow(pack_batches, "_key long, _id long, _packed binary")
+    spans = settle(packed, found.where(F.col("spans").isNull()).drop("spans"),
                    lambda b: context_batches(b, window), word_grams, window, hot_seed)
-    return docs, by_document(spans, found.where(F.col("spans").isNotNull()))
+    return packed, by_document(spans, found.where(F.col("spans").isNotNull()))
 
 
 def by_document(spans: DataFrame, local: DataFrame) -> DataFrame:
@@ -289,12 +293,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def kept_words(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        buf, off = string_buffers(arrow_column(batch, "_text"))
+    for batch in runs_of(batches, "_packed", 1 << 20):
         pairs, blobs = arrow_column(batch, "_pairs"), arrow_column(batch, "_spans")
         n_words, n_removed, kept = [], [], []
-        for i in range(batch.num_rows):
-            doc = buf[off[i]:off[i + 1]]
+        for i, text in enumerate(arrow_column(batch, "_packed")):
+            doc = np.frombuffer(unpack(text.as_buffer()), np.uint8)
             starts, ends, _ = K.words(doc, np.array([0, len(doc)]))
             gone = span_mask(len(starts), pairs[i].as_py(), blobs[i].as_py())
             n_words.append(len(starts))

@@ -33,13 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truetally.llm import kernels as K
-from truetally.llm.common import arrow_column, doc_chunks, on_workers, scratch, string_buffers, text_key
-from truetally.llm.repeats import HOT_SEED, _spans, by_document, settle, span_mask
+from truetally.llm.common import arrow_column, doc_chunks, on_workers, pack_batches, runs_of, scratch, string_buffers, text_key, unpack
+from truetally.llm.repeats import HOT_SEED, MERGED, _spans, by_document, settle, span_mask
 
 WINDOW, HEAD, BATCHES = 200, 16, 2
 
@@ -51,7 +50,7 @@ _LEVEL = "h0 long, h1 long, ctx long, key long, place long, level int, met boole
 
 def entry_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Sampled suffixes of each batch; those whose contexts repeat within it are merged, their spans given by document."""
-    for batch in batches:
+    for batch in runs_of(batches, "_text", MERGED):
         keys = arrow_column(batch, "_key").to_numpy(zero_copy_only=False)
         buf, off = string_buffers(arrow_column(batch, "_text"))
         found = []
@@ -157,7 +156,7 @@ _CONTEXTS = "seed long, ctx long, n int, key long, at int, hot boolean, grams bi
 
 def context_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """The bytes of each context to extend."""
-    for batch in batches:
+    for batch in runs_of(batches, "_packed", 1 << 18):
         texts = arrow_column(batch, "_packed")
         reps = arrow_column(batch, "_reps")
         flat = reps.flatten()
@@ -192,22 +191,8 @@ def context_grams(window: int):
     return grams
 
 
-def unpack(packed) -> bytes:
-    return zstandard.decompress(packed) if len(packed) else b""
-
-
-def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed one by one, so that moving them costs less disk and network."""
-    c = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        buf, off = string_buffers(arrow_column(batch, "_text"))
-        packed = [c.compress(buf[a:b]) if b > a else b"" for a, b in zip(off[:-1], off[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([arrow_column(batch, "_key"), arrow_column(batch, "_id"),
-                                          pa.array(packed, pa.binary())], names=["_key", "_id", "_packed"])
-
-
 def kept_batches(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in runs_of(batches, "_packed", 1 << 20):
         pairs, blobs = arrow_column(batch, "_pairs"), arrow_column(batch, "_spans")
         n_bytes, n_removed, n_spans, kept = [], [], [], []
         for i, text in enumerate(arrow_column(batch, "_packed")):
