@@ -7,7 +7,7 @@ code points are one inclusive scan over those functions under composition,
 which is associative, so the scan works by doubling and stops as soon as every
 partial composition is constant (a few steps, whatever the text's length).
 
-The slices between boundaries are looked up in a bounded cache by their hash;
+The slices between boundaries are looked up in a bounded cache by their bytes;
 slices not met before go through pair merging, all slices of one length
 together as a matrix. Token ids keep their byte offsets (a prefix sum over the
 tokens' lengths), so decoding is one gather.
@@ -22,7 +22,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from truetally.llm.common import arrow_column, doc_chunks, on_workers, string_buffers
-from truetally.llm.kernels import byte_prefix, byte_slices, ranges
+from truetally.llm.kernels import ranges
 
 # --- symbols and states -------------------------------------------------------
 
@@ -96,14 +95,36 @@ STARTS = np.array([[_step(s, c)[1] for c in range(8)] for s in range(N_STATES)])
 _classes: np.ndarray | None = None
 
 
+def class_ranges() -> list[tuple[int, int, int]]:
+    """(first, last, class) of all letters (0) and numbers (1), by the Unicode tables of the engine that the contract
+    names; taken once on the driver, so all workers use the same version."""
+    import tiktoken
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    out = []
+    for number, kind in ((0, r"\p{L}"), (1, r"\p{N}")):
+        engine = tiktoken.Encoding(f"class {number}", pat_str=kind, mergeable_ranks={bytes([b]): b for b in range(256)},
+                                   special_tokens={})
+        found = np.array(list(map(ord, bytes(engine.encode_ordinary(every)).decode())), np.int64)  # what doesn't match is left out
+        cuts = np.flatnonzero(np.diff(found) != 1)
+        out += zip(found[np.r_[0, cuts + 1]].tolist(), found[np.r_[cuts, len(found) - 1]].tolist(), [number] * (len(cuts) + 1),
+                   strict=True)
+    return out
+
+
+def use_classes(ranges_: list[tuple[int, int, int]]) -> None:
+    """Set this process's table of code point classes."""
+    global _classes
+    t = np.full(0x110000, 2, np.uint8)
+    for a, b, number in ranges_:
+        t[a:b + 1] = number
+    t[WHITE_SPACE] = 3
+    _classes = t
+
+
 def _code_point_classes() -> np.ndarray:
     """Class of each code point: 0 letter, 1 number, 2 other, 3 white space."""
-    global _classes
     if _classes is None:
-        kinds = {"L": 0, "N": 1}
-        t = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], 2) for c in range(0x110000)), np.uint8, 0x110000)
-        t[WHITE_SPACE] = 3
-        _classes = t
+        use_classes(class_ranges())
     return _classes
 
 
@@ -289,16 +310,17 @@ class Ranks:
 
 
 class Encoder:
-    """Encodes documents; keeps the ids of slices it has met, up to ``cache_slices``."""
+    """Encodes documents; keeps the ids of slices it has met by their bytes, up to ``cache_slices`` and ``cache_bytes``."""
 
     MATRIX_BYTES = 48
 
-    def __init__(self, ranks: Ranks, cache_slices: int = 400_000):
-        self.ranks, self.limit = ranks, cache_slices
+    def __init__(self, ranks: Ranks, cache_slices: int = 400_000, cache_bytes: int = 16 << 20):
+        self.ranks, self.limit, self.limit_bytes = ranks, cache_slices, cache_bytes
         self._clear()
 
     def _clear(self) -> None:
-        self.hash = np.zeros(0, np.uint64)
+        self.slot: dict[bytes, int] = {}
+        self.held = 0
         self.at = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
@@ -332,27 +354,32 @@ class Encoder:
     def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents one after the other, offsets of the documents in them)."""
         start = token_slices(buf, off)
-        end = np.append(start[1:], len(buf)) if len(start) else start
-        h = byte_slices(byte_prefix(buf), start, end)
-        unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.hash) + len(unique) > self.limit:
+        if not len(start):
+            return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
+        end = np.append(start[1:], len(buf))
+        # slices are told apart by their bytes: a dictionary of this run, then the cache
+        coded = pa.Array.from_buffers(pa.large_binary(), len(start), [
+            None, pa.py_buffer(np.append(start, len(buf)).astype(np.int64).tobytes()), pa.py_buffer(buf.tobytes())]).dictionary_encode()
+        inverse = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        first = np.empty(len(coded.dictionary), np.int64)
+        first[inverse[::-1]] = np.arange(len(start) - 1, -1, -1)
+        names = coded.dictionary.to_pylist()
+        size = int((end - start)[first].sum())
+        if len(self.slot) + len(names) > self.limit or self.held + size > self.limit_bytes:
             self._clear()
-        at = np.searchsorted(self.hash, unique)
-        known = np.zeros(len(unique), bool)
-        inside = at < len(self.hash)
-        known[inside] = self.hash[at[inside]] == unique[inside]
-        new = np.flatnonzero(~known)
+        at = np.array([self.slot.get(x, -1) for x in names], np.int64)
+        new = np.flatnonzero(at < 0)
         if len(new):
             counts, ids = self._merge_new(buf, start[first[new]], (end - start)[first[new]])
             begin = len(self.ids) + np.cumsum(counts) - counts
+            at[new] = len(self.at) + np.arange(len(new))
+            self.slot.update(zip([names[k] for k in new.tolist()], at[new].tolist(), strict=True))
+            self.held += int((end - start)[first[new]].sum())
             self.ids = np.concatenate([self.ids, ids])
-            where = np.searchsorted(self.hash, unique[new])
-            self.hash = np.insert(self.hash, where, unique[new])
-            self.at = np.insert(self.at, where, begin)
-            self.count = np.insert(self.count, where, counts)
-            at = np.searchsorted(self.hash, unique)
+            self.at = np.concatenate([self.at, begin])
+            self.count = np.concatenate([self.count, counts])
         n = self.count[at][inverse]
-        out = self.ids[ranges(self.at[at][inverse], n)] if len(n) else np.zeros(0, np.int32)
+        out = self.ids[ranges(self.at[at][inverse], n)]
         total = np.concatenate([[0], np.cumsum(n)])
         return out, total[np.searchsorted(start, off)]
 
@@ -383,7 +410,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     schema = f"{id_col} long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>, offsets array<int>" if with_ids else ""
 
+    classes = class_ranges()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_classes(classes)
         enc = encoder(vocabulary)
         for batch in batches:
             buf, off = string_buffers(arrow_column(batch, "_text"))

@@ -1,7 +1,8 @@
 """Vectorised kernels on UTF-8 bytes: words, rolling hashes, winnowed anchors.
 
 All hashes are 64-bit polynomial hashes modulo 2**64 over a table of random
-odd byte codes, finished by a mixing step. Prefix sums make the hash of any
+odd byte codes, finished by a mixing step; those of long words and lines have a
+second hash modulo a prime mixed in. Prefix sums make the hash of any
 slice two look-ups. Everything works on a run of whole documents at a time.
 """
 
@@ -81,9 +82,40 @@ def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, ends, np.searchsorted(starts, off, side="left")
 
 
+#: Slices of more bytes get a second hash, modulo a prime: modulo 2**64 there are long texts (Thue-Morse words of 1024
+#: letters and more) that collide for every odd base.
+LONG_SLICE = 256
+_PRIME, _PRIME_BASE = (1 << 31) - 1, 1_181_783_497
+_PRIME_INV = pow(_PRIME_BASE, -1, _PRIME)
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    p = np.ones(max(1, 1 << int(max(n - 1, 0)).bit_length()), np.uint64)
+    m = 1
+    while m < len(p):
+        p[m:2 * m] = p[:m] * U(pow(base, m, _PRIME)) % U(_PRIME)
+        m *= 2
+    return p[:n]
+
+
+def long_slices(h: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Slice hashes with a second, independent hash mixed in for long slices."""
+    long_ = np.flatnonzero(end - start > LONG_SLICE)
+    if not len(long_):
+        return h
+    pre = np.zeros(len(buf) + 1, np.uint64)
+    codes = (LOWER_CODE if lower else BYTE_CODE)[buf] % U(_PRIME)
+    np.cumsum(codes * prime_powers(_PRIME_BASE, len(buf)) % U(_PRIME), out=pre[1:])
+    a, b = start[long_], end[long_]
+    second = (pre[b] - pre[a]) % U(_PRIME) * prime_powers(_PRIME_INV, len(buf) + 1)[a] % U(_PRIME)
+    out = h.copy()
+    out[long_] = mix(out[long_] ^ mix(second + U(1)))
+    return out
+
+
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
     pre = prefix((LOWER_CODE if lower else BYTE_CODE)[buf], _BASE)
-    return slices(pre, starts, ends, _INV)
+    return long_slices(slices(pre, starts, ends, _INV), buf, starts, ends, lower)
 
 
 def byte_prefix(buf: np.ndarray) -> np.ndarray:

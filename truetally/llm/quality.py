@@ -88,7 +88,8 @@ def text_statistics(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     begin, end = begin[filled], end[filled]
     doc = np.searchsorted(off, begin, side="right") - 1
     lines = np.bincount(doc, minlength=docs)
-    inverse, counts = K.group_min_max(K.mix(K.byte_slices(K.byte_prefix(buf), begin, end) ^ K.mix(doc.astype(np.uint64))))
+    hashes = K.long_slices(K.byte_slices(K.byte_prefix(buf), begin, end), buf, begin, end)
+    inverse, counts = K.group_min_max(K.mix(hashes ^ K.mix(doc.astype(np.uint64))))
     owner = np.zeros(len(counts), np.int64)
     owner[inverse] = doc
     distinct = np.bincount(owner, minlength=docs)
