@@ -25,8 +25,8 @@ document may not make their group's scatter vanish. Where a statistic is
 constant, the ridge alone says how far a document may lie (``REJECT`` gives 4.5
 standard deviations): some 1 % of symbols, 4 repeated lines, 29 % of words in
 repeated windows. Groups with fewer than ``MIN_GROUP`` judged
-documents are pooled by language, and what is left over all languages; a pool
-that is still too small rejects nothing.
+documents are pooled by language, and what is left over all languages; where that
+is still too small, these documents are judged against all documents.
 
 Defined cases: null text has no words, so it fails the base rule; null
 languages and sources are groups of their own; rows that repeat id and text
@@ -56,6 +56,8 @@ SLACK = 0.1
 #: Quantile of the documents that the reweighted estimate takes.
 REWEIGHT = 0.975
 MIN_GROUP = 50
+#: Pool of all judged documents, for those whose groups are too small together, too.
+ALL = "all"
 #: Smallest standard deviations of: log words, log word length, log symbol share, log duplicate lines, log repeat share.
 FLOOR = (0.2, 0.05, 0.15, 0.35, 0.3)
 #: Share of clean documents of a Gaussian group that may be rejected.
@@ -221,7 +223,7 @@ def distance() -> Column:
 
 
 def pooled(stats: DataFrame) -> DataFrame:
-    """``stats`` of documents that pass the base rule, with the pool in which each is judged (null: too small)."""
+    """``stats`` of documents that pass the base rule, with the pool in which each is judged."""
     passed = stats.where("not base_failed")
     lang, site = F.coalesce(F.concat(F.lit("="), "_lang"), F.lit("")), F.coalesce(F.concat(F.lit("="), "_site"), F.lit(""))
     sizes = (passed.groupBy("_lang", "_site").agg(F.count(F.lit(1)).alias("a"))
@@ -231,7 +233,7 @@ def pooled(stats: DataFrame) -> DataFrame:
     pools = (sizes.join(by_lang, sizes["_lang"].eqNullSafe(by_lang["_lang"])).drop(by_lang["_lang"]).crossJoin(F.broadcast(rest))
              .withColumn("pool", F.when(F.col("a") >= MIN_GROUP, F.concat(F.lit("s"), F.length(lang), lang, site))
                          .when(F.col("b") >= MIN_GROUP, F.concat(F.lit("l"), lang))
-                         .when(F.col("r") >= MIN_GROUP, F.lit("rest")))
+                         .when(F.col("r") >= MIN_GROUP, F.lit("rest")).otherwise(F.lit(ALL)))
              .select(F.col("_lang").alias("_l"), F.col("_site").alias("_s"), "pool"))
     pools = small_side(written(pools, "pools"), GROUP_ROWS)
     return passed.join(pools, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_site").eqNullSafe(F.col("_s"))).drop("_l", "_s")
@@ -275,7 +277,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                                      | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))), "statistics")
     points = pooled(stats).withColumns({f"x{i}": x for i, x in enumerate(vector())})
     points = written(points, "points")
-    own = points.where(F.col("pool").isNotNull()).select("pool", *(f"x{i}" for i in range(P)))
+    values = [f"x{i}" for i in range(P)]
+    own = points.where(F.col("pool") != ALL).select("pool", *values)
+    if not points.where(F.col("pool") == ALL).isEmpty():  # the few that no pool takes are judged against all documents
+        own = own.unionByName(points.select(F.lit(ALL).alias("pool"), *values))
     fitted = reweighted(own, fit(own))
     limit = chi2_quantile(1 - REJECT, P)
     judged = (points.join(small_side(fitted.withColumnRenamed("n", "pool_n"), GROUP_ROWS), "pool", "left")
