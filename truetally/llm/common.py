@@ -65,6 +65,17 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_key(id_col: str, text_col: str) -> Column:
     """64-bit key of a document row: its id and its whole text (null: empty).
 

@@ -17,17 +17,18 @@ secret goes whole, up to the next white space or quote.
 Only DataFrame functions, one row at a time: no shuffle, and nothing depends on
 how often a value occurs.
 
-Cards are sought in runs of digit groups, so an expiry date, a security code or
-any other number beside a card doesn't hide it: every sub-run of whole groups
-with 13 to 19 digits that passes the check is a candidate; of overlapping ones
-the first to end goes, the usual forms before others. The permutation is walked
-until the pseudonym is found at the same place; so where sub-runs overlap (long
-lists of numbers), it can depend on the numbers before the card.
+Cards have the prefix and length of a card scheme and a valid check digit, and
+stand undivided or in one of the usual groupings (4-4-4-4, 4-6-5, 4-6-4,
+4-4-4-4-3), with spaces or hyphens. They are sought in runs of digit groups, so an
+expiry date, a security code or any other number beside a card doesn't hide it;
+of overlapping ones the first to end goes. The first four digits stay. The
+permutation is walked until the pseudonym is found at the same place; so where
+candidates overlap it can depend on the numbers before the card.
 
 Telephone numbers are: + and 7 to 15 digits (the country code stays); 9 to 12
 digits from a leading 0, as in Germany and France (the first two stay); Spanish
-ones in groups (the first stays); 10 digits in groups of 3-3-4 with any prefix,
-as the digits of such a group are telephone-like whatever the area code, or
+ones in groups (the first stays); 10 digits in groups of 3-3-4 with any prefix
+(divided by spaces only where no other number stands beside, as in a table), or
 undivided from 2 to 9. Undivided Spanish numbers (9 digits) and local numbers
 without area code are no candidates: their form doesn't tell them from other
 numbers.
@@ -43,6 +44,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from truetally.llm.common import fresh
+
 ROUNDS = 8
 DATE_ORIGIN, DATE_SIDE = "1900-01-01", 270  # 270 * 270 days
 
@@ -51,7 +54,10 @@ _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _ALONE, _NO_MORE = r"(?<![0-9A-Za-z.,+/-])(?<![0-9]{3} )", r"(?![0-9]|[ -][0-9]{3})"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "phone": r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?)?(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    # 3-3-4 behind a country code, with a parenthesis or another first separator than a space, or alone among words
+    "phone": r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?<![0-9])\(?[0-9]{3}\)?[ .-]"
+             r"|(?<![0-9])(?:\(?[0-9]{3}\)[ .-]|\([0-9]{3}[ .-]|[0-9]{3}[.-])"
+             r"|(?<![0-9])(?<![0-9] )[0-9]{3} (?=[0-9]{3}[ .-][0-9]{4}(?! [0-9])))[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "date": r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9]|\.[0-9])",
@@ -66,9 +72,13 @@ PATTERNS = {
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Runs of digit groups, sought between the other kinds; cards are sub-runs of them.
 RUN = "(?<![0-9])[0-9][0-9 -]{11,}[0-9](?![0-9]|[./][0-9])"
-CARD_DIGITS = (13, 19)
 #: Digits by group of the usual ways to write a card; these go before other sub-runs that pass the check.
-USUAL = "^(1[3-9]|4-4-4-4|4-6-5|4-6-4)$"
+USUAL = "^(1[3-9]|4-4-4-4|4-6-5|4-6-4|4-4-4-4-3)$"
+#: Prefixes of the card schemes with their lengths; the prefix stays, so that a pseudonym keeps its scheme.
+SCHEMES = ("^(4([0-9]{12}|[0-9]{15}|[0-9]{18})|(5[1-5][0-9]{2}|2(22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720))[0-9]{12}"
+           "|3[47][0-9]{13}|3(0[0-5]|[689][0-9])[0-9]{11}|35(2[89]|[3-8][0-9])[0-9]{12}"
+           "|(6011|64[4-9][0-9]|65[0-9]{2}|62[0-9]{2})[0-9]{12,15}|(5018|5020|5038|5893|6304|6759|676[1-3])[0-9]{9,15})$")
+PREFIX, MOST_GROUPS = 4, 5
 WALK = 64
 #: Cheap test that every candidate passes.
 MAYBE = "[0-9@=:]"
@@ -143,7 +153,7 @@ def _let(value: Column, body) -> Column:
 
 def _is_card(group: Column) -> Column:
     digits = F.array_join(group, "")
-    return F.length(digits).between(*CARD_DIGITS) & ~F.array_contains(group, "") & luhn_valid(digits)
+    return digits.rlike(SCHEMES) & _is_usual(group) & ~F.array_contains(group, "") & luhn_valid(digits)
 
 
 def _is_usual(group: Column) -> Column:
@@ -151,23 +161,16 @@ def _is_usual(group: Column) -> Column:
 
 
 def _card_from(groups: Column, least: Column, end: Column) -> Column:
-    """First group, not before ``least``, of the card that ends with group ``end``; null: none does.
-
-    A usual form goes before others, then the longest; others give way to a usual form that overlaps and ends later.
-    """
-    part = lambda i, j: F.slice(groups, i + 1, j - i + 1)
-    first = F.greatest(least, end - CARD_DIGITS[1] + 1)
-    found = F.filter(F.sequence(first, end), lambda i: _is_card(part(i, end)))
-    later = lambda i: F.exists(F.sequence(F.greatest(i, end - 2), end), lambda j: F.exists(
-        F.filter(F.array(F.lit(2), F.lit(3)), lambda n: (j + n > end) & (j + n < F.size(groups))),
-        lambda n: _is_usual(part(j, j + n)) & _is_card(part(j, j + n))))
-    ranked = F.transform(found, lambda i: F.struct((~_is_usual(part(i, end))).alias("other"), i.alias("i")))
-    kept = F.filter(ranked, lambda x: ~x["other"] | ~later(x["i"]))
-    return F.when(least <= end, F.array_min(kept)["i"])
+    """First group, not before ``least``, of the (longest) card that ends with group ``end``; null: none does."""
+    first = F.greatest(least, end - MOST_GROUPS + 1)
+    found = F.filter(F.sequence(first, end), lambda i: _is_card(F.slice(groups, i + 1, end - i + 1)))
+    return F.when(least <= end, F.array_min(found))
 
 
 def _card_digits(digits: Column, key: str, inverse: bool) -> Column:
-    body = permute_digits(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card", inverse)
+    """New digits behind the scheme's prefix, which is part of the permutation's key, and their check digit."""
+    prefix = F.substring(digits, 1, PREFIX)
+    body = F.concat(prefix, permute_digits(F.substr(digits, F.lit(PREFIX + 1), F.length(digits) - PREFIX - 1), key, "card", inverse))
     return _let(body, lambda x: F.concat(x, F.pmod(10 - _luhn_sum(F.concat(x, F.lit("0"))) % 10, F.lit(10)).cast("string")))
 
 
@@ -304,16 +307,18 @@ def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
             .otherwise(value if inverse else _secret(value, key)))
 
 
-def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", inverse: bool = False) -> DataFrame:
-    """``docs`` with personal data in the text replaced, plus ``_n_replaced``."""
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", inverse: bool = False,
+                 count: str = "_n_replaced") -> DataFrame:
+    """``docs`` with personal data in the text replaced, plus the column ``count`` (a column of that name is replaced)."""
     text = F.col(text_col)
+    found, new, parts = fresh(docs, "_found", "_new", "_parts")
     maybe = text.rlike(MAYBE)
-    out = docs.withColumn("_found", F.when(maybe, F.regexp_extract_all(text, F.lit(PATTERN), 0)))
-    out = out.withColumn("_new", F.transform("_found", lambda x: pseudonym(x, key, inverse)))
-    out = out.withColumn("_parts", F.when(maybe, F.transform(F.split(text, PATTERN, -1), lambda x: _with_cards(x, key, inverse))))
-    woven = F.array_join(F.zip_with("_parts", "_new", lambda part, value: F.concat(part["o"], F.coalesce(value, F.lit("")))), "")
-    changed = (F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
-               + F.aggregate("_parts", F.lit(0), lambda s, x: s + x["n"]))
+    out = docs.withColumn(found, F.when(maybe, F.regexp_extract_all(text, F.lit(PATTERN), 0)))
+    out = out.withColumn(new, F.transform(found, lambda x: pseudonym(x, key, inverse)))
+    out = out.withColumn(parts, F.when(maybe, F.transform(F.split(text, PATTERN, -1), lambda x: _with_cards(x, key, inverse))))
+    woven = F.array_join(F.zip_with(parts, new, lambda part, value: F.concat(part["o"], F.coalesce(value, F.lit("")))), "")
+    changed = (F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x))
+               + F.aggregate(parts, F.lit(0), lambda s, x: s + x["n"]))
     return (out.withColumn(text_col, F.when(maybe, woven).otherwise(text))
-            .withColumn("_n_replaced", F.when(maybe, changed).otherwise(F.lit(0)).cast("long"))
-            .drop("_found", "_new", "_parts"))
+            .withColumn(count, F.when(maybe, changed).otherwise(F.lit(0)).cast("long"))
+            .drop(found, new, parts))
