@@ -19,10 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truetally.llm.common import text_key, written
+from truetally.llm.common import fresh, small_side, text_key, written
 
 MIN_SITES = 5
 LG_K = 12
+#: Lines near the threshold that are broadcast at most (32 bytes each).
+UNSURE_ROWS = 100_000
 
 
 def _lines(text: Column) -> Column:
@@ -53,40 +55,42 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spread = written(spread, "line-spread")
     sure = spread.where(F.col("_est") > min_sites + gap).select("_l1", "_l2", "_first", F.col("_est").alias("_sites"))
     unsure = spread.where(F.col("_est") <= min_sites + gap).select("_l1", "_l2", "_first")
-    exact = (each.select("_l1", "_l2", "_site").join(unsure, ["_l1", "_l2"])
-             .groupBy("_l1", "_l2", "_first", "_site").agg(F.lit(1).alias("_one"))
+    pairs, few = each.select("_l1", "_l2", "_site"), small_side(unsure, UNSURE_ROWS)
+    # few unsure lines go to the lines; else a line's sites are made distinct before they meet at its key
+    sites = pairs.join(few, ["_l1", "_l2"]) if few is not unsure else pairs.distinct().join(unsure, ["_l1", "_l2"])
+    exact = (sites.groupBy("_l1", "_l2", "_first", "_site").agg(F.lit(1).alias("_one"))
              .groupBy("_l1", "_l2", "_first").agg(F.count("_site").alias("_sites"))
              .where(F.col("_sites") >= min_sites))
     return written(sure.unionByName(exact), "boilerplate-lines")
 
 
 def remove_boilerplate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
-                       min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with boilerplate lines cut from the text, plus ``_n_lines`` and ``_n_removed``.
+                       min_sites: int = MIN_SITES, counts: tuple[str, str] = ("_n_lines", "_n_removed")) -> DataFrame:
+    """``docs`` with boilerplate lines cut from the text, plus the columns ``counts``: lines, and removed ones.
 
-    All columns of ``docs`` are kept under their names.
+    All columns of ``docs`` are kept under their names; one that is called like
+    a count is replaced by it.
     """
     marked = boilerplate_lines(docs, id_col, text_col, site_col, min_sites)
     lines = _lines(F.col(text_col))
-    hits = (docs.select(text_key(id_col, text_col).alias("_key"), F.col(id_col).alias("_id"),
+    key, cut_, all_, edges_ = fresh(docs, "_key", "_cut", "_all", "_edges")
+    hits = (docs.select(text_key(id_col, text_col).alias(key), F.col(id_col).alias("_id"),
                         F.posexplode(lines).alias("_pos", "_line"))
             .where(F.trim("_line") != "")
-            .select("_key", "_id", "_pos", *_line_key(F.col("_line")))
+            .select(key, "_id", "_pos", *_line_key(F.col("_line")))
             .join(marked, ["_l1", "_l2"])
             .where(~F.col("_id").eqNullSafe(F.col("_first")) & F.col("_first").isNotNull())
-            .groupBy("_key").agg(F.sort_array(F.collect_set("_pos")).alias("_cut")))
+            .groupBy(key).agg(F.sort_array(F.collect_set("_pos")).alias(cut_)))
     # A cursor over the sorted cut positions would need state; a map of runs is linear:
     # the text is rebuilt from the slices between consecutive cuts.
-    cut = F.col("_cut")
-    edges = F.concat(F.array(F.lit(-1)), cut, F.array(F.size("_all")))
+    cut, every = F.col(cut_), F.col(all_)
+    edges = F.concat(F.array(F.lit(-1)), cut, F.array(F.size(every)))
     kept = F.flatten(F.transform(
         F.sequence(F.lit(0), F.size(cut)),
-        lambda i: F.slice(F.col("_all"), F.get("_edges", i) + 2,
-                          F.get("_edges", i + 1) - F.get("_edges", i) - 1)))
-    joined = (docs.withColumn("_key", text_key(id_col, text_col)).join(hits, "_key", "left")
-              .withColumn("_all", lines))
-    return (joined.withColumn("_edges", F.when(cut.isNotNull(), edges))
+        lambda i: F.slice(every, F.get(edges_, i) + 2, F.get(edges_, i + 1) - F.get(edges_, i) - 1)))
+    joined = docs.withColumn(key, text_key(id_col, text_col)).join(hits, key, "left").withColumn(all_, lines)
+    return (joined.withColumn(edges_, F.when(cut.isNotNull(), edges))
             .withColumn(text_col, F.when(cut.isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_col)))
-            .withColumn("_n_lines", F.when(F.col("_all").isNull(), F.lit(0)).otherwise(F.size("_all")).cast("long"))
-            .withColumn("_n_removed", F.when(cut.isNull(), F.lit(0)).otherwise(F.size(cut)).cast("long"))
-            .drop("_key", "_cut", "_all", "_edges"))
+            .withColumn(counts[0], F.when(every.isNull(), F.lit(0)).otherwise(F.size(every)).cast("long"))
+            .withColumn(counts[1], F.when(cut.isNull(), F.lit(0)).otherwise(F.size(cut)).cast("long"))
+            .drop(key, cut_, all_, edges_))
