@@ -84,18 +84,29 @@ def tokens(text):
     return [t for t in re.split(r"[\W_]+", (text or "").lower()) if t]
 
 
-def leaks(docs, items, min_score=10):
-    """{(doc_id, item_id, score)} over all diagonals."""
+#: Places of a window of 8 tokens that one of the masks ignores.
+IGNORED = ({2, 5, 6}, {1, 4, 5}, {2, 3, 4}, {1, 2, 3}, {3, 5, 6}, {1, 4, 6})
+
+
+def leaks(docs, items):
+    """{(doc_id, item_id, score)} over all diagonals with a window of 8 tokens that differs at ignored places alone. An
+    overlap needs a score of 10 or of three fifths of the item's tokens; items of 3 to 7 tokens must be there whole,
+    shorter ones don't count."""
     out = {}
     for doc_id, text in docs:
         h = tokens(text)
         for item_id, item in items:
             g = tokens(item)
+            need = len(g) if len(g) < 8 else min(10, -(-3 * len(g) // 5))
             for d in range(-len(g), len(h)):
+                places = range(max(0, -d), min(len(g), len(h) - d))
+                differs = {j: g[j] != h[j + d] for j in places}
                 run = best = 0
-                for j in range(max(0, -d), min(len(g), len(h) - d)):
-                    run = max(0, run + (1 if g[j] == h[j + d] else -1))
+                for j in places:
+                    run = max(0, run + (-1 if differs[j] else 1))
                     best = max(best, run)
-                if best >= min_score:
+                windows = ({p for p in range(8) if differs[j + p]} for j in places if j + 7 in differs)
+                seen = len(g) < 8 or any(w <= x for w in windows for x in IGNORED)
+                if len(g) >= 3 and best >= need and seen:
                     out[doc_id, item_id] = max(best, out.get((doc_id, item_id), 0))
     return out

@@ -270,8 +270,83 @@ def test_leaks_match_brute_force(spark):
     assert leaks(d.limit(0), b).count() == leaks(d, b.limit(0)).count() == 0
 
 
+def test_short_items_are_found_with_one_token_in_five_substituted(spark):
+    from itertools import combinations
+
+    from truetally.llm.decontaminate import MASKS, leaks
+    assert all(any(not {a, b} & set(m) for m in MASKS) for a, b in combinations(range(1, 7), 2))
+    rng = random.Random(8)
+    items = [(n, " ".join(f"t{n}x{i}" for i in range(n))) for n in (1, 2, 3, 5, 7, 8, 9, 12, 15, 16, 25)]
+    docs, want = [], set()
+    for i, (n, text) in enumerate(items * 6):
+        w = text.split()
+        if i >= len(items):  # spread, as in running text
+            for k in range(n // 5 if n >= 8 else 0):
+                w[rng.randrange(5 * k + 1, 5 * k + 4)] = "other"
+        docs.append((i, " ".join([f"before{i}"] * 9 + w + ["behind", "it"])))
+        want |= {(i, n)} if n >= 3 else set()
+    docs += [(900, "t5x0 t5x1 t5x2 t5x3"), (901, "t9x0 t9x1 t9x2 t9x3 t9x4"), (902, "t2x0 t2x1")]
+    got = {(r.doc_id, r.item_id) for r in leaks(table(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
+
+
 # --- 6: personal data
 
+def test_ordinary_numbers_are_left_alone(spark):
+    from truetally.llm.pii import pseudonymise
+    rng = random.Random(6)
+    lines = [" ".join(str(rng.randrange(10 ** rng.randint(1, 5))) for _ in range(12)) for _ in range(300)]
+    lines += [f"ISBN 978{rng.randrange(10 ** 10):010d} at {1_600_000_000_000 + rng.randrange(10 ** 11)}" for _ in range(200)]
+    lines += [" ".join(f"{rng.randrange(10 ** 3):03d}" for _ in range(4000))]
+    got = pseudonymise(table(spark, list(enumerate(lines))), "k").select("doc_id", "text", "_n_replaced").collect()
+    changed = [lines[r.doc_id] for r in got if r._n_replaced]
+    assert len(changed) <= 3, changed[:3]  # groups of 4-4-4-4 that happen to be valid cards aside
+
+
+def test_cards_keep_scheme_and_check_digit(spark):
+    from truetally.llm.pii import pseudonymise
+    cards = ["4041894974608795", "4041 8949 7460 8795", "378282246310005", "3782 822463 10005", "5555-5555-5555-4444", "30569309025904"]
+    got = {r.doc_id: r.text for r in pseudonymise(table(spark, list(enumerate(f"x {c} 12/27" for c in cards))), "k").collect()}
+    for i, c in enumerate(cards):
+        new = got[i].split(" ", 1)[1].rsplit(" ", 1)[0]
+        assert new != c and [x if not x.isdigit() else "0" for x in new] == [x if not x.isdigit() else "0" for x in c]
+        assert new[:4] == c[:4]
+        digits = [int(x) for x in new if x.isdigit()][::-1]
+        assert sum(d if k % 2 == 0 else d * 2 - 9 * (d > 4) for k, d in enumerate(digits)) % 10 == 0
+    assert got[0].split()[1] == "".join(got[1].split()[1:5])  # one value, one pseudonym, however written
+
+
+def test_a_rare_language_is_judged_against_all(spark):
+    from truetally.llm.quality import judge
+    rng = random.Random(9)
+    voc = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    text = lambda junk: " ".join(rng.choice(voc) + ("#$%&|" if rng.random() < junk else "") for _ in range(rng.randint(80, 400)))
+    rows = [(i, text(0), "en", "s", 0) for i in range(400)] + [(1000 + i, text(0.6), "xx", "s", 0) for i in range(20)]
+    rows += [(2000 + i, text(0), "yy", "s", 0) for i in range(5)]
+    kept = {r.doc_id: r.kept for r in judge(spark.createDataFrame(rows, DOCS)).collect()}
+    assert not any(kept[1000 + i] for i in range(20)) and sum(kept[2000 + i] for i in range(5)) >= 4
+    assert sum(kept[i] for i in range(400)) >= 390
+    few = judge(spark.createDataFrame(rows[:3], DOCS)).collect()
+    assert len(few) == 3 and all(r.kept is not None for r in few)
+
+
+def test_columns_called_like_internal_names_survive(spark):
+    import corpus_pipeline as cp
+
+    from truetally.llm.line_dedup import remove_boilerplate
+    from truetally.llm.pii import pseudonymise
+    docs = [(i, f"shared line\nown {i} 10/10/2010", "en", f"s{i}", 9) for i in range(8)]
+    df = spark.createDataFrame(docs, DOCS)
+    names = ["_key", "_all", "_edges", "_cut", "_row", "_id", "_pos", "_l1", "_found", "_new", "_parts", "_n_lines", "_n_removed", "_n_replaced"]
+    for k, n in enumerate(names):
+        df = df.withColumn(n, F.lit(k))
+    kept = lambda out, but=(): all({r[n] for r in out.collect()} == {k} for k, n in enumerate(names) if n not in but)
+    assert kept(remove_boilerplate(df), ("_n_lines", "_n_removed")) and kept(pseudonymise(df, "k"), ("_n_replaced",))
+    for stage in (cp.quality_rules, cp.line_dedup, cp.near_dedup):
+        out = stage(spark, df, "")
+        assert out.columns == df.columns and (stage is cp.quality_rules or kept(out))
+
+
 def test_pseudonyms_keep_format_link_and_invert(spark):
     from truetally.llm.pii import luhn_valid, pseudonymise
     rows = [(1, "card 4041894974608795. ip 10.0.0.1, +1 (988) 555-2485 or 988-555-2485"),
