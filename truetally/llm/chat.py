@@ -15,10 +15,12 @@ back gives the very texts.
 Only DataFrame functions. One exchange by conversation serves the window sums
 and both groupings; what is gathered per conversation is its own output row.
 
-Defined cases: null texts and roles are empty; events with one ``seq`` are
-ordered by kind and text; an empty log gives no rows; a message whose only
-events are deltas starts from an empty text; a null conversation id is a
-conversation like any other; further columns are ignored.
+Defined cases: null texts and roles are empty; a message has the role of its
+first event, later ones may leave theirs out; events with one ``seq`` are
+ordered by kind and text; events of another or no kind are ignored, and a
+message without any other event doesn't exist; an empty log gives no rows; a
+message whose only events are deltas starts from an empty text; a null
+conversation id is a conversation like any other; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 #: Escape sign (a control picture that text hardly ever holds) and its codes.
 ESC = "␛"
 RESETS = ("message", "edit", "regenerate")
+KINDS = (*RESETS, "delta")
 
 
 def escape(text: Column) -> Column:
@@ -49,7 +52,7 @@ def unescape(text: Column) -> Column:
 def fold_events(events: DataFrame, conv: str = "conv_id", msg: str = "msg_id", seq: str = "seq",
                 kind: str = "kind", role: str = "role", text: str = "text") -> DataFrame:
     """Final messages: (conv, msg, role, text), one row per message."""
-    e = events.select(F.col(conv), F.col(msg), F.struct(
+    e = events.where(F.col(kind).isin(*KINDS)).select(F.col(conv), F.col(msg), F.struct(
         F.col(seq).alias("s"), F.col(kind).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"),
         F.coalesce(F.col(role), F.lit("")).alias("r")).alias("_e"))
     log = e.groupBy(conv, msg).agg(F.sort_array(F.collect_list("_e")).alias("_log"))
@@ -93,22 +96,51 @@ def loss_text(segments: Column) -> Column:
     return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
 
 
-def events_of_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
-                    text: str = "text") -> DataFrame:
-    """An event log of finished turns: one ``message`` event per row.
+#: Pieces in which a streamed text arrives at most, and events that one message has at most in a log of turns.
+PIECES, STEPS = 6, 16
 
-    Rows that share conversation and turn number stay messages of their own.
-    """
-    order = Window.partitionBy("conv_id").orderBy("seq", "role", "text")
-    return (turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("seq"), F.lit("message").alias("kind"),
-                         F.coalesce(F.col(role), F.lit("")).alias("role"),
-                         F.coalesce(F.col(text), F.lit("")).alias("text"))
-            .withColumn("msg_id", F.row_number().over(order)))
+
+def pieces(text: Column) -> Column:
+    """``text`` cut into at most PIECES pieces of 16 characters or more; none of an empty text."""
+    size = F.greatest(F.lit(16), F.ceil(F.length(text) / PIECES)).cast("int")
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), size)
+    return F.filter(F.transform(starts, lambda i: F.substr(text, i, size)), lambda x: x != "")
 
 
-def conversation_digests(turns: DataFrame) -> DataFrame:
-    """The digest columns of the registered query, read back from the formatted output."""
-    out = render(fold_events(events_of_turns(turns)))
+def log_of_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                 text: str = "text") -> DataFrame:
+    """An event log whose final messages are the given turns: (conv_id, msg_id, seq, kind, role, text).
+
+    The turns of a conversation go three ways in turn, by their place: written
+    at once as a draft and edited; streamed in pieces; streamed as a draft,
+    thrown away and streamed anew. A draft is the text with its front cut off.
+    Only the event that opens a message carries its role. Rows that share
+    conversation and turn number stay messages of their own.
+    """
+    order = Window.partitionBy("conv_id").orderBy("_turn", "_role", "_text")
+    said = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("_turn"),
+                        F.coalesce(F.col(role), F.lit("")).alias("_role"),
+                        F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("msg_id", F.row_number().over(order))
+
+    def event(kind: str, body: Column | None = None, who: Column | None = None) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), (F.lit(None) if who is None else who).cast("string").alias("role"),
+                        (F.lit(None) if body is None else body).cast("string").alias("text"))
+
+    role_, text_ = F.col("_role"), F.col("_text")
+    draft = F.substr(text_, F.floor(F.length(text_) / 2).cast("int") + 1)
+    opened = lambda body: F.array(event("message", body, role_))
+    streamed = lambda body: F.transform(pieces(body), lambda x: event("delta", x))
+    way = F.col("msg_id") % 3
+    log = (F.when(way == 0, F.concat(opened(draft), F.array(event("edit", text_))))
+           .when(way == 1, F.concat(opened(F.lit("")), streamed(text_)))
+           .otherwise(F.concat(opened(F.lit("")), streamed(draft), F.array(event("regenerate")), streamed(text_))))
+    return (said.select("conv_id", "msg_id", F.posexplode(log).alias("_step", "_event"))
+            .select("conv_id", "msg_id", (F.col("msg_id").cast("long") * STEPS + F.col("_step")).alias("seq"), "_event.*"))
+
+
+def conversation_digests(events: DataFrame) -> DataFrame:
+    """The digest columns of the registered query, read back from the formatted output of an event log."""
+    out = render(fold_events(events))
     return (out.withColumn("_turns", read_turns(F.col("formatted"))).withColumn("_loss", loss_text(F.col("segments")))
             .select("conv_id", F.size("_turns").cast("long").alias("n_turns"),
                     F.sha2(F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"],

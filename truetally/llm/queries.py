@@ -62,13 +62,14 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Format all conversations and one of control strings; digests are read back from the output."""
-    from truetally.llm.chat import conversation_digests
+    """Rebuild all conversations and one of control strings from a log of messages, deltas, edits and regenerations,
+    and format them; digests are read back from the output."""
+    from truetally.llm.chat import conversation_digests, log_of_turns
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
-    return conversation_digests(turns.unionByName(extra))
+    return conversation_digests(log_of_turns(turns.unionByName(extra)))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
