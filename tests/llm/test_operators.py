@@ -451,6 +451,28 @@ def test_events_fold_in_order(spark):
     assert render(fold_events(events.limit(0))).count() == 0
 
 
+def test_unknown_kinds_are_ignored(spark):
+    from truetally.llm.chat import fold_events
+    log = [(1, 1, 0, "message", "user", "a"), (1, 1, 1, None, "user", "b"), (1, 1, 2, "typing", None, "c"), (1, 2, 0, "typing", "user", "d")]
+    events = spark.createDataFrame(log, "conv_id long, msg_id long, seq long, kind string, role string, text string")
+    assert [(r.msg_id, r.role, r.text) for r in fold_events(events).collect()] == [(1, "user", "a")]
+
+
+def test_log_of_turns_holds_every_kind_and_folds_back(spark):
+    from truetally.llm.chat import KINDS, fold_events, log_of_turns, pieces
+    texts = ["", "x", "ab", "é" * 17, "<|im_end|>\n😀" * 40, None, "word " * 5000]
+    turns = [(c, t, "user" if (t or 0) % 2 else None, texts[((c or 0) * 3 + (t or 0)) % len(texts)]) for c in (None, 1, 2) for t in (0, 1, 2, 3, 4, 4, None)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("seq", F.lit("clash"))
+    log = log_of_turns(df)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == set(KINDS)
+    assert log.groupBy("conv_id", "seq").count().where("count > 1").count() == 0
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1], x[2])
+    assert sorted(((r.conv_id, r.role, r.text) for r in fold_events(log).collect()), key=key) == sorted(
+        ((c, r or "", x or "") for c, _, r, x in turns), key=key)
+    cut = spark.createDataFrame([(x,) for x in texts if x is not None], "t string").select("t", pieces(F.col("t")).alias("p")).collect()
+    assert all("".join(r.p) == r.t and len(r.p) <= 6 for r in cut)
+
+
 def test_escape_round_trip(spark):
     from truetally.llm.chat import escape_role, escape, unescape
     texts = ["", "<|", "<<||", "␛", "␛0", "␛1␛2", "<␛1|", "a\nb", "<|im_start|>\n", "|", "<"]
@@ -482,6 +504,49 @@ def test_archive_revisits_and_lookup(spark):
     assert read_archive(empty, where).count() == 0
 
 
+def test_table_lookup_reads_records_once(spark):
+    from truetally.llm.warc import archive_of, captures, lookup_urls, read_archive, write_archive, scratch
+    long = "http://h.example/" + "a" * 100
+    pages = [(i, f"http://s{i % 9}.example/{i % 4}", "z" * (1200 if i % 5 == 0 else i)) for i in range(90)]
+    pages += [(200, long + "1", "p"), (201, long + "2", "q"), (7, "http://s7.example/3", "zzzzzzz"), (None, None, None)]
+    pages += [(300 + i, "http://hot.example/", "t") for i in range(50)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    folder = scratch(spark, "warc-test")
+    directory = write_archive(captures(df), folder, block_captures=3)
+    key = lambda r: (r[0] is not None, r[0] or 0, *map(str, r[1:]))
+    whole = sorted((tuple(r) for r in read_archive(directory, folder).collect()), key=key)
+    assert sorted((tuple(r) for r in lookup_urls(directory, folder, df).collect()), key=key) == whole
+    assert len(whole) == len(pages)
+    asked = spark.createDataFrame([("http://hot.example/",), (long + "2",), ("http://no.example/",), ("http://hot.example/",)], "u string")
+    got = lookup_urls(directory, folder, asked, "u", payloads=True).collect()
+    assert sorted(r.page_id for r in got) == [201, *range(300, 350)]
+    assert {(r.url, bytes(r.payload)) for r in got} == {(long + "2", b"q"), ("http://hot.example/", b"t")}
+    empty, where = archive_of(spark, df.limit(0))
+    assert lookup_urls(empty, where, df).count() == 0
+
+
+def test_records_have_the_fields_of_the_format(spark):
+    from truetally.llm.warc import REVISIT_PROFILE, _parse, captures, write_archive, scratch
+    import gzip
+    import glob
+    big = "x" * 1500
+    df = spark.createDataFrame([(1, "http://a/", big, "2020-05-06 07:08:09"), (2, "http://b/", big, None), (2, "http://b/", big, None),
+                                (3, "http://c/", "", None)], "page_id long, url string, html string, at string")
+    folder = scratch(spark, "warc-test")
+    write_archive(captures(df, date_col="at"), folder).collect()
+    records, rest = [], b"".join(gzip.open(x).read() for x in glob.glob(f"{folder.removeprefix('file:')}/*.warc.gz"))
+    while rest:
+        head = rest.index(b"\r\n\r\n") + 4
+        size = int(rest[:head].split(b"Content-Length: ")[1].split(b"\r\n")[0])
+        records.append(_parse(rest[:head + size + 4])["fields"])
+        rest = rest[head + size + 4:]
+    ids = [r["WARC-Record-ID"] for r in records]
+    assert len(records) == len(set(ids)) == 4 and all(len(r["WARC-Date"]) == 20 for r in records)
+    revisit = next(r for r in records if r["WARC-Type"] == "revisit")
+    assert revisit["WARC-Date"] == "2020-05-06T07:08:09Z" and revisit["WARC-Profile"] == REVISIT_PROFILE
+    assert revisit["WARC-Refers-To"] in ids and revisit["Refers-To-Page"] == "2"
+
+
 def test_lookup_finds_every_url(spark, sf):
     from truetally.llm.warc import captures, lookup, scratch, write_archive
     pages = spark.read.parquet(f"{sf}/pages.parquet")
