@@ -1,6 +1,7 @@
 """The ten operators against brute force, exact round trips and SQL, with edge cases."""
 
 import random
+from collections import Counter
 
 import brute
 import duckdb
@@ -115,8 +116,11 @@ def test_levels_merge_geometrically_and_stay_sorted(spark, given):
     sizes = []
     for b in range(5):
         part = keyed.where(F.pmod("_key", F.lit(5)) == b).mapInArrow(lambda x: entry_batches(x, 200), _ENTRIES)
-        family.add(part.where("spans is null"))
+        before = {r: sorted(x.inputFiles()) for r, x in family.levels.items()}
+        rank = family.add(part.where("spans is null"))
         sizes.append(sorted(family.levels))
+        # a batch leaves the larger levels as they are
+        assert all(sorted(family.levels[r].inputFiles()) == x for r, x in before.items() if r > rank)
     assert sizes == [[0], [1], [0, 1], [2], [0, 2]]
     level = family.levels[2]
     files = {}
@@ -124,6 +128,12 @@ def test_levels_merge_geometrically_and_stay_sorted(spark, given):
         files.setdefault(r.f.rsplit("part-", 1)[1], []).append(tuple(r)[:3])
     heads = [h for f in sorted(files) for h in files[f]]
     assert heads == sorted(heads)
+    # every entry once, and none that shares its head with an entry of any level is missing
+    whole = [tuple(r) for x in family.levels.values() for r in x.drop("met").collect()]
+    found = [tuple(r) for r in family.candidates().drop("met").collect()]
+    count = Counter(r[:2] for r in whole)
+    assert not Counter(found) - Counter(whole)
+    assert not Counter(r for r in whole if count[r[:2]] > 1) - Counter(found)
 
 
 # --- 3: quality

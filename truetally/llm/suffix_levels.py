@@ -14,8 +14,11 @@ New batches become suffix arrays and are merged geometrically: a batch takes
 along the levels 0, 1, .. that exist without a gap, and the merged array
 becomes the next level. One linear pass over the merged order finds the runs
 of entries with a common head, the only candidates for long matches; runs that
-reach a partition's edge count as candidates. Levels that are too large to be
-merged take part in the scan, and stay as they are.
+reach a partition's edge count as candidates. Larger levels are neither sorted
+nor written again: an entry is written once for each level it rises, so a
+logarithmic number of times. Heads that several levels share come from one
+aggregation of the levels' heads, and only entries that are alone with their
+head in their level are looked up among them.
 
 Candidates whose contexts are equal match over their whole context. Those that
 share a head and differ are compared window by window within their head, and
@@ -29,6 +32,7 @@ text count as occurrences of their own; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,15 +41,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truetally.llm import kernels as K
-from truetally.llm.common import arrow_column, doc_chunks, on_workers, pack_batches, runs_of, scratch, string_buffers, text_key, unpack
+from truetally.llm.common import arrow_column, doc_chunks, on_workers, pack_batches, runs_of, scratch, small_side, string_buffers, text_key, unpack, written
 from truetally.llm.repeats import HOT_SEED, MERGED, _spans, by_document, settle, span_mask
 
-WINDOW, HEAD, BATCHES = 200, 16, 2
+WINDOW, HEAD, BATCHES = 200, 16, 3
+#: Heads (16 bytes each) shared between levels up to which their table is broadcast.
+SHARED_HEADS = 300_000
 
 #: A place packs the first window (from bit 10), the distance of the last window from it (8 bits) and the number of
 #: occurrences up to 2.
 _ENTRIES = "h0 long, h1 long, ctx long, key long, place long, spans binary"
-_LEVEL = "h0 long, h1 long, ctx long, key long, place long, level int, met boolean"
+_LEVEL = "h0 long, h1 long, ctx long, key long, place long, met boolean"
 
 
 def entry_batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -94,7 +100,6 @@ def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     held: pa.RecordBatch | None = None
     before = None  # head of the entry before the held batch
-    first_head = None
 
     def marked(batch: pa.RecordBatch, prev, nxt, last: bool) -> pa.RecordBatch:
         h0, h1 = (arrow_column(batch, x).to_numpy() for x in ("h0", "h1"))
@@ -104,8 +109,8 @@ def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met[:-1] |= same
         met[0] |= prev is None or prev == (h0[0], h1[0])
         met[-1] |= last or nxt == (h0[-1], h1[-1])
-        return pa.RecordBatch.from_arrays([*(arrow_column(batch, x) for x in ("h0", "h1", "ctx", "key", "place", "level")),
-                                           pa.array(met)], names=["h0", "h1", "ctx", "key", "place", "level", "met"])
+        return pa.RecordBatch.from_arrays([*(arrow_column(batch, x) for x in ("h0", "h1", "ctx", "key", "place")),
+                                           pa.array(met)], names=["h0", "h1", "ctx", "key", "place", "met"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -126,29 +131,39 @@ class SuffixFamily:
         self.spark = on_workers(spark)
         self.levels: dict[int, DataFrame] = {}
 
-    def add(self, entries: DataFrame) -> DataFrame:
-        """Add a batch of entries; returns all entries of the scan, with ``met`` for the candidates.
+    def add(self, entries: DataFrame) -> int:
+        """Add a batch of entries; returns the rank of the level that holds it.
 
         The batch merges with the levels 0 .. r-1 into level r, the first one
-        free; larger levels are scanned along.
+        free. Larger levels are left alone.
         """
         rank = 0
-        batch = entries.select("h0", "h1", "ctx", "key", "place", F.lit(0).alias("level"))
+        merged = entries.select("h0", "h1", "ctx", "key", "place")
         while rank in self.levels:
-            batch = batch.unionByName(self.levels[rank].drop("met"))
+            merged = merged.unionByName(self.levels[rank].drop("met"))
             rank += 1
-        merged = batch.withColumn("level", F.lit(rank))
-        for size in sorted(x for x in self.levels if x > rank):
-            merged = merged.unionByName(self.levels[size].drop("met"))
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         path = scratch(self.spark, f"suffix-level-{rank}")
         (merged.repartitionByRange(parts, "h0", "h1", "ctx").sortWithinPartitions("h0", "h1", "ctx")
          .mapInArrow(scan_batches, _LEVEL).write.option("compression", "zstd").parquet(path))
-        scanned = self.spark.read.schema(_LEVEL).parquet(path)
         for r in range(rank):
             del self.levels[r]
-        self.levels[rank] = scanned.where(F.col("level") == rank)
-        return scanned
+        self.levels[rank] = self.spark.read.schema(_LEVEL).parquet(path)
+        return rank
+
+    def candidates(self) -> DataFrame:
+        """Entries of all levels that share their head with another entry of any level, each once."""
+        levels = [self.levels[r] for r in sorted(self.levels)]
+        union = lambda frames: functools.reduce(DataFrame.unionByName, frames)
+        met = union([x.where("met") for x in levels])
+        if len(levels) == 1:
+            return met
+        # min and max combine map-side, so a head shared by many entries costs a row per task
+        shared = (union([x.select("h0", "h1", F.lit(i).alias("level")) for i, x in enumerate(levels)])
+                  .groupBy("h0", "h1").agg(F.min("level").alias("low"), F.max("level").alias("high"))
+                  .where("low < high").select("h0", "h1"))
+        shared = small_side(written(shared, "shared-heads"), SHARED_HEADS)
+        return met.unionByName(union([x.where("not met") for x in levels]).join(shared, ["h0", "h1"], "left_semi"))
 
 
 _CONTEXTS = "seed long, ctx long, n int, key long, at int, hot boolean, grams binary"
@@ -221,16 +236,16 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     family = SuffixFamily(spark)
     keyed = docs.select(text_key(id_col, text_col).alias("_key"), F.col(id_col).cast("long").alias("_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    local, scanned = [], None
+    local = []
     for b in range(batches):
         part = keyed.where(F.pmod("_key", F.lit(batches)) == b).select("_key", "_text")
         entries = part.mapInArrow(lambda x: entry_batches(x, window), _ENTRIES)
-        scanned = family.add(entries.where(F.col("spans").isNull()))
+        family.add(entries.where(F.col("spans").isNull()))
         local.append(entries.where(F.col("spans").isNotNull()).select("key", "spans"))
     bits = lambda shift, mask: F.shiftright("place", shift).bitwiseAND(F.lit(mask)).cast("int")
-    seeded = (scanned.where("met").select(F.xxhash64("h0", "h1").alias("seed"), "ctx", bits(0, 3).alias("n"), "key",
-                                          F.shiftright("place", 10).cast("int").alias("at"), F.lit(0).alias("lo"),
-                                          bits(2, 255).alias("hi")))
+    seeded = family.candidates().select(F.xxhash64("h0", "h1").alias("seed"), "ctx", bits(0, 3).alias("n"), "key",
+                                        F.shiftright("place", 10).cast("int").alias("at"), F.lit(0).alias("lo"),
+                                        bits(2, 255).alias("hi"))
     packed = keyed.mapInArrow(pack_batches, "_key long, _id long, _packed binary")
     spans = settle(packed, seeded, lambda x: context_batches(x, window), context_grams(window), window, hot_seed)
     merged = local[0]
