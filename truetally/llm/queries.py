@@ -67,8 +67,8 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from truetally.llm.chat import conversation_digests, log_of_turns
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
-    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     return conversation_digests(log_of_turns(turns.unionByName(extra)))
 
 
