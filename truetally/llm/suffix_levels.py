@@ -16,9 +16,8 @@ becomes the next level. One linear pass over the merged order finds the runs
 of entries with a common head, the only candidates for long matches; runs that
 reach a partition's edge count as candidates. Larger levels are neither sorted
 nor written again: an entry is written once for each level it rises, so a
-logarithmic number of times. Heads that several levels share come from one
-aggregation of the levels' heads, and only entries that are alone with their
-head in their level are looked up among them.
+logarithmic number of times. One aggregation of the levels by head finds the
+entries that are alone with their head in their level and not in the family.
 
 Candidates whose contexts are equal match over their whole context. Those that
 share a head and differ are compared window by window within their head, and
@@ -41,12 +40,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truetally.llm import kernels as K
-from truetally.llm.common import arrow_column, doc_chunks, on_workers, pack_batches, runs_of, scratch, small_side, string_buffers, text_key, unpack, written
+from truetally.llm.common import arrow_column, doc_chunks, on_workers, pack_batches, runs_of, scratch, string_buffers, text_key, unpack, written
 from truetally.llm.repeats import HOT_SEED, MERGED, _spans, by_document, settle, span_mask
 
 WINDOW, HEAD, BATCHES = 200, 16, 3
-#: Heads (16 bytes each) shared between levels up to which their table is broadcast.
-SHARED_HEADS = 300_000
 
 #: A place packs the first window (from bit 10), the distance of the last window from it (8 bits) and the number of
 #: occurrences up to 2.
@@ -158,12 +155,12 @@ class SuffixFamily:
         met = union([x.where("met") for x in levels])
         if len(levels) == 1:
             return met
-        # min and max combine map-side, so a head shared by many entries costs a row per task
-        shared = (union([x.select("h0", "h1", F.lit(i).alias("level")) for i, x in enumerate(levels)])
-                  .groupBy("h0", "h1").agg(F.min("level").alias("low"), F.max("level").alias("high"))
-                  .where("low < high").select("h0", "h1"))
-        shared = small_side(written(shared, "shared-heads"), SHARED_HEADS)
-        return met.unionByName(union([x.where("not met") for x in levels]).join(shared, ["h0", "h1"], "left_semi"))
+        # a head's entries that aren't met are one a level at most, so what a group gathers is bounded by the levels
+        each = union([x.select("h0", "h1", F.lit(i).alias("level"), F.when(~F.col("met"), F.struct("ctx", "key", "place")).alias("e"))
+                      for i, x in enumerate(levels)])
+        alone = (each.groupBy("h0", "h1").agg(F.min("level").alias("low"), F.max("level").alias("high"), F.collect_list("e").alias("es"))
+                 .where("low < high").select("h0", "h1", F.inline("es")).withColumn("met", F.lit(False)))
+        return met.unionByName(written(alone, "suffix-shared"))
 
 
 _CONTEXTS = "seed long, ctx long, n int, key long, at int, hot boolean, grams binary"
