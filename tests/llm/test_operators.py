@@ -585,6 +585,53 @@ def test_near_groups_on_given_documents(spark, given):
     assert near_duplicates(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("region", [1, 3, 40])
+@pytest.mark.parametrize("rows, size", [(1, 1), (1, 7), (16, 50), (1 << 16, 1000)])
+def test_forest_neighbours_match_plain_orders(region, rows, size):
+    """Regions, their least classes and the neighbours by longest common prefix, whatever the batches."""
+    import pyarrow as pa
+    from truetally.llm import near_dup as N
+    rng = random.Random(region)
+    order_ = sorted((t, tuple(rng.choice((0, 0, 0, 1, 300)) for _ in range(N.DEPTH)), c)
+                    for t in range(3) for c in rng.sample(range(-500, 500), 150))
+    shared = lambda x, y: next((i for i in range(N.DEPTH) if x[1][i] != y[1][i]), N.DEPTH) if x[0] == y[0] else -1
+    want = []
+    for k, e in enumerate(order_):
+        for d in range(N.SHALLOW, N.DEPTH + 1):
+            mates = [x[2] for x in order_ if x[0] == e[0] and x[1][:d] == e[1][:d]]
+            if len(mates) <= region:
+                break
+        if min(mates) != e[2]:
+            want.append((e[2], min(mates), 0, d))
+        beside = [(shared(e, order_[j]), -j, order_[j][2]) for j in (k - 1, k + 1) if 0 <= j < len(order_)]
+        length, _, other = max(beside)
+        if length >= d:
+            want.append((e[2], other, 1, length))
+    raw = [(t, b"".join(v.to_bytes(2, "big") for v in p), c) for t, p, c in order_]
+    batches = [pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int32()), pa.array([x[1] for x in part], pa.binary()),
+                                           pa.array([x[2] for x in part], pa.int64())], names=["tree", "path", "class"])
+               for part in (raw[i:i + size] for i in range(0, len(raw), size))]
+    got = [tuple(r.values()) for b in N.neighbour_batches(iter(batches), region, rows) for r in b.to_pylist()]
+    assert order(got) == order(want)
+    assert not list(N.neighbour_batches(iter([]), region))
+
+
+def test_many_near_copies_come_together(spark):
+    """One group of near copies, in regions larger and smaller than the bound."""
+    from truetally.llm import near_dup as N
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    docs = []
+    for i in range(300):
+        w = list(base)
+        for j in rng.sample(range(400), 3):
+            w[j] = f"x{rng.randrange(10 ** 6)}"
+        docs.append((i, " ".join(w)))
+    for region in (8, 1024):
+        groups = {r.component_id for r in N.near_groups(table(spark, docs), region=region).collect()}
+        assert groups == {0}
+
+
 def test_components_of_a_long_path(spark):
     from truetally.llm.components import components
     rng = random.Random(1)

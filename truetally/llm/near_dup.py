@@ -6,17 +6,19 @@ groups are the connected components of the links.
 
 * Documents with one and the same set are one class; everything below works on
   classes, so exact copies cost nothing more.
-* ``TREES`` trees of the forest order the classes by ``DEPTH`` MinHash values
-  each. A region is a run of classes with a common prefix in one tree; two
-  classes with similarity 0.75 miss a common prefix of length 2 in all trees
-  with a probability of 2e-6.
-* First the forest's depth adapts to each region: in regions of more than
-  ``REGION`` classes the full ``DEPTH`` values count, elsewhere the shallow
-  prefix. Each class is compared with the least class of the regions that it
-  shares most often. Confirmed links give components, which absorb almost all
-  regions.
-* Then the regions that still hold several components are compared inside, at
-  the shallow depth, on long signatures: first each class with its best match
+* Each of the ``TREES`` trees of the forest is an order of the classes: sorted
+  by range over a path of ``DEPTH`` MinHash values. A region is a run of this
+  order with a common prefix. The depth adapts to each region: it is the
+  shortest prefix, of ``SHALLOW`` values or more, that at most ``REGION``
+  classes share, or the whole path.
+* Candidates are each class's neighbour with the longest common prefix in its
+  region, and the region's least class; of both kinds the one is compared that
+  most trees (weighed by the depth) agree on. Confirmed links give components,
+  which absorb almost all regions.
+* The rest is exact: two classes with similarity 0.75 share a prefix of
+  ``SHALLOW`` = 2 values in no tree with a probability of 2e-6. So the regions
+  at this depth that still hold several components are compared inside, on long
+  signatures: first each class with its best match
   in another component, which unites most of what belongs together; then every
   remaining pair across components that can reach 0.75. Regions with
   more than ``REGION`` classes are split into blocks, whose pairs go to
@@ -34,6 +36,7 @@ Shingles and sets are held as 64-bit hashes; classes are told apart by a
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +51,8 @@ from truetally.llm.components import components
 SHINGLE, SHARE = 5, 75
 TREES, DEPTH, SHALLOW = 16, 5, 2
 REGION = 1024
+#: Bytes of a path.
+STEP = 2 * DEPTH
 #: Values (one byte each) of the long signatures, and the agreement that a pair with similarity 0.75 falls short of
 #: with a probability of 3e-5 (4 standard deviations of 0.019).
 LONG, AGREE = 512, 0.673
@@ -88,18 +93,18 @@ def min_hashes(h: np.ndarray, head: np.ndarray, count: int) -> np.ndarray:
     return K.mix(low)
 
 
-_SIGNED = "key long, id long, n long, class long, shallow array<long>, deep array<long>"
+_SIGNED = "key long, id long, n long, class long, shallow array<long>, paths array<binary>"
 
 
 def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Class, set size and region keys of each document."""
+    """Class, set size, shallow region keys and paths (two bytes a value) of each document."""
     for batch in batches:
         buf, off = string_buffers(arrow_column(batch, "_text"))
         rows = batch.num_rows
         n = np.zeros(rows, np.int64)
         cls = np.zeros(rows, np.uint64)
         shallow = np.zeros((rows, TREES), np.uint64)
-        deep = np.zeros((rows, TREES), np.uint64)
+        paths = np.zeros((rows, TREES, DEPTH), ">u2")
         for i, j in doc_chunks(off):
             h, at = shingles(buf[off[i]:off[j]], off[i:j + 1] - off[i])
             size = np.diff(at)
@@ -110,19 +115,85 @@ def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head = at[:-1][some]
             cls[i + some] = K.mix(np.add.reduceat(K.mix(h), head) ^ K.mix(size[some].astype(np.uint64)))
             low = min_hashes(h, head, TREES * DEPTH)
+            paths[i + some] = (low >> K.U(48)).astype(">u2").reshape(TREES, DEPTH, -1).transpose(2, 0, 1)
             for t in range(TREES):
                 key = np.full(len(some), t + 1, np.uint64)
-                for d in range(DEPTH):
+                for d in range(SHALLOW):
                     key = K.mix(key ^ low[t * DEPTH + d]) + K.U(t)
-                    if d == SHALLOW - 1:
-                        shallow[i + some, t] = key
-                deep[i + some, t] = key
-        lists = lambda x: pa.ListArray.from_arrays(
-            pa.array(np.arange(0, rows * TREES + 1, TREES, dtype=np.int32)), pa.array(x.view(np.int64).ravel()))
+                shallow[i + some, t] = key
+        per_row = pa.array(np.arange(0, rows * TREES + 1, TREES, dtype=np.int32))
+        cuts = pa.py_buffer(np.arange(0, rows * TREES * STEP + 1, STEP, dtype=np.int32))
+        flat = pa.Array.from_buffers(pa.binary(), rows * TREES, [None, cuts, pa.py_buffer(paths.tobytes())])
         yield pa.RecordBatch.from_arrays(
             [arrow_column(batch, "_key"), arrow_column(batch, "_id"), pa.array(n), pa.array(cls.view(np.int64)),
-             lists(shallow), lists(deep)],
-            names=["key", "id", "n", "class", "shallow", "deep"])
+             pa.ListArray.from_arrays(per_row, pa.array(shallow.view(np.int64).ravel())),
+             pa.ListArray.from_arrays(per_row, flat)],
+            names=["key", "id", "n", "class", "shallow", "paths"])
+
+
+_NEAR = "class long, other long, kind int, depth int"
+
+
+def neighbour_batches(batches: Iterator[pa.RecordBatch], region: int, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Candidates of each class in the trees' orders; rows come sorted by tree, path and class.
+
+    Kind 0: the least class of its region; kind 1: the neighbour with the
+    longest common prefix there (of two, the one before). ``depth`` is the
+    prefix known to be shared. Holds ``rows`` rows and as many on both sides as
+    tell whether a region has more than ``region`` classes; a region that is cut
+    by the range partitioning counts as two.
+    """
+    cls, head = np.zeros(0, np.int64), np.zeros(0, np.int64)  # head: first, so least, class with the same whole path
+    path = np.zeros((0, 1 + DEPTH), np.int32)
+
+    def solve(lo: int, hi: int) -> pa.RecordBatch:
+        n = len(cls)
+        at = np.arange(n)
+        same = np.full(n + 1, -1)  # values shared with the row before; -1: another tree
+        same[1:n] = np.logical_and.accumulate(path[1:] == path[:-1], axis=1).sum(axis=1) - 1
+        depth, hub = np.zeros(n, np.int64), cls.copy()
+        for d in range(SHALLOW, DEPTH + 1):
+            starts = np.flatnonzero(same[:-1] < d)
+            size = np.diff(np.r_[starts, n])
+            fits = np.repeat((size <= region) | (d == DEPTH), size) & (depth == 0)
+            least = head if d == DEPTH else np.repeat(np.minimum.reduceat(cls, starts), size)
+            depth[fits], hub[fits] = d, least[fits]
+        before = same[:-1] >= same[1:]
+        best = np.where(before, same[:-1], same[1:])
+        beside = cls[np.where(before, at - 1, (at + 1) % n)]
+        mine = (at >= lo) & (at < hi)
+        to_hub, to_near = np.flatnonzero(mine & (hub != cls)), np.flatnonzero(mine & (best >= depth))
+        both = np.r_[to_hub, to_near]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cls[both]), pa.array(np.r_[hub[to_hub], beside[to_near]]),
+             pa.array(np.repeat([0, 1], [len(to_hub), len(to_near)]).astype(np.int32)),
+             pa.array(np.r_[depth[to_hub], best[to_near]].astype(np.int32))], names=["class", "other", "kind", "depth"])
+
+    done = 0
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None and batch.num_rows:
+            values = string_buffers(arrow_column(batch, "path"))[0].reshape(-1, STEP).view(">u2")
+            new = arrow_column(batch, "class").to_numpy()
+            path = np.concatenate([path, np.column_stack([arrow_column(batch, "tree").to_numpy(), values]).astype(np.int32)])
+            old, cls = len(cls), np.concatenate([cls, new])
+            begins = np.r_[True, (path[1:] != path[:-1]).any(axis=1)][old:]
+            first = np.maximum.accumulate(np.where(begins, np.arange(len(new)), -1))
+            head = np.concatenate([head, np.where(first >= 0, new[first], head[-1] if old else 0)])
+        end = len(cls) if batch is None else len(cls) - region - 1
+        if end - done >= (1 if batch is None else rows):
+            yield solve(done, end)
+            cut = max(0, end - region - 1)
+            cls, head, path, done = cls[cut:], head[cut:], path[cut:], end - cut
+
+
+def neighbours(forest: DataFrame, region: int) -> DataFrame:
+    """Pairs (a, b) to compare first: each class with the best candidate of each kind."""
+    parts = int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = (forest.select("class", "tree", "path").repartitionByRange(parts, "tree", "path", "class")
+            .sortWithinPartitions("tree", "path", "class").mapInArrow(lambda b: neighbour_batches(b, region), _NEAR))
+    votes = near.groupBy("class", "other", "kind").agg(F.sum("depth").alias("votes"))
+    best = votes.groupBy("class", "kind").agg(F.max_by("other", F.struct("votes", "other")).alias("other"))
+    return best.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct()
 
 
 def set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,25 +318,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     signed = written(keyed.mapInArrow(sign_batches, _SIGNED), "signed")
     classes = written(signed.where("n > 0").groupBy("class")
                       .agg(F.min("id").alias("id"), F.first("key").alias("key"), F.first("shallow").alias("shallow"),
-                           F.first("deep").alias("deep")), "classes")
-    rows = (classes.select("class", F.posexplode(F.arrays_zip("shallow", "deep")).alias("tree", "t"))
-            .select("class", "tree", "t.shallow", "t.deep"))
-    shared = written(rows.groupBy("shallow").agg(F.min("class").alias("low"), F.max("class").alias("high"),
-                                                 F.count(F.lit(1)).alias("size")).where("low <> high").drop("high"), "regions")
+                           F.first("paths").alias("paths")), "classes")
+    rows = (classes.select("class", F.posexplode(F.arrays_zip("shallow", "paths")).alias("tree", "t"))
+            .select("class", "tree", "t.shallow", F.col("t.paths").alias("path")))
+    shared = written(rows.groupBy("shallow").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+                     .where("low <> high").select("shallow"), "regions")
     forest = written(rows.join(shared, "shallow"), "forest")
     members = written(forest.select("class").distinct().join(classes.select("class", "key", "shallow"), "class"), "members")
     sets = written(keyed.select("_key", "_text")
                    .join(members.select("class", F.col("key").alias("_key")).hint("merge"), "_key")
                    .select("class", "_text").mapInArrow(set_batches, "class long, shingles binary, sig binary"), "sets")
     shingle_sets = sets.select("class", "shingles")
-    # the depth adapts: dense regions are looked at along the whole prefix
-    dense = forest.where(F.col("size") > region)
-    deep = written(dense.groupBy("deep").agg(F.min("class").alias("hub")), "deep-regions")
-    hubs = (forest.where(F.col("size") <= region).select("class", F.col("low").alias("hub"))
-            .unionByName(dense.join(deep, "deep").select("class", "hub")))
-    votes = hubs.where("class <> hub").groupBy("class", "hub").agg(F.count(F.lit(1)).alias("votes"))
-    first = votes.groupBy("class").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub"))
-    links = confirm(first.select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b")), shingle_sets)
+    links = confirm(neighbours(forest, region), shingle_sets)
     roots = components(links)
     forest = forest.select("class", "tree", "shallow")
     signatures = sets.select("class", "sig").join(members.select("class", "shallow"), "class")
