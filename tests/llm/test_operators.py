@@ -444,6 +444,48 @@ def test_long_secrets_vanish_whole(spark):
     assert not any(x[i:i + 20] in out.text for x in secrets for i in range(len(x) - 19))
 
 
+def test_ibans_get_new_digits_and_checks(spark):
+    from truetally.llm.pii import pseudonymise
+
+    def check(x):
+        x = x.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+    ibans = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "ES9121000418450200051332",
+             "FR14 2004 1010 0505 0001 3M02 606", "NL91ABNA0417164300", "MT84MALT011000012345MTLCAST001S", "NO9386011117947"]
+    others = ["DE88 3704 0044 0532 0130 00", "DE8937040044053201300", "XX89370400440532013000", "DE89ABCDEFGHIJKLMNOPQR", "NO 12 34"]
+    rows = [(i, f"pay {x}, or") for i, x in enumerate([*ibans, *others])] + [(99, f"{ibans[3]} 2024 {ibans[0]} 4041894974608795")]
+    out = pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "k")
+    got = {r.doc_id: r.text for r in out.collect()}
+    shape = lambda x: "".join("9" if c.isdigit() else c for c in x)
+    for i, x in enumerate(ibans):
+        new = got[i][4:-4]
+        assert check(x) and check(new) and new != x and shape(new) == shape(x)
+    assert got[0][4:-4].replace(" ", "") == got[1][4:-4]
+    assert all(got[i] == t for i, t in rows[len(ibans):-1])
+    assert got[99].startswith(f"{got[3][4:-4]} 2024 {got[0][4:-4]} ") and not got[99].endswith("8795 ") and "4041894974608795" not in got[99]
+    back = pseudonymise(out.drop("_n_replaced"), "k", inverse=True).collect()
+    assert {r.doc_id: r.text for r in back} == dict(rows)
+
+
+def test_secrets_of_other_forms(spark):
+    from truetally.llm.pii import pseudonymise
+    gh, sk, xo = "ghp_" + "aB3" * 12, "sk-proj-" + "x9Y_" * 6, "xoxb-" + "12ab-" * 4 + "z"
+    rows = [(0, 'password = "my long pass phrase" and on'), (1, "api_key: 'a b c d e f', next"), (2, '{"password": "pass word 1", "a": 1}'),
+            (3, f"use {gh} now"), (4, f"use {sk} now"), (5, f"use {xo} now"), (6, "Authorization: Bearer abc.DEF-123456789xyz== ok"),
+            (7, '{"token": "abcdefgh"}')]
+    plain = [(20, 'the secret: "She went to the market."'), (21, "a bearer internationalizations x=1"), (22, "risk-averse-and-risk-neutral-people 12"),
+             (23, 'password = "open'), (24, "sk-" * 200_000 + " 1"), (25, "password='" * 50_000), (26, ""), (27, None)]
+    out = {r.doc_id: (r.text, r._n_replaced) for r in
+           pseudonymise(spark.createDataFrame(rows + plain, "doc_id long, text string"), "k").collect()}
+    words = ["my long pass phrase", "a b c d e f", "pass word 1", gh[4:], sk[3:], xo[5:], "abc.DEF-123456789xyz==", "abcdefgh"]
+    for (i, text), word in zip(rows, words, strict=True):
+        before, after = text.split(word)
+        new = out[i][0]
+        assert word not in new and new.startswith(before) and new.endswith(after) and len(new) == len(text) and out[i][1] == 1
+    assert all(out[i] == (t, 0 if t is not None else out[i][1]) for i, t in plain if i != 25)
+
+
 # --- 7: chat
 
 def test_events_fold_in_order(spark):

@@ -1,18 +1,23 @@
 """Operator 6: personal data under format-preserving Feistel pseudonyms.
 
 Numbers that validate (payment cards by their check digit, telephone numbers
-by digit count and prefix, IPv4 addresses, social security numbers) and calendar
-dates are replaced by a
+by digit count and prefix, IPv4 addresses, social security numbers, IBANs by
+country, length and check digits) and calendar dates are replaced by a
 keyed permutation of their own format: a balanced Feistel network over the
 digits (or the day number), whose round function is a slice of a keyed SHA-256.
 Equal values get equal pseudonyms in every document, different values different
 ones, and the holder of the key can invert them (``inverse=True``). Cards get a
-new valid check digit, social security numbers walk the permutation until the
+new valid check digit, IBANs keep country and letters and get new check digits
+(national ones inside aren't kept), social security numbers walk the permutation until the
 result is valid, so pseudonyms pass the same validation as the values.
 
-Mail addresses and secrets (access keys, passwords, tokens) have no numeric
-format; they get keyed digests in their shape, linked but not invertible. A
-secret goes whole, up to the next white space or quote.
+Mail addresses and secrets have no numeric format; they get keyed digests, linked
+but not invertible. Secrets are values behind the name of a password, token,
+secret or key and ``=`` or ``:``, up to the next white space or quote (a quoted
+password or key may hold spaces and goes up to its quote; other names before
+quoted words are usual in prose), tokens behind ``Bearer``, and keys of known
+prefixes (AKIA, gh._, sk-, xox.-). Behind ``Bearer`` and prefixes a digit must
+be among them. IPv6 addresses and mail addresses outside ASCII are no candidates.
 
 Only DataFrame functions, one row at a time: no shuffle, and nothing depends on
 how often a value occurs.
@@ -52,7 +57,12 @@ DATE_ORIGIN, DATE_SIDE = "1900-01-01", 270  # 270 * 270 days
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: No digit group of 3 or more digits stands beside, as it would in a card.
 _ALONE, _NO_MORE = r"(?<![0-9A-Za-z.,+/-])(?<![0-9]{3} )", r"(?![0-9]|[ -][0-9]{3})"
+#: IBANs: lengths by country (fixed values).
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK|FI|NL", 20: "AT|EE|LT|LU", 21: "CH|HR|LI|LV", 22: "BG|DE|GB|IE|RS",
+                24: "CZ|ES|RO|SE|SK", 25: "PT", 26: "IS|TR", 27: "FR|GR|IT|MC|SM", 28: "CY|HU|PL", 31: "MT"}
+_IBANS = "|".join(f"(?:{c})[0-9]{{2}}(?:[ ]?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 PATTERNS = {
+    "iban": rf"(?<![0-9A-Za-z])(?:{_IBANS})(?![0-9A-Za-z])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     # 3-3-4 behind a country code, with a parenthesis or another first separator than a space, or alone among words
     "phone": r"(?:(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?<![0-9])\(?[0-9]{3}\)?[ .-]"
@@ -67,7 +77,11 @@ PATTERNS = {
     "spanish": _ALONE + r"[6-9][0-9]{2}(?:[ -][0-9]{3}[ -][0-9]{3}|(?:[ -][0-9]{2}){3})" + _NO_MORE,
     "ten": _ALONE + r"[2-9][0-9]{9}(?![A-Za-z]|[.,/][0-9])" + _NO_MORE,
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Z])"
-              r"|(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]?[=:][ ]?[\"']?[^\s\"']{6,}+",
+              r"|(?<![A-Za-z0-9_])gh[pousr]_(?=[A-Za-z]*+[0-9])[A-Za-z0-9]{36,}+"
+              r"|(?<![A-Za-z0-9_-])(?:sk-(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{20,}+|xox[abprs]-(?=[A-Za-z-]*+[0-9])[A-Za-z0-9-]{10,}+)"
+              r"|(?<![A-Za-z])[Bb]earer (?=[A-Za-z._~+/-]*+[0-9])[A-Za-z0-9._~+/-]{16,}+=*+"
+              r"|(?i:password|passwd|pwd|api[_-]?key)[\"']?[ ]?[=:][ ]?(?:\"[^\"\n]{6,}+(?=\")|'[^'\n]{6,}+(?='))"
+              r"|(?i:password|passwd|pwd|token|secret|api[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?[^\s\"']{6,}+",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Runs of digit groups, sought between the other kinds; cards are sub-runs of them.
@@ -109,10 +123,10 @@ def feistel(a: Column, b: Column, mod_a: Column, mod_b: Column, key: str, kind:
 
 
 def permute_digits(digits: Column, key: str, kind: str, inverse: bool = False) -> Column:
-    """Keyed permutation of digit strings of one length (2 to 19 digits)."""
+    """Keyed permutation of digit strings of one length (2 to 30 digits)."""
     half = F.floor(F.length(digits) / 2).cast("int")
     rest = F.length(digits) - half
-    ten = lambda n: F.element_at(F.array(*(F.lit(10 ** i) for i in range(11))), n + 1)
+    ten = lambda n: F.element_at(F.array(*(F.lit(10 ** i) for i in range(16))), n + 1)
     out = feistel(F.substr(digits, F.lit(1), half), F.substr(digits, half + 1, rest), ten(half), ten(rest), key, kind, inverse)
     return F.concat(F.lpad(out["a"].cast("string"), half, F.lit("0")), F.lpad(out["b"].cast("string"), rest, F.lit("0")))
 
@@ -283,8 +297,27 @@ def _date(value: Column, key: str, inverse: bool) -> Column:
     return F.when(ok, shown).otherwise(value)
 
 
+def _iban_check(country: Column, bban: Column) -> Column:
+    """The two check digits: 98 less the number, letters as 10 to 35, modulo 97."""
+    def step(r, c):
+        return F.when(c.rlike("[0-9]"), r * 10 + F.ascii(c) - 48).otherwise(r * 100 + F.ascii(c) - 55) % 97
+
+    left = F.aggregate(F.split(F.concat(bban, country, F.lit("00")), ""), F.lit(0), step)
+    return F.lpad((98 - left).cast("string"), 2, "0")
+
+
+def _iban(value: Column, key: str, inverse: bool) -> Column:
+    """Digits behind the check digits permuted; candidates with a wrong check or fewer than six such digits stay."""
+    flat = F.regexp_replace(value, " ", "")
+    country, bban = F.substring(flat, 1, 2), F.substr(flat, F.lit(5), F.length(flat) - 4)
+    digits = F.regexp_replace(bban, "[^0-9]", "")
+    new = _let(permute_digits(digits, key, "iban", inverse),
+               lambda d: refill(value, F.concat(_iban_check(country, refill(bban, d)), d)))
+    return F.when((F.substring(flat, 3, 2) == _iban_check(country, bban)) & (F.length(digits) >= 6), new).otherwise(value)
+
+
 def _secret(value: Column, key: str) -> Column:
-    name = F.regexp_extract(value, "^((?:AKIA)|[^=:]*[=:][ ]?[\"']?)", 1)
+    name = F.regexp_extract(value, "^(AKIA|gh[pousr]_|sk-|xox[abprs]-|[Bb]earer |[^=:]*[=:][ ]?[\"']?)", 1)
     size = F.length(value) - F.length(name)
     hexes = F.repeat(_digest(key, F.lit("secret"), value), F.ceil(size / 64).cast("int"))
     return F.concat(name, F.when(value.startswith("AKIA"), F.upper(F.substr(hexes, F.lit(1), size)))
@@ -295,7 +328,8 @@ def pseudonym(value: Column, key: str, inverse: bool = False) -> Column:
     """The pseudonym of one candidate, by its kind (mail addresses and secrets aren't invertible and stay then)."""
     whole = {k: value.rlike(f"^(?:{PATTERNS[k]})$") for k in PATTERNS}
     mail = F.concat(F.lit("u"), F.substring(_digest(key, F.lit("email"), F.lower(value)), 1, 16), F.lit("@pseudonym.example"))
-    return (F.when(whole["email"], value if inverse else mail)
+    return (F.when(whole["iban"], _iban(value, key, inverse))
+            .when(whole["email"], value if inverse else mail)
             .when(whole["phone"], _phone(value, key, inverse))
             .when(whole["date"], _date(value, key, inverse))
             .when(whole["ssn"], _ssn(value, key, inverse))
