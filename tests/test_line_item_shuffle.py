@@ -87,14 +87,15 @@ def test_gate_reads_of_one_receipt_count_once(spark):
 
 
 def test_fill_is_the_same_with_the_order_as_a_key(spark):
-    so = spark.createDataFrame([("11", 10, dt.date(2020, 1, 10)), ("11", 20, dt.date(2020, 1, 10)), ("12", 10, None)],
+    so = spark.createDataFrame([("11", 10, dt.date(2020, 1, 10)), ("11", 20, dt.date(2020, 1, 10)), ("12", 10, None),
+                                ("11", None, None), ("12", None, None)],
                                "vbeln string, posnr int, edatu date")
     legs = (spark.createDataFrame([("11", 10, 1), ("11", 10, 2), ("12", 10, 4), (None, 10, 8)], "_order_ref string, posnr int, n int")
             .select("_order_ref", order_line_id("_order_ref", "posnr").alias("order_line_id"), F.col("n").cast("decimal(18,3)").alias("shipped_qty_ea"),
                     F.lit(dt.date(2020, 1, 9)).alias("ship_date"), F.lit(dt.date(2020, 1, 11)).alias("delivery_date"),
                     F.lit("C1").alias("carrier_id"), F.lit("2020-01-09").cast("timestamp_ntz").alias("ship_ts_local"), F.col("n").cast("string").alias("shipment_id")))
     keyed, plain = order_line_fill(so, legs), order_line_fill(so, legs.drop("_order_ref"))
-    assert keyed.columns == plain.columns
+    assert keyed.columns == plain.columns and keyed.filter("order_line_id is null").count() == 1  # lines without an id: one row
     assert sorted(map(str, keyed.collect())) == sorted(map(str, plain.collect()))
 
 
