@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from truetally.llm.common import arrow_column, doc_chunks, on_workers, string_buffers
+from truetally.llm.common import arrow_column, doc_chunks, giving_back, on_workers, small_batches, string_buffers
 from truetally.llm.kernels import ranges
 
 # --- symbols and states -------------------------------------------------------
@@ -439,6 +439,6 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 names += ["ids", "offsets"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    on_workers(docs.sparkSession)
+    small_batches(on_workers(docs.sparkSession))
     return (docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].alias("_text"))
-            .mapInArrow(run, schema))
+            .mapInArrow(lambda b: giving_back(run(b)), schema))

@@ -37,6 +37,25 @@ def on_workers(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Bytes of an Arrow batch between the JVM and a Python worker (a longer row makes a batch of its own).
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """From now on rows reach Python workers of this session in batches of about ``BATCH_BYTES``.
+
+    Spark's default of 64 MB is held by the JVM (twice while a batch grows) and by
+    the worker at once, for every task of an executor."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
+def giving_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; at their end Arrow's pool returns its unused memory, as the worker outlives its task."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

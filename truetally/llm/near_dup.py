@@ -45,7 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from truetally.llm import kernels as K
-from truetally.llm.common import arrow_column, doc_chunks, on_workers, string_buffers, text_key, written
+from truetally.llm.common import (arrow_column, doc_chunks, giving_back, on_workers, small_batches, string_buffers,
+                                  text_key, written)
 from truetally.llm.components import components
 
 SHINGLE, SHARE = 5, 75
@@ -232,7 +233,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Exact check of candidate pairs (a, b) on the full shingle sets."""
     a = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
-    return written(pairs.join(a, "a").join(b, "b").mapInArrow(confirm_batches, "a long, b long"), "links")
+    return written(pairs.join(a, "a").join(b, "b").mapInArrow(lambda b: giving_back(confirm_batches(b)), "a long, b long"), "links")
 
 
 _PAIRS = "a long, b long"
@@ -312,10 +313,10 @@ def crossing_pairs(forest: DataFrame, signatures: DataFrame, roots: DataFrame, r
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", region: int = REGION) -> DataFrame:
     """Per document row: (_key, id, n_shingles, component_id)."""
-    on_workers(docs.sparkSession)
+    small_batches(on_workers(docs.sparkSession))
     keyed = docs.select(text_key(id_col, text_col).alias("_key"), F.col(id_col).cast("long").alias("_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    signed = written(keyed.mapInArrow(sign_batches, _SIGNED), "signed")
+    signed = written(keyed.mapInArrow(lambda b: giving_back(sign_batches(b)), _SIGNED), "signed")
     classes = written(signed.where("n > 0").groupBy("class")
                       .agg(F.min("id").alias("id"), F.first("key").alias("key"), F.first("shallow").alias("shallow"),
                            F.first("paths").alias("paths")), "classes")
@@ -327,7 +328,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = written(forest.select("class").distinct().join(classes.select("class", "key", "shallow"), "class"), "members")
     sets = written(keyed.select("_key", "_text")
                    .join(members.select("class", F.col("key").alias("_key")).hint("merge"), "_key")
-                   .select("class", "_text").mapInArrow(set_batches, "class long, shingles binary, sig binary"), "sets")
+                   .select("class", "_text")
+                   .mapInArrow(lambda b: giving_back(set_batches(b)), "class long, shingles binary, sig binary"), "sets")
     shingle_sets = sets.select("class", "shingles")
     links = confirm(neighbours(forest, region), shingle_sets)
     roots = components(links)

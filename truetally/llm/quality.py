@@ -45,7 +45,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truetally.llm import kernels as K
-from truetally.llm.common import arrow_column, doc_chunks, on_workers, small_side, string_buffers, text_key, written
+from truetally.llm.common import (arrow_column, doc_chunks, giving_back, on_workers, small_batches, small_side,
+                                  string_buffers, text_key, written)
 
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -268,11 +269,11 @@ def reweighted(points: DataFrame, fitted: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           site_col: str = "source") -> DataFrame:
     """(_key, id, base statistics, base_failed, distance, kept) of every document row."""
-    on_workers(docs.sparkSession)
+    small_batches(on_workers(docs.sparkSession))
     fields = docs.select(text_key(id_col, text_col).alias("_key"), F.col(id_col).cast("long").alias("_id"),
                          F.col(lang_col).cast("string").alias("_lang"), F.col(site_col).cast("string").alias("_site"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    stats = fields.mapInArrow(statistics_batches, "_key long, _id long, _lang string, _site string, " + BASE)
+    stats = fields.mapInArrow(lambda b: giving_back(statistics_batches(b)), "_key long, _id long, _lang string, _site string, " + BASE)
     stats = written(stats.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                                      | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))), "statistics")
     points = pooled(stats).withColumns({f"x{i}": x for i, x in enumerate(vector())})
