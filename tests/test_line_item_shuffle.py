@@ -102,3 +102,8 @@ def test_fill_is_the_same_with_the_order_as_a_key(spark):
 def test_small_side_beyond_its_bound_is_left_to_spark(spark):
     assert "ResolvedHint" in small_side(spark.range(3), 3)._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in small_side(spark.range(4), 3)._jdf.queryExecution().analyzed().toString()
+
+
+def test_the_price_of_line_items_is_not_shuffled(spark, x):
+    for key in ("fct_po_line", "fct_order_line"):
+        assert "l_extendedprice" not in Q[key](x)._jdf.queryExecution().executedPlan().toString()
