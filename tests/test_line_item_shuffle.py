@@ -14,6 +14,7 @@ from truetally.operators.windows import trailing_window_sum, trailing_window_sum
 from truetally.plans.conform import arrival_resolution, order_line_fill, order_line_id, public
 from truetally.plans.keys import Q, _both, ctx
 from truetally.session import checkpoint_dir
+from truetally.sources.driver import packed, unpacked
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -138,3 +139,32 @@ def test_rows_alike_but_for_the_price_and_unknown_orders(spark, tmp_path):
     for name in ("fct_shipment", "fct_order_line", "fct_po_line"):
         one, other = public(getattr(_both(x), name)), public(getattr(x.c, name))
         assert one.count() == other.count() and one.exceptAll(other).isEmpty(), name
+
+
+@pytest.mark.parametrize("key", ["fct_po_line", "fct_order_line", "fct_inventory", "duty_lookup"])
+def test_line_items_are_packed_for_the_shuffle(spark, x, key):
+    plan = Q[key](x)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(concat\((?:45|10)[^\n]*\n([^\n]*)", plan)
+    assert dealt and all(" AS plain" in s and " AS word" in s and "AS pk" not in s for s in dealt), dealt
+
+
+def test_packed_line_items_come_back_as_they_were(spark):
+    day, many = "timestamp_ntz'2001-03-04 00:00:00'", 2 ** 62
+    rows = [(1, 2, 3, 4, 5.5, day), (None, None, None, None, None, None), (-1, 1, 2 ** 24 - 1, 2 ** 20 - 1, -0.5, day),
+            (many, 15, 2 ** 24, 1, 1.0, day), (2, 16, 1, 1, 1.0, day), (3, -1, 1, 1, 1.0, day), (4, 1, -1, 1, 1.0, day),
+            (5, 1, 1, 2 ** 20, 1.0, day), (6, 1, -many, many, 1.0, day), (7, 1, 1, 1, 1.0, "timestamp_ntz'2001-03-04 00:00:00.000001'"),
+            (8, 1, 1, 1, 1.0, "timestamp_ntz'1969-12-31 00:00:00'"), (9, 1, 1, 1, 1.0, "timestamp_ntz'2059-09-18 00:00:00'"),
+            (10, 1, 1, 1, 1.0, "timestamp_ntz'2059-09-19 00:00:00'"), (11, None, 1, 1, 1.0, day), (12, 1, None, 1, 1.0, day),
+            (13, 1, 1, None, 1.0, day), (14, 1, 1, 1, None, day), (15, 1, 1, 1, 1.0, None), (16, 0, 0, 0, 0.0, "timestamp_ntz'1970-01-01 00:00:00'")]
+    values = ", ".join("(" + ", ".join("null" if v is None else str(v) for v in row) + ")" for row in rows)
+    items = spark.sql(f"select cast(a as bigint) ok, cast(b as int) ln, cast(c as bigint) pk, cast(d as bigint) sk, cast(e as double) l_quantity, "
+                      f"cast(f as timestamp_ntz) l_shipdate from values {values} as t(a, b, c, d, e, f)")
+    for kind in ("timestamp_ntz", "timestamp", "date"):
+        some = items.withColumn("l_shipdate", F.col("l_shipdate").cast(kind))
+        there = packed(some)
+        back = unpacked(there).select(*some.columns)
+        assert back.dtypes == some.dtypes and there.count() == len(rows)
+        assert sorted(map(str, back.collect())) == sorted(map(str, some.collect())), kind
+        plain = {r.ok for r in there.filter("plain is not null").collect()}
+        assert plain == {None, many, 2, 3, 4, 5, 6, 8, 10, 11, 12, 13, 15} | ({7} if kind != "date" else set())
+        assert there.filter("(word is null) = (plain is null)").isEmpty()
