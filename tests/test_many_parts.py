@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from truetally.operators.keys import looked_up, with_looked_up
 from truetally.params import Params
-from truetally.plans import conform
+from truetally.plans import conform, keys
 from truetally.plans.conform import public
 from truetally.plans.keys import AS_OF
 from truetally.sources import driver
@@ -103,3 +103,9 @@ def test_looked_up_equals_the_join(spark):
     got = with_looked_up(rows, looked_up(rows, master, "k", "dealt"), "k", "dealt", ["m", "o"])
     want = rows.join(master, "k").select("dealt", "k", "n", "m", "o")
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("key", ["gap_waterfall", "waterfall_check", "before_after"])
+def test_legacy_queries_shuffle_line_items_once(spark, x, key):
+    dealt = [s for s in shuffles(spark, keys.Q[key](x)) if "concat(" in s]
+    assert len(dealt) == 1 and "concat(45" in dealt[0], dealt
