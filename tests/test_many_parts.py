@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from truetally.operators.keys import looked_up, with_looked_up
 from truetally.params import Params
-from truetally.plans import conform, keys
+from truetally.plans import conform, entitlement, keys
 from truetally.plans.conform import public
 from truetally.plans.keys import AS_OF
 from truetally.sources import driver
@@ -109,3 +109,15 @@ def test_looked_up_equals_the_join(spark):
 def test_legacy_queries_shuffle_line_items_once(spark, x, key):
     dealt = [s for s in shuffles(spark, keys.Q[key](x)) if "concat(" in s]
     assert len(dealt) == 1 and "concat(45" in dealt[0], dealt
+
+
+def test_entitlement_tests_derive_the_po_lines_once(spark, x, monkeypatch):
+    read = []
+    kept = entitlement.entitlement_tests
+    monkeypatch.setattr(entitlement, "entitlement_tests", lambda m, r, c, *a: read.append(c.fct_po_line) or kept(m, r, c, *a))
+    got = keys.Q["entitlement_tests"](x)
+    assert len(read) == 2 and {r.status for r in got.collect()} == {"PASS"}
+    for po in read:
+        assert not shuffles(spark, po) and po.count() == x.c.fct_po_line.count()
+    whole = kept(x.model, x.raw, x.c, x.scope, AS_OF)
+    assert sorted((r.test_id, r.observed, r.status) for r in got.collect()) == sorted((r.test_id, r.observed, r.status) for r in whole.collect())
